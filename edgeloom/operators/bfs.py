@@ -10,7 +10,7 @@ from edgeloom.functions.edges import symmetrize
 from edgeloom.model import Graph, Vector
 from edgeloom.plans.adjacency import Adjacency
 from edgeloom.plans.positions import dense_positions
-from edgeloom.plans.rounds import Rounds, checkpointed, setting, written
+from edgeloom.plans.rounds import Rounds, setting
 
 
 def bfs_levels(graph: Graph, source: int, depth_limit: int | None, rounds: Rounds) -> DataFrame:
@@ -29,19 +29,19 @@ def bfs_levels(graph: Graph, source: int, depth_limit: int | None, rounds: Round
         visited = reduce(DataFrame.union, levels).select("id")
         near = links.reach(frontier.select("id"), reached).select(F.col("dst").alias("id"))
         fresh = near.distinct().join(visited, "id", "left_anti")
-        frontier, facts = written(
+        frontier, facts = rounds.written(
             fresh.select("id", F.lit(distance).alias("distance")), rows=F.count("*")
         )
         reached = facts["rows"]
         levels.append(frontier)
         if len(levels) > setting(spark, "unionFrames"):
-            levels = [checkpointed(reduce(DataFrame.union, levels))]
+            levels = [rounds.written(reduce(DataFrame.union, levels))[0]]
     return reduce(DataFrame.union, levels)
 
 
 def bfs_iter(graph: Graph, source: int, depth_limit: int | None = None) -> Vector:
     """Nodes reachable from ``source`` by number of hops, equal ones by id."""
-    with Rounds() as rounds:
+    with Rounds(graph.edges.sparkSession) as rounds:
         reached = bfs_levels(graph, source, depth_limit, rounds)
         placed = dense_positions(reached, ["distance", "id"])
         return Vector(placed.select("pos", F.col("id").alias("value")))

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, functions as F
 from edgeloom.functions.edges import canonicalize, symmetrize
 from edgeloom.model import Graph, NodeMap
 from edgeloom.plans.adjacency import Adjacency
-from edgeloom.plans.rounds import Rounds, checkpointed, written
+from edgeloom.plans.rounds import Rounds, written
 from edgeloom.plans.skew import hot_keys, lookup, measured_hot_keys
 
 _PATIENCE = 2  # rounds with next to no gain that end a level
@@ -52,11 +52,11 @@ def louvain_community(graph: Graph, tolerance: float = 1e-7) -> tuple[NodeMap, f
     total = 2.0 * (facts["weight"] or 0.0)
     score, better = 0.0, total > 0
     while better:
-        with Rounds() as rounds:
+        with Rounds(graph.edges.sparkSession) as rounds:
             links, best, score, better = _settle(rounds, level, total, tolerance)
             if better:
                 before, level = level.size, _contract(links, best, level.size)
-                members = checkpointed(_hand_on(members, best, size["rows"], before))
+                members, _ = written(_hand_on(members, best, size["rows"], before))
     return NodeMap(_name(members, size["rows"])), score
 
 
@@ -66,12 +66,14 @@ def _settle(rounds: Rounds, level: _Level, total: float, tolerance: float):
     degree = links.edges.groupBy(F.col("src").alias("id")).agg(F.sum("weight").alias("out"))
     nodes = level.nodes.join(degree, "id", "left")
     strength = (F.coalesce("out", F.lit(0.0)) + F.col("loop")).alias("strength")
-    state = checkpointed(nodes.select("id", "loop", strength, F.col("id").alias("community")))
+    state, _ = rounds.written(
+        nodes.select("id", "loop", strength, F.col("id").alias("community"))
+    )
     first = best_score = None
     best, turn, idle, still = state, 0, 0, 0
     while idle < _PATIENCE and still < 2:
         before = state
-        state, facts = written(
+        state, facts = rounds.written(
             _move(links, state, level.size, total, turn),
             inside=F.sum(F.col("own") + F.col("loop")),
             square=F.sum(F.col("strength") * F.col("tot")),
@@ -127,7 +129,7 @@ def _contract(links: Adjacency, best: DataFrame, size: int) -> _Level:
     half = links.reach(label.withColumnRenamed("community", "a"), size)
     other = label.withColumnRenamed("community", "b")
     both = lookup(half, "dst", other, links.hot, "src", rows=size)
-    edges = checkpointed(both.groupBy("a", "b").agg(F.sum("weight").alias("weight")))
+    edges, _ = written(both.groupBy("a", "b").agg(F.sum("weight").alias("weight")))
     inside = edges.where("a = b").select(F.col("a").alias("id"), "weight")
     loops = best.groupBy(F.col("community").alias("id")).agg(F.sum("loop").alias("loop"))
     loop = (F.col("loop") + F.coalesce("weight", F.lit(0.0))).alias("loop")
@@ -152,7 +154,7 @@ def _name(members: DataFrame, rows: int) -> DataFrame:
     hot = hot_keys(least.select("community", "n"), "community", rows)
     table = least.select(F.col("community").alias("id"), "weight")
     named = lookup(members, "community", table, hot, "id", rows=rows)
-    return checkpointed(named.select("id", "weight"))
+    return written(named.select("id", "weight"))[0]
 
 
 def modularity_table(graph: Graph, labels: NodeMap) -> DataFrame:

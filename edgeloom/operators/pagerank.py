@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from edgeloom.functions.edges import endpoints, symmetrize
 from edgeloom.model import Graph, NodeMap
 from edgeloom.plans.adjacency import Adjacency
-from edgeloom.plans.rounds import Rounds, checkpointed, written
+from edgeloom.plans.rounds import Rounds, written
 
 
 def pagerank(
@@ -20,7 +20,7 @@ def pagerank(
     when the ranks change by less than ``tolerance`` in sum. A round is one shuffle of the
     ranks and the partially summed contributions; the edges stay where they are.
     """
-    with Rounds() as rounds:
+    with Rounds(graph.edges.sparkSession) as rounds:
         edges = graph.edges.select("src", "dst")
         edges = edges if graph.is_directed else symmetrize(edges)
         links = Adjacency(rounds, edges.distinct())
@@ -28,19 +28,19 @@ def pagerank(
         out = links.edges.groupBy(F.col("src").alias("id")).agg(F.count("*").alias("out"))
         degrees = nodes.join(out, "id", "left").fillna(0, ["out"])
         ends = F.count(F.when(F.col("out") == 0, 1))
-        degrees, size = written(degrees, nodes=F.count("*"), dangling=ends)
+        degrees, size = rounds.written(degrees, nodes=F.count("*"), dangling=ends)
         n = size["nodes"]
         if n == 0:
-            return NodeMap(degrees.select("id", F.lit(0.0).alias("weight")))
+            return NodeMap(written(degrees.select("id", F.lit(0.0).alias("weight")))[0])
         state, mass = degrees.withColumn("rank", F.lit(1.0 / n)), size["dangling"] / n
         for _ in range(maxiter):
             moved = _round(links, state, n, damping, mass)
             lost = F.sum(F.when(F.col("out") == 0, F.col("rank")))
-            state, facts = written(moved, change=F.sum("change"), lost=lost)
+            state, facts = rounds.written(moved, change=F.sum("change"), lost=lost)
             mass = facts["lost"] or 0.0
             if facts["change"] < tolerance:
                 break
-        return NodeMap(checkpointed(state.select("id", F.col("rank").alias("weight"))))
+        return NodeMap(written(state.select("id", F.col("rank").alias("weight")))[0])
 
 
 def _round(links: Adjacency, state: DataFrame, n: int, damping: float, mass: float) -> DataFrame:

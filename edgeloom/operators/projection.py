@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from edgeloom.functions.edges import symmetrize
 from edgeloom.model import BipartiteGraph, Graph
-from edgeloom.plans.rounds import checkpointed, written
+from edgeloom.plans.rounds import written
 from edgeloom.plans.skew import lookup, measured_hot_keys, pairs_within
 
 
@@ -22,7 +22,7 @@ def graph_projection(graph: BipartiteGraph, nodes_retained: int = 0) -> Graph:
         symmetrize(graph.edges.select("src", "dst")).distinct(), rows=F.count("*")
     )
     hot = measured_hot_keys(both, "src", facts["rows"])
-    rows = checkpointed(lookup(both, "src", kept.select("id").distinct(), hot, "dst"))
+    rows, _ = written(lookup(both, "src", kept.select("id").distinct(), hot, "dst"))
     pairs = pairs_within(rows.select("dst", "src"), "dst", "src")
     edges = pairs.select(F.col("first").alias("src"), F.col("second").alias("dst")).distinct()
     weighted = graph.has_node1_weights if nodes_retained else graph.has_node0_weights

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from edgeloom.functions.edges import endpoints
 from edgeloom.model import Graph, NodeMap
 from edgeloom.plans.adjacency import Adjacency
-from edgeloom.plans.rounds import Rounds, checkpointed, written
+from edgeloom.plans.rounds import Rounds, written
 from edgeloom.plans.skew import hot_keys, lookup
 
 
@@ -40,16 +40,16 @@ def strongly_connected_components(graph: Graph, include_isolated: bool = False)
         seen = _seen(edges)
         core, size = written(seen.where("out > 0 and in > 0"), rows=count)
         alone = open_nodes.join(core.select("id"), "id", "left_anti")
-        settled.append(checkpointed(alone.select("id", F.col("id").alias("weight"))))
+        settled.append(written(alone.select("id", F.col("id").alias("weight")))[0])
         if size["rows"] == 0:
             break
         inner = edges
         if size["rows"] < left["rows"]:
             inner = _among(edges, core, size["rows"], rows)
-        with Rounds() as rounds:
+        with Rounds(graph.edges.sparkSession) as rounds:
             links, colours = _colour(inner, core.select("id"), size["rows"], rounds)
             done = colours.where("fore = back")
-            settled.append(checkpointed(done.select("id", F.col("fore").alias("weight"))))
+            settled.append(written(done.select("id", F.col("fore").alias("weight")))[0])
             rest, left = written(
                 colours.where("fore <> back").select("id", "fore", "back"), rows=count
             )
@@ -118,7 +118,7 @@ def _colour(
             (F.col("back") < F.col("old_back")).alias("back_new"),
         )
         moved = F.count(F.when(F.col("fore_new") | F.col("back_new"), 1))
-        state, facts = written(heard, changed=moved)
+        state, facts = rounds.written(heard, changed=moved)
         changed = facts["changed"]
     return links, state
 

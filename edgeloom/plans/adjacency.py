@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from edgeloom.plans.rounds import Rounds, partitions_for, setting, written
+from edgeloom.plans.rounds import Rounds, partitions_for, setting
 from edgeloom.plans.skew import measured_hot_keys
 
 
@@ -17,7 +17,7 @@ class Adjacency:
     """
 
     def __init__(self, rounds: Rounds, edges: DataFrame, key: str = "src", by: str = "dst"):
-        edges, facts = written(edges, rows=F.count("*"))
+        edges, facts = rounds.written(edges, rows=F.count("*"))
         self.key = key
         self.rows = facts["rows"]
         self.hot = measured_hot_keys(edges, key, self.rows)

@@ -1,14 +1,17 @@
-"""Iteration on Spark: settings, checkpoint folder, and the frames of a loop.
+"""Iteration on Spark: settings, the shared folder, and the frames of a loop.
 
-A loop checkpoints the state of each round: a lost executor then costs the current round
-only, and plans do not grow with the rounds. Frames that stay the same through a loop, such
-as its edges, are persisted on top of a checkpoint.
+A loop writes the state of each round as a table in the shared folder and reads it back. A
+lost executor then costs the current round only, plans do not grow with the rounds, and the
+planner sees the true size of every state. (The estimates that a checkpointed frame carries
+along multiply from round to round.) Frames that stay the same through a loop, such as its
+edges, are persisted on top of such a table.
 """
 
 from __future__ import annotations
 
 import math
 import tempfile
+import uuid
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -42,40 +45,49 @@ def partitions_for(spark: SparkSession, rows: int) -> int:
     return max(1, by_size, min(shuffle_partitions(spark), math.ceil(rows / 10_000)))
 
 
-def use_checkpoint_dir(spark: SparkSession) -> None:
-    """Take the cluster's shared folder; a local run without one gets its own."""
+def shared_folder(spark: SparkSession) -> str:
+    """The cluster's checkpoint folder; a local run without one gets its own."""
     context = spark.sparkContext
-    if context.getCheckpointDir() is not None:
-        return
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        context.setCheckpointDir(configured)
-    elif context.master.startswith("local"):
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="edgeloom-"))
-    else:
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        folder = tempfile.mkdtemp(prefix="edgeloom-")
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
+    return folder.rstrip("/")
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder now and go on from what was written."""
-    use_checkpoint_dir(df.sparkSession)
+    """Checkpoint ``df`` now; partitions and their order stay as they are."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
 def written(df: DataFrame, **facts: Column) -> tuple[DataFrame, dict]:
-    """:func:`checkpointed`, with aggregates of the rows taken while they are written."""
+    """Write ``df`` to the shared folder, taking aggregates of its rows on the way."""
+    return _write(df, shared_folder(df.sparkSession), facts)
+
+
+def _write(df: DataFrame, folder: str, facts: dict[str, Column]) -> tuple[DataFrame, dict]:
+    path = f"{folder}/table-{uuid.uuid4().hex}"
     taken = Observation()
-    columns = [column.alias(name) for name, column in facts.items()]
-    return checkpointed(df.observe(taken, *columns)), taken.get
+    if facts:
+        df = df.observe(taken, *[column.alias(name) for name, column in facts.items()])
+    df.write.parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    return table, taken.get if facts else {}
 
 
 class Rounds:
-    """Owns the persisted frames of one loop and frees them at its end.
+    """The tables and persisted frames of one loop, which it frees at its end.
 
-    What a loop returns has to be checkpointed before that.
+    What a loop returns has to be written outside of it, by :func:`written`.
     """
 
-    def __init__(self) -> None:
+    def __init__(self, spark: SparkSession):
+        self._spark = spark
+        self._folder = f"{shared_folder(spark)}/loop-{uuid.uuid4().hex}"
         self._kept: list[DataFrame] = []
 
     def __enter__(self) -> Rounds:
@@ -84,6 +96,13 @@ class Rounds:
     def __exit__(self, *_) -> None:
         for df in self._kept:
             df.unpersist()
+        path = self._spark._jvm.org.apache.hadoop.fs.Path(self._folder)
+        hadoop = self._spark._jsparkSession.sessionState().newHadoopConf()
+        path.getFileSystem(hadoop).delete(path, True)
+
+    def written(self, df: DataFrame, **facts: Column) -> tuple[DataFrame, dict]:
+        """As :func:`written`, for a table that the loop drops at its end."""
+        return _write(df, self._folder, facts)
 
     def keep(self, df: DataFrame) -> DataFrame:
         """Persist a frame that every round reads."""

@@ -41,3 +41,8 @@ def star_edges(leaves):
     """A hub that holds almost all edges, with loops, repeats and a far pair."""
     spokes = [(0, i) if i % 3 else (i, 0) for i in range(1, leaves + 1)]
     return spokes + spokes[:5] + [(7, 7), (1, 2), (2, 3), (leaves + 1, leaves + 2)]
+
+
+def shifted(*shapes):
+    """The shapes as one edge list, each with its ids moved up by another 100."""
+    return [(s + 100 * i, d + 100 * i) for i, edges in enumerate(shapes) for s, d in edges]
