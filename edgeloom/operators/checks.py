@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from edgeloom.functions.edges import endpoints
 from edgeloom.model import BipartiteGraph, EdgeMap, EdgeSet, Graph, NodeMap, NodeSet, Vector
+from edgeloom.plans.rounds import written
 from edgeloom.plans.skew import lookup, measured_hot_keys
 
 Checked = Vector | NodeSet | NodeMap | EdgeSet | EdgeMap | Graph | BipartiteGraph
@@ -35,14 +36,12 @@ def _absent(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     return ends.join(nodes.select("id"), "id", "left_anti")
 
 
-def _inside_one_side(graph: BipartiteGraph) -> DataFrame:
+def _inside_one_side(graph: BipartiteGraph, pairs: DataFrame, rows: int) -> DataFrame:
     sides = (
         graph.nodes0.select("id", F.lit(True).alias("in0"), F.lit(False).alias("in1"))
         .union(graph.nodes1.select("id", F.lit(False), F.lit(True)))
         .groupBy("id").agg(F.max("in0").alias("in0"), F.max("in1").alias("in1"))
     )
-    pairs = graph.edges.select("src", "dst").distinct()
-    rows = graph.edges.count()
     by_src = measured_hot_keys(pairs, "src", rows)
     by_dst = measured_hot_keys(pairs, "dst", rows)
     src = sides.select("id", F.col("in0").alias("src0"), F.col("in1").alias("src1"))
@@ -67,10 +66,12 @@ def violations(x: Checked) -> DataFrame:
         rules.append(_rule("endpoint_not_in_nodes", _absent(x.edges, x.nodes)))
     elif isinstance(x, BipartiteGraph):
         ids0, ids1 = x.nodes0.select("id"), x.nodes1.select("id")
-        rules = [_null_ends(x.edges), *_key_rules(ids0), *_key_rules(ids1)]
+        # Written once for the three rules that read them.
+        pairs, facts = written(x.edges.select("src", "dst").distinct(), rows=F.count("*"))
+        rules = [_null_ends(pairs), *_key_rules(ids0), *_key_rules(ids1)]
         rules.append(_rule("in_both_sides", ids0.distinct().join(ids1, "id", "left_semi")))
-        rules.append(_rule("endpoint_in_no_side", _absent(x.edges, ids0.union(ids1))))
-        rules.append(_rule("edge_inside_side", _inside_one_side(x)))
+        rules.append(_rule("endpoint_in_no_side", _absent(pairs, ids0.union(ids1))))
+        rules.append(_rule("edge_inside_side", _inside_one_side(x, pairs, facts["rows"])))
     else:
         raise TypeError(f"no rules for {type(x).__name__}")
     return reduce(DataFrame.union, rules)

@@ -12,6 +12,7 @@ from edgeloom.functions.edges import canonicalize
 from edgeloom.functions.values import values_differ
 from edgeloom.model import BipartiteGraph, EdgeMap, EdgeSet, Graph, NodeMap, NodeSet, Vector
 from edgeloom.plans.positions import dense_positions
+from edgeloom.plans.rounds import written
 from edgeloom.plans.skew import lookup, measured_hot_keys
 
 REL_TOL, ABS_TOL = 1e-9, 0.0
@@ -109,6 +110,7 @@ def edge_map_diff(
     a, b = (_plain(x.df.select("src", "dst", "weight"), x.is_directed) for x in (left, right))
     ranked = []
     for edges in (a, b):
+        edges, _ = written(edges)  # counted first, then compared
         pairs = edges.groupBy("src", "dst").agg(F.count("*").alias("n"))
         size = pairs.agg(F.max("n").alias("top"), F.sum("n").alias("rows")).first()
         if (size["top"] or 0) > 1:

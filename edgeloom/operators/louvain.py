@@ -159,9 +159,8 @@ def _name(members: DataFrame, rows: int) -> DataFrame:
 
 def modularity_table(graph: Graph, labels: NodeMap) -> DataFrame:
     """One row ``modularity`` of the communities that ``labels`` gives to the ends of all edges."""
-    edges = _weighted(graph)
-    rows = edges.count()
-    by_src, by_dst = (measured_hot_keys(edges, end, rows) for end in ("src", "dst"))
+    edges, facts = written(_weighted(graph), rows=F.count("*"))
+    by_src, by_dst = (measured_hot_keys(edges, end, facts["rows"]) for end in ("src", "dst"))
     named = lookup(edges, "src", labels.df.withColumnRenamed("weight", "a"), by_src, "dst")
     named = lookup(named, "dst", labels.df.withColumnRenamed("weight", "b"), by_dst, "src")
     inside = F.when(F.col("a") == F.col("b"), F.col("weight")).otherwise(F.lit(0.0))

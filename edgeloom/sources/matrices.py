@@ -14,7 +14,7 @@ from edgeloom.functions.edges import endpoints, symmetrize
 from edgeloom.functions.values import SPARK_TYPES
 from edgeloom.model import EdgeMap, EdgeSet, Graph
 from edgeloom.plans.positions import bucket_width, dense_positions, running_totals
-from edgeloom.plans.rounds import checkpointed
+from edgeloom.plans.rounds import written
 from edgeloom.plans.skew import lookup, measured_hot_keys
 
 
@@ -38,12 +38,13 @@ class CompressedRows:
 
 def _cells(edges: DataFrame, node_list: DataFrame, directed: bool, value: Column) -> DataFrame:
     whole = edges if directed else symmetrize(edges)
-    whole = whole.select("src", "dst", value.alias("value"))
-    rows = edges.count() * (1 if directed else 2)
+    whole, facts = written(
+        whole.select("src", "dst", value.alias("value")), rows=F.count("*")
+    )
     places = node_list.select("id", "pos")
-    by_src = measured_hot_keys(whole, "src", rows)
+    by_src = measured_hot_keys(whole, "src", facts["rows"])
     placed = lookup(whole, "src", places.withColumnRenamed("pos", "row"), by_src, "dst")
-    by_dst = measured_hot_keys(whole, "dst", rows)
+    by_dst = measured_hot_keys(whole, "dst", facts["rows"])
     placed = lookup(placed, "dst", places.withColumnRenamed("pos", "col"), by_dst, "row")
     return placed.select("row", "col", "value")
 
@@ -51,8 +52,9 @@ def _cells(edges: DataFrame, node_list: DataFrame, directed: bool, value: Column
 def edges_to_coo(edges: EdgeSet | EdgeMap) -> Coordinates:
     """Cells over the edges' own ends; an edge without a weight becomes 1.0."""
     value = F.col("weight") if isinstance(edges, EdgeMap) else F.lit(1.0)
-    node_list = dense_positions(endpoints(edges.df), ["id"])
-    return Coordinates(_cells(edges.df, node_list, edges.is_directed, value), node_list)
+    table, _ = written(edges.df)  # read for the nodes and for the cells
+    node_list = dense_positions(endpoints(table), ["id"])
+    return Coordinates(_cells(table, node_list, edges.is_directed, value), node_list)
 
 
 def graph_to_coo(graph: Graph) -> Coordinates:
@@ -67,13 +69,13 @@ def edges_from_coo(
     coo: Coordinates, directed: bool = True, weighted: bool = True
 ) -> EdgeSet | EdgeMap:
     """Positions back to ids. An undirected matrix holds each edge twice: one is kept."""
-    rows = coo.cells.count()
+    cells, facts = written(coo.cells, rows=F.count("*"))
     ids = coo.node_list.select(F.col("pos").alias("key"), F.col("id").alias("node"))
-    by_row = measured_hot_keys(coo.cells, "row", rows)
-    by_col = measured_hot_keys(coo.cells, "col", rows)
+    by_row = measured_hot_keys(cells, "row", facts["rows"])
+    by_col = measured_hot_keys(cells, "col", facts["rows"])
     src = ids.select(F.col("key").alias("id"), F.col("node").alias("src"))
     dst = ids.select(F.col("key").alias("id"), F.col("node").alias("dst"))
-    edges = lookup(coo.cells, "row", src, by_row, "col")
+    edges = lookup(cells, "row", src, by_row, "col")
     edges = lookup(edges, "col", dst, by_col, "row")
     if not directed:
         edges = edges.where(F.col("src") <= F.col("dst"))
@@ -160,8 +162,7 @@ def edges_from_csr(
     edges = filled.select(*columns)
     if node_list is not None:
         names = ["row", "col"] + (["value"] if weighted else [])
-        cells = checkpointed(edges.toDF(*names))
-        return edges_from_coo(Coordinates(cells, node_list), directed, weighted)
+        return edges_from_coo(Coordinates(edges.toDF(*names), node_list), directed, weighted)
     if not directed:
         edges = edges.where(F.col("src") <= F.col("dst"))
     return EdgeMap(edges, directed) if weighted else EdgeSet(edges, directed)

@@ -45,10 +45,10 @@ def prices(spark: SparkSession, folder: str) -> NodeMap:
     return node_map_from_table(table(spark, folder, "part"), "p_partkey", "p_retailprice")
 
 
-def purchases(spark: SparkSession, folder: str) -> BipartiteGraph:
+def purchases(spark: SparkSession, folder: str, lines_where: str = "true") -> BipartiteGraph:
     """Customer ids stay; part ``p`` becomes ``-p - 1``, as the two number ranges overlap."""
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
-    lines = table(spark, folder, "lineitem").select("l_orderkey", "l_partkey")
+    lines = table(spark, folder, "lineitem").where(lines_where).select("l_orderkey", "l_partkey")
     bought = orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey")).select(
         F.col("o_custkey").alias("src"), (-F.col("l_partkey") - 1).alias("dst")
     )

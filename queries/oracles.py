@@ -234,10 +234,15 @@ SELECT false AS is_directed, 'set' AS edge_type, CAST(NULL AS VARCHAR) AS edge_d
 lost AS ({_NODES} EXCEPT (SELECT src FROM f UNION SELECT dst FROM f))
 SELECT 'node' AS part, id AS src, CAST(NULL AS BIGINT) AS dst, 'only_left' AS issue FROM lost
 UNION ALL SELECT 'edge', src, dst, 'only_left' FROM e WHERE weight <> 1""",
-    "bipartite_diff": """SELECT 'node0' AS part, c_custkey AS src, CAST(NULL AS BIGINT) AS dst, 'only_left' AS issue
-FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders JOIN lineitem ON o_orderkey = l_orderkey)
+    "bipartite_diff": f"""WITH {PURCHASES}, kept AS MATERIALIZED (
+  SELECT DISTINCT o_custkey AS src, -l_partkey - 1 AS dst
+  FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE l_returnflag <> 'R')
+SELECT 'node0' AS part, c_custkey AS src, CAST(NULL AS BIGINT) AS dst, 'only_left' AS issue
+FROM customer WHERE c_custkey NOT IN (SELECT src FROM kept)
 UNION ALL SELECT 'node1', -p_partkey - 1, NULL, 'only_left' FROM part
-WHERE p_partkey NOT IN (SELECT l_partkey FROM orders JOIN lineitem ON o_orderkey = l_orderkey)""",
+WHERE -p_partkey - 1 NOT IN (SELECT dst FROM kept)
+UNION ALL SELECT 'edge', least(src, dst), greatest(src, dst), 'only_left'
+FROM (SELECT * FROM e EXCEPT SELECT * FROM kept)""",
     "nodeset_from_vector": "SELECT DISTINCT l_partkey AS id FROM lineitem",
     "nodemap_sort": """SELECT row_number() OVER (ORDER BY p_retailprice, p_partkey) - 1 AS pos,
   p_partkey AS value FROM part""",
@@ -245,7 +250,7 @@ WHERE p_partkey NOT IN (SELECT l_partkey FROM orders JOIN lineitem ON o_orderkey
   p_partkey AS value FROM part ORDER BY p_retailprice DESC, p_partkey DESC LIMIT 10""",
     "nodemap_select": """SELECT p_partkey AS id, p_retailprice AS weight FROM part
 WHERE p_partkey IN (SELECT o_custkey FROM orders)""",
-    "nodemap_filter": "SELECT p_partkey AS id FROM part WHERE p_retailprice > 1000",
+    "nodemap_filter": "SELECT p_partkey AS id FROM part WHERE p_retailprice >= 950",
     "nodemap_apply": "SELECT p_partkey AS id, round(p_retailprice * 1.19, 4) AS weight FROM part",
     "nodemap_apply_scalar":
         "SELECT p_partkey AS id, CAST(trunc(p_retailprice) AS BIGINT) % 7 AS weight FROM part",

@@ -278,8 +278,10 @@ def graph_diff(spark, folder):
 
 @query
 def bipartite_diff(spark, folder):
+    """All purchases against those not returned; undirected edges are listed smaller id first."""
     bought = g.purchases(spark, folder)
-    return diff.bipartite_diff(bought, load_bipartite(bought.edges, validate=False))
+    kept = g.purchases(spark, folder, "l_returnflag <> 'R'")
+    return diff.bipartite_diff(bought, load_bipartite(kept.edges, validate=False))
 
 
 # Node and edge operators
@@ -310,7 +312,7 @@ def nodemap_select(spark, folder):
 
 @query
 def nodemap_filter(spark, folder):
-    return node_ops.filter_nodes(g.prices(spark, folder), lambda price: price > 1000).df
+    return node_ops.filter_nodes(g.prices(spark, folder), lambda price: price >= 950).df
 
 
 @query
