@@ -1,6 +1,6 @@
 """Louvain communities (Blondel and others, 2008) with synchronous moves.
 
-Each round a random half of the nodes may move, each to the neighbouring community with the
+Each round a random three quarters of the nodes may move, each to the neighbouring community with the
 highest gain; two single nodes never swap, as only the larger label may join the smaller one
 (Lu, Halappanavar, Kalyanaraman, 2015). The rounds of a level keep the best partition seen, by
 modularity, so a bad joint move is never kept. Communities then become the nodes of the next level.
@@ -114,7 +114,7 @@ def _move(links: Adjacency, state: DataFrame, count: int, total: float, turn: in
     )
     own = F.coalesce("own", F.lit(0.0))
     stay = own - F.col("strength") * (F.col("tot") - F.col("strength")) / F.lit(total)
-    in_turn = F.pmod(F.xxhash64("id", F.lit(turn)), F.lit(2)) == 0
+    in_turn = F.pmod(F.xxhash64("id", F.lit(turn)), F.lit(4)) != 0
     moves = in_turn & (F.col("best.worth") > stay + F.lit(1e-12 * total))
     return now.join(judged, "id", "left").select(
         "id", "loop", "strength",

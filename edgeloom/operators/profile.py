@@ -48,21 +48,46 @@ def _one_row(
     return row.select(*[value.alias(name) for name, value in facts.items()], *row.columns)
 
 
-def profile(x: Vector | NodeSet | NodeMap | EdgeSet | EdgeMap | Graph | BipartiteGraph) -> DataFrame:
+def profile(
+    x: Vector | NodeSet | NodeMap | EdgeSet | EdgeMap | Graph | BipartiteGraph, slow: bool = True
+) -> DataFrame:
+    """All properties of ``x``; without ``slow`` only those that need no data."""
+    if not slow:
+        return _schema_facts(x)
     if isinstance(x, Vector):
         length = F.coalesce(F.max("pos") + 1, F.lit(0)).alias("length")
         return x.df.agg(length).select(_flag(x.dtype).alias("dtype"), "length")
-    if isinstance(x, NodeSet):
-        return _one_row({}, {"num_nodes": x.df})
-    if isinstance(x, NodeMap):
-        return _one_row({"dtype": _flag(x.dtype)}, {"num_nodes": x.df})
+    facts = _facts(x)
+    if isinstance(x, (NodeSet, NodeMap)):
+        return _one_row(facts, {"num_nodes": x.df})
     if isinstance(x, (EdgeSet, EdgeMap)):
         tables = {"num_nodes": endpoints(x.df), "num_edges": x.df}
-        facts = {"is_directed": _flag(x.is_directed)}
         if isinstance(x, EdgeSet):
             return _one_row(facts, tables)
-        facts["dtype"] = _flag(x.dtype)
         return _one_row(facts, tables, "has_negative_weights", x.dtype, x.df)
+    if isinstance(x, Graph):
+        tables = {"num_nodes": x.nodes, "num_edges": x.edges}
+    else:
+        tables = {"num_nodes0": x.nodes0, "num_nodes1": x.nodes1, "num_edges": x.edges}
+    return _one_row(facts, tables, "edge_has_negative_weights", x.edge_dtype, x.edges)
+
+
+def _schema_facts(x) -> DataFrame:
+    df = x.edges if isinstance(x, (Graph, BipartiteGraph)) else x.df
+    one = df.sparkSession.range(1)
+    return one.select(*[value.alias(name) for name, value in _facts(x).items()])
+
+
+def _facts(x) -> dict[str, Column]:
+    """What the schema and the flags of ``x`` tell."""
+    if isinstance(x, NodeSet):
+        return {}
+    if isinstance(x, (Vector, NodeMap)):
+        return {"dtype": _flag(x.dtype)}
+    if isinstance(x, EdgeSet):
+        return {"is_directed": _flag(x.is_directed)}
+    if isinstance(x, EdgeMap):
+        return {"is_directed": _flag(x.is_directed), "dtype": _flag(x.dtype)}
     facts = {
         "is_directed": _flag(x.is_directed),
         "edge_type": _flag(_kind(x.is_weighted)),
@@ -71,11 +96,9 @@ def profile(x: Vector | NodeSet | NodeMap | EdgeSet | EdgeMap | Graph | Bipartit
     if isinstance(x, Graph):
         facts["node_type"] = _flag(_kind(x.has_node_weights))
         facts["node_dtype"] = _flag(x.node_dtype)
-        tables = {"num_nodes": x.nodes, "num_edges": x.edges}
     else:
         for side, weighted in ((0, x.has_node0_weights), (1, x.has_node1_weights)):
             facts[f"node{side}_type"] = _flag(_kind(weighted))
             dtype = NodeMap(x.side(side)).dtype if weighted else None
             facts[f"node{side}_dtype"] = _flag(dtype)
-        tables = {"num_nodes0": x.nodes0, "num_nodes1": x.nodes1, "num_edges": x.edges}
-    return _one_row(facts, tables, "edge_has_negative_weights", x.edge_dtype, x.edges)
+    return facts

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from edgeloom.model import BipartiteGraph, EdgeMap, Graph, NodeMap
 from edgeloom.plans.positions import dense_positions
+from edgeloom.plans.skew import lookup, measured_hot_keys
 from edgeloom.sources.tables import edges_from_table, node_map_from_table
 
 
@@ -47,10 +48,13 @@ def prices(spark: SparkSession, folder: str) -> NodeMap:
 
 def purchases(spark: SparkSession, folder: str, lines_where: str = "true") -> BipartiteGraph:
     """Customer ids stay; part ``p`` becomes ``-p - 1``, as the two number ranges overlap."""
-    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
+    orders = table(spark, folder, "orders").select(
+        F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("src")
+    )
     lines = table(spark, folder, "lineitem").where(lines_where).select("l_orderkey", "l_partkey")
-    bought = orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey")).select(
-        F.col("o_custkey").alias("src"), (-F.col("l_partkey") - 1).alias("dst")
+    hot = measured_hot_keys(lines, "l_orderkey", lines.count())
+    bought = lookup(lines, "l_orderkey", orders, hot, "l_partkey").select(
+        "src", (-F.col("l_partkey") - 1).alias("dst")
     )
     customers = table(spark, folder, "customer").select(F.col("c_custkey").alias("id"))
     parts = table(spark, folder, "part").select((-F.col("p_partkey") - 1).alias("id"))

@@ -133,6 +133,7 @@ def test_profile_of_weights(spark, kind, values, negative):
 def test_profile_of_empty_and_bipartite(spark):
     empty = EdgeMap(edges_df(spark, [(1, 2, 1.0)]).where("false"))
     assert profile(empty).first()["has_negative_weights"] is False
+    assert profile(empty, slow=False).first().asDict() == {"is_directed": True, "dtype": "float"}
     row = profile(BipartiteGraph(edges_df(spark, B5))).first()
     assert (row["num_nodes0"], row["num_nodes1"], row["edge_type"], row["node0_dtype"]) == (3, 2, "set", None)
 
