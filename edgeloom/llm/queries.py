@@ -3,10 +3,16 @@
 from __future__ import annotations
 
 from edgeloom.llm.decontaminate import op8_decontaminate
+from edgeloom.llm.langid import op1_language_id
+from edgeloom.llm.mixing import op3_mixing
 from edgeloom.llm.quality import op4_quality
+from edgeloom.llm.rpforest import op5_embedding_dedup
+from edgeloom.llm.sharding import op9_sharding
 from edgeloom.llm.simhash import op7_simhash_dedup
 
-QUERIES = {f.__name__: f for f in (op4_quality, op7_simhash_dedup, op8_decontaminate)}
+QUERIES = {f.__name__: f for f in (
+    op1_language_id, op3_mixing, op4_quality, op5_embedding_dedup, op7_simhash_dedup, op8_decontaminate, op9_sharding,
+)}
 
 WORDS = r"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
