@@ -2,18 +2,18 @@
 
 Words are small-cased runs of letters and digits, shingles are five of them in a row (all words of
 a template that has fewer). Texts are cut into overlapping windows of the template's number of
-shingles plus a step, an eighth of it; so a whole occurrence lies in some window and makes up at
-least eight ninths of it. An occurrence of 80 % of the shingles then has a Jaccard similarity of at least
-0.8 / (9 / 8 + 0.2) = 0.6 with its window. With 24 bands of 2 hashes, it shares a band with
-a probability of at least 1 - (1 - 0.6 ** 2) ** 24 > 0.9999. Where the step is one shingle, windows are
-as long as the template and an exact occurrence has similarity 1.
-
-Every found pair of window and template is verified: the share of the template's shingles that
-the window holds, by their whole hashes, and that the words are the same for one full occurrence.
+shingles plus a step, an eighth of it, so every stretch as long as the template lies in a window. If
+the window holds 80 % of the template's shingles, that bounds their Jaccard similarity from below,
+by 0.6 for long templates and 1 for those of up to four shingles. Each length gets as many bands
+of two hashes as make the chance to miss such a window less than one in ten thousand.
+
+Every found pair of window and template is verified: the exact share of the template's shingles that
+the window holds.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,7 +25,8 @@ from edgeloom.llm.decontaminate import BASE, _mix, word_hashes
 
 SHINGLE = 5
 LEAST = 0.8
-BANDS, PER_BAND = 24, 2
+PER_BAND = 2
+MISS = 1e-4
 TEMPLATES_PER_PASS = 1_000
 CHUNK_BYTES = 2_000_000
 
@@ -71,32 +72,43 @@ def shingles(hashes: np.ndarray, width: int) -> np.ndarray:
     return total
 
 
-def _salts() -> np.ndarray:
-    return np.random.default_rng(5).integers(1, 1 << 63, BANDS * PER_BAND, dtype=np.uint64) | np.uint64(1)
-
+def bands_for(size: int, window: int, least: float) -> int:
+    """Bands by which a window with ``least`` of ``size`` shingles is missed less often than MISS."""
+    shared = min(size, math.ceil(least * size - 1e-9))
+    similarity = shared / (size + window - shared)
+    hit = similarity ** PER_BAND
+    return 1 if hit >= 1 else math.ceil(math.log(MISS) / math.log(1 - hit))
 
-def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
-    """Minimum of each run of ``width`` values, by doubling."""
-    reach = 1
-    while reach * 2 <= width:
-        values = np.minimum(values[:-reach], values[reach:])
-        reach *= 2
-    rest = width - reach
-    return np.minimum(values[:len(values) - rest], values[rest:]) if rest else values
 
+def _salt(band: int, nth: int) -> np.uint64:
+    return _mix(np.array([(band * PER_BAND + nth + 1) * 0x632BE59BD9B4E019 & (1 << 64) - 1], np.uint64))[0] | np.uint64(1)
 
-def _bands(values: np.ndarray, width: int, places: np.ndarray) -> Iterator[np.ndarray]:
-    """The band hashes of the windows of ``width`` shingles that start at ``places``, band after band."""
-    salts = _salts().reshape(BANDS, PER_BAND)
-    for number, band in enumerate(salts):
-        total = np.full(len(places), number, np.uint64)
-        for salt in band:
-            ranked = (values * salt) >> np.uint64(20)
-            total = _mix(total * BASE + _sliding_min(ranked, width)[places])
-        yield total
 
+def banded(values: np.ndarray, windows: list[tuple[int, int, np.ndarray]]) -> Iterator[tuple[int, np.ndarray]]:
+    """Band hashes for ``windows`` of (number of shingles, bands, places), as number of the window and hashes.
 
-def build_index(templates: list[tuple[str, str]]) -> list[dict]:
+    A window's minimum is that of two runs whose length is a power of two; all windows share these runs.
+    """
+    for band in range(max((bands for _, bands, _ in windows), default=0)):
+        active = [i for i, (_, bands, places) in enumerate(windows) if band < bands and len(places)]
+        totals = {i: np.full(len(windows[i][2]), band, np.uint64) for i in active}
+        for nth in range(PER_BAND):
+            runs = [((values * _salt(band, nth)) >> np.uint64(32)).astype(np.uint32)]
+            for i in active:
+                span, _, places = windows[i]
+                level = span.bit_length() - 1
+                while len(runs) <= level:
+                    reach = 1 << len(runs) - 1
+                    runs.append(np.minimum(runs[-1][:-reach], runs[-1][reach:]))
+                least = runs[level][places]
+                if span > 1 << level:
+                    least = np.minimum(least, runs[level][places + (span - (1 << level))])
+                totals[i] = _mix(totals[i] * BASE + least)
+        for i in active:
+            yield i, totals[i]
+
+
+def build_index(templates: list[tuple[str, str]], least: float = LEAST) -> list[dict]:
     """One index per shingle width and number of shingles, so that windows fit the templates."""
     shapes: dict[tuple[int, int], list[tuple[str, np.ndarray]]] = {}
     for name, text in templates:
@@ -110,14 +122,16 @@ def build_index(templates: list[tuple[str, str]]) -> list[dict]:
     out = []
     for (width, size), members in sorted(shapes.items()):
         step = max(1, size // 8)
+        distinct = min(len(np.unique(v)) for _, v in members)  # repeats make a template's set smaller
+        bands = bands_for(distinct, size + step - 1, least)
         keys, owners = [], []
         for number, (_, values) in enumerate(members):
-            for band in _bands(values, size, np.zeros(1, np.int64)):
+            for _, band in banded(values, [(size, bands, np.zeros(1, np.int64))]):
                 keys.append(band[0])
                 owners.append(number)
         order = np.argsort(np.array(keys, np.uint64), kind="stable")
         out.append({
-            "width": width, "size": size, "step": step, "window": size + step - 1,
+            "width": width, "size": size, "step": step, "window": size + step - 1, "bands": bands,
             "keys": np.array(keys, np.uint64)[order], "owners": np.array(owners)[order],
             "names": [n for n, _ in members], "sets": [np.unique(v) for _, v in members],
         })
@@ -132,47 +146,41 @@ def scan(texts: list[bytes], index: list[dict], least: float = LEAST) -> list[di
     if not data:
         return found
     hashes, _, _, first = word_hashes(data, cuts)
-    made: dict[int, np.ndarray] = {}
-    for shape in index:
-        width = shape["width"]
-        if width not in made:
-            made[width] = shingles(hashes, width)
-        values = made[width]
+    for width in sorted({shape["width"] for shape in index}):
+        values = shingles(hashes, width)
         low, high = first[:-1], first[1:] - width + 1  # the shingles of each text
         length = np.maximum(0, high - low)
-        for window in {shape["window"], shape["size"]}:
-            # Texts shorter than the window are covered by the one of the template's own size.
-            span, step = window, shape["step"] if window == shape["window"] else 1
-            fits = length >= span if window == shape["window"] else (length >= span) & (length < shape["window"])
-            many = np.where(fits, -(-(length - span) // step) + 1, 0)
-            text = np.repeat(np.arange(len(texts)), many)
-            nth = np.arange(len(text)) - np.repeat(np.cumsum(many) - many, many)
-            place = np.minimum(low[text] + nth * step, high[text] - span)
-            if len(place):
-                _verify(shape, values, place, text, low, span, least, found)
-        # A text with most shingles of a template, but not all, is one window.
-        part = np.flatnonzero((length < shape["size"]) & (length >= least * shape["size"]) & (length > 0))
-        for t in part.tolist():
-            _contain(shape, range(len(shape["names"])), values, int(low[t]), int(length[t]), t, 0, least, found)
+        windows, about = [], []
+        for shape in (s for s in index if s["width"] == width):
+            size, window = shape["size"], shape["window"]
+            for span, step, fits in (
+                (window, shape["step"], length >= window), (size, 1, (length >= size) & (length < window)),
+            ):
+                many = np.where(fits, -(-(length - span) // step) + 1, 0)
+                text = np.repeat(np.arange(len(texts)), many)
+                nth = np.arange(len(text)) - np.repeat(np.cumsum(many) - many, many)
+                windows.append((span, shape["bands"], np.minimum(low[text] + nth * step, high[text] - span)))
+                about.append((shape, text))
+            # A text with most shingles of a template, but not all, is one window.
+            part = np.flatnonzero((length < size) & (length >= least * size) & (length > 0))
+            for t in part.tolist():
+                _contain(shape, range(len(shape["names"])), values, int(low[t]), int(length[t]), t, 0, least, found)
+        pairs: list[set[tuple[int, int]]] = [set() for _ in windows]
+        for i, band in banded(values, windows):
+            keys, owners = about[i][0]["keys"], about[i][0]["owners"]
+            left = np.searchsorted(keys, band)
+            for h in np.flatnonzero(keys[np.minimum(left, len(keys) - 1)] == band).tolist():
+                at = int(left[h])
+                while at < len(keys) and keys[at] == band[h]:
+                    pairs[i].add((h, int(owners[at])))
+                    at += 1
+        for (span, _, places), (shape, text), met in zip(windows, about, pairs):
+            for h, owner in sorted(met):
+                t = int(text[h])
+                _contain(shape, [owner], values, int(places[h]), span, t, int(places[h] - low[t]), least, found)
     return found
 
 
-def _verify(shape: dict, values: np.ndarray, place: np.ndarray, text: np.ndarray, low: np.ndarray, span: int,
-            least: float, found: list) -> None:
-    pairs = set()
-    for band in _bands(values, span, place):
-        left = np.searchsorted(shape["keys"], band)
-        hit = np.flatnonzero(shape["keys"][np.minimum(left, len(shape["keys"]) - 1)] == band)
-        for h in hit.tolist():
-            at = int(left[h])
-            while at < len(shape["keys"]) and shape["keys"][at] == band[h]:
-                pairs.add((h, int(shape["owners"][at])))
-                at += 1
-    for h, owner in sorted(pairs):
-        t = int(text[h])
-        _contain(shape, [owner], values, int(place[h]), span, t, int(place[h] - low[t]), least, found)
-
-
 def _contain(shape: dict, owners, values: np.ndarray, start: int, span: int, text: int, word: int,
              least: float, found: list) -> None:
     window = values[start:start + span]
@@ -184,6 +192,25 @@ def _contain(shape: dict, owners, values: np.ndarray, start: int, span: int, tex
             found[text][name] = (share, word, word + span + shape["width"] - 1)
 
 
+def _matcher(index: list[dict], least: float):
+    @F.arrow_udf(MATCH)
+    def matches(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            out: list[list[dict]] = []
+            held: list[bytes] = []
+            size = 0
+            for value in batch:
+                held.append((value.as_py() or "").encode("utf-8", "surrogatepass"))
+                size += len(held[-1])
+                if size > CHUNK_BYTES:
+                    out += map(_listed, scan(held, index, least))
+                    held, size = [], 0
+            out += map(_listed, scan(held, index, least))
+            yield pa.array(out, MATCH_TYPE)
+
+    return matches
+
+
 MATCH = "array<struct<template_id:string, share:double, first_word:bigint, end_word:bigint>>"
 MATCH_TYPE = pa.list_(pa.struct([
     ("template_id", pa.string()), ("share", pa.float64()), ("first_word", pa.int64()), ("end_word", pa.int64()),
@@ -207,24 +234,10 @@ def license_matches(docs: DataFrame, templates: DataFrame, text: str = "text", t
     docs = docs.withColumn(name, empty)
     for k in range(passes):
         part = known.where(F.pmod(F.xxhash64("id", "text"), F.lit(passes)) == k).toArrow().to_pylist()
-        index = build_index(sorted((r["id"], r["text"]) for r in part))
-
-        @F.arrow_udf(MATCH)
-        def matches(batches: Iterator[pa.Array], index: list[dict] = index) -> Iterator[pa.Array]:
-            for batch in batches:
-                out: list[list[dict]] = []
-                held: list[bytes] = []
-                size = 0
-                for value in batch:
-                    held.append((value.as_py() or "").encode("utf-8", "surrogatepass"))
-                    size += len(held[-1])
-                    if size > CHUNK_BYTES:
-                        out += map(_listed, scan(held, index, least))
-                        held, size = [], 0
-                out += map(_listed, scan(held, index, least))
-                yield pa.array(out, MATCH_TYPE)
-
-        docs = docs.withColumn(name, F.concat(column_of(docs, name), matches(column_of(docs, text).cast("string"))))
+        index = build_index(sorted((r["id"], r["text"]) for r in part), least)
+
+        found = _matcher(index, least)(column_of(docs, text).cast("string"))
+        docs = docs.withColumn(name, F.concat(column_of(docs, name), found))
     return docs
 
 
