@@ -3,16 +3,16 @@
 An id of 16 bits is coded as four nibbles. For each nibble three models foresee a distribution:
 order 0 by the nibbles before it in the id, order 1 and 2 by hashes of those and of the one or two ids
 before. The distributions are mixed by weights that follow how well each model did, and
-the mix drives a carry-less range coder. All arithmetic is on integers, so every machine decodes alike.
+the mix drives a carry-less range coder. All arithmetic is on integers, or single IEEE operations
+followed by rounding down, so every machine decodes alike.
 
 A block holds up to :data:`BLOCK` ids and starts afresh: it can be decoded alone, and a checksum
 covers all of it. Many blocks are coded in step, one lane each, by numpy.
 
 File format: a Parquet table of ``part, block, payload``, so that Spark commits, retries and
 reads it on any store. A payload is, in little-endian order: magic ``CMR1``, crc32 of what
-follows, number of ids, number of document ends ``n``, first word of the range coder's output; then
-``n`` positions of document ends in the block, their ``n`` ids of documents and ``n`` flags (1: the
-document has an id), and the words. Parts and blocks are in the order of the documents.
+follows, number of ids, number of document ends ``n``; then ``n`` positions of document ends in the
+block, their ``n`` ids of documents and ``n`` flags (1: the document has an id), and the coder's words. Parts and blocks are in the order of the documents.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ from edgeloom.llm.common import column_of, table
 from edgeloom.plans.rounds import written
 
 BLOCK = 8192
-LANES = 512
+LANES = 1024
 END_ID = 1
 MAGIC = b"CMR1"
 
@@ -52,17 +52,16 @@ class _Lanes:
     def __init__(self, lanes: int):
         even = ((np.arange(16) + 1) * (SCALE // 16)).astype(np.int16)
         self.tables = np.tile(even, (lanes * ROWS, 1))
-        self.weights = np.zeros((4, 3, lanes), np.int32)
-        self.weights[:] = np.array([86, 85, 85])[None, :, None] << 6
+        self.weights = np.full((4, 3, lanes), 5461, np.float32)
         self.base = np.arange(lanes) * ROWS
-        self.row = np.arange(lanes)
+        self.place = np.arange(3 * lanes).reshape(3, lanes) * 16  # of each lane's counts
         self.low = np.zeros(lanes, np.uint64)
         self.range = np.full(lanes, (1 << 48) - 1, np.uint64)
 
     def shrink(self, n: int) -> None:
         """Go on with the first ``n`` lanes."""
         self.weights = np.ascontiguousarray(self.weights[:, :, :n])
-        self.base, self.row = self.base[:n], self.row[:n]
+        self.base, self.place = self.base[:n], np.arange(3 * n).reshape(3, n) * 16
         self.low, self.range = self.low[:n], self.range[:n]
 
     def context(self, one: np.ndarray, two: np.ndarray) -> None:
@@ -84,8 +83,8 @@ class _Lanes:
         np.add(self.base, two, out=index[2])
         index[2] += ORDER0 + HASHED
         self.index, self.level = index.ravel(), level
-        self.counts = self.tables.take(self.index, axis=0).reshape(3, n, 16)
-        share = (self.weights[level] + 512 >> 10).astype(np.int16)  # sixteenths
+        self.counts = self.tables.take(self.index, axis=0, mode="clip").reshape(3, n, 16)
+        share = (self.weights[level] * np.float32(1 / 1024)).astype(np.int16)  # sixteenths
         share[0] = 16 - share[1] - share[2]
         mix = (self.counts >> 4) * share[:, :, None]
         mix[0] += mix[1]
@@ -95,23 +94,25 @@ class _Lanes:
 
     def narrow(self, symbol: np.ndarray) -> None:
         """Take the symbol: narrow the coders' intervals, teach the models and the weights."""
-        high = self.mix[self.row, symbol].astype(np.uint64)
-        below = np.maximum(symbol - 1, 0)
-        first = symbol == 0
-        low = np.where(first, 0, self.mix[self.row, below]).astype(np.uint64)
+        at = self.place[0] + symbol
+        some = symbol != 0
+        mix = self.mix.ravel()
+        high = mix.take(at, mode="clip").astype(np.uint64)
+        low = (mix.take(at - 1, mode="wrap") * some).astype(np.uint64)
         step = self.range >> np.uint64(TOTAL_BITS)
         self.low = self.low + step * low
         self.range = step * (high - low)
-        took = self.counts[:, self.row, symbol].astype(np.int32)
-        took -= np.where(first, 0, self.counts[:, self.row, below])
+        # Each model's share of the symbol, and the weights that these would have earned.
+        at = self.place + symbol
+        counts = self.counts.ravel()
+        took = counts.take(at, mode="clip") - counts.take(at - 1, mode="wrap") * some
         w = self.weights[self.level]
-        gain = (w >> 2) * (took + 64 >> 4)
-        w += ((gain << 3) // (gain.sum(axis=0) // (1 << 11) + 1) - w) >> 4
-        np.clip(w, 512, 15360, out=w)
-        w[0] = np.maximum(512, 16384 - w[1] - w[2])
-        over = 16384 - w.sum(axis=0)
-        w[1] += np.where(over < 0, over, 0)
-        self.counts += (TARGETS[symbol] - self.counts) >> RATES
+        gain = w * (took + np.float32(64))
+        gain *= np.float32(16384) / (gain[0] + gain[1] + gain[2])
+        w += (np.floor(gain) - w) * np.float32(0.0625)
+        np.floor(w, out=w)
+        np.maximum(w, 256, out=w)
+        self.counts += (TARGETS.take(symbol, axis=0, mode="clip") - self.counts) >> RATES
         self.tables[self.index] = self.counts.reshape(-1, 16)
 
     def due(self) -> np.ndarray:
@@ -209,7 +210,7 @@ def decode_blocks(words: list[np.ndarray], lengths: np.ndarray) -> list[np.ndarr
 
 
 def pack(words: np.ndarray, n_ids: int, ends: list[int], docs: list[int | None]) -> bytes:
-    body = struct.pack("<III", n_ids, len(ends), int(words[0]) if len(words) else 0)
+    body = struct.pack("<II", n_ids, len(ends))
     body += np.array(ends, "<u4").tobytes() + np.array([d or 0 for d in docs], "<i8").tobytes()
     body += np.array([d is not None for d in docs], np.uint8).tobytes() + words.astype("<u2").tobytes()
     return MAGIC + struct.pack("<I", zlib.crc32(body)) + body
@@ -220,11 +221,11 @@ def unpack(payload: bytes) -> tuple[np.ndarray, int, list[int], list[int | None]
     body = payload[8:]
     if payload[:4] != MAGIC or struct.unpack("<I", payload[4:8])[0] != zlib.crc32(body):
         raise ValueError("a block of token ids is damaged")
-    n_ids, n, _ = struct.unpack("<III", body[:12])
-    ends = np.frombuffer(body, "<u4", n, 12)
-    docs = np.frombuffer(body, "<i8", n, 12 + 4 * n)
-    flags = np.frombuffer(body, np.uint8, n, 12 + 12 * n)
-    words = np.frombuffer(body, "<u2", -1, 12 + 13 * n).astype(np.uint16)
+    n_ids, n = struct.unpack("<II", body[:8])
+    ends = np.frombuffer(body, "<u4", n, 8)
+    docs = np.frombuffer(body, "<i8", n, 8 + 4 * n)
+    flags = np.frombuffer(body, np.uint8, n, 8 + 12 * n)
+    words = np.frombuffer(body, "<u2", -1, 8 + 13 * n).astype(np.uint16)
     return words, n_ids, ends.tolist(), [d if f else None for d, f in zip(docs.tolist(), flags.tolist())]
 
 
