@@ -38,7 +38,9 @@ def _wishes(state: DataFrame, quota: int, turn: int) -> DataFrame:
     ranked = F.sort_array(F.collect_list(F.struct(  # at most one entry per shard
         (-F.col("here")).alias("less"), F.xxhash64("link", "shard").alias("tie"), "shard"
     )))
-    need = F.greatest(F.lit(1), F.ceil(F.first("n") / F.lit(quota))).cast("int")
+    # A group too large for a shard gets one more every other round, where the first ones are taken by others.
+    shards_for = F.ceil(F.first("n") / F.lit(quota))
+    need = F.when(shards_for > 1, shards_for + F.lit(turn // 2)).otherwise(F.lit(1)).cast("int")
     best = cells.groupBy("link").agg(F.slice(ranked, F.lit(1), need)["shard"].alias("best"))
     joined = state.join(best, "link")
     pick = (F.pmod(F.xxhash64("row", F.lit(turn)), F.size("best")) + 1).cast("int")
