@@ -129,7 +129,7 @@ def mixed(docs: DataFrame, targets: dict[str, DataFrame] | None, share: float, s
         F.coalesce(column_of(docs, lang).cast("string"), F.lit(NONE)).alias("lang"),
         topic_of(content).alias("topic"), tokens_of(content).alias("tokens"),
     )
-    marked = docs.withColumn(name, cell)
+    marked, _ = written(docs.withColumn(name, cell))  # texts are counted once
     of_cell = marked.select(F.col(f"{name}.*"))
     cells, facts = written(
         of_cell.groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens"), F.count("*").alias("n")),
