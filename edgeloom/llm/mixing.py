@@ -9,8 +9,6 @@ document's id, so it is the same in every run.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from edgeloom.llm.common import column_of, free_name, table
@@ -62,35 +60,27 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int = SWEEPS,
     in proportion. Where targets contradict each other on empty cells it ends after ``sweeps``.
     """
     with Rounds(cells.sparkSession) as rounds:
-        scaled = {}
-        for name, target in targets.items():
-            there = cells.select(F.col(name).alias("value")).distinct()
-            wanted = (
-                target.groupBy("value").agg(F.sum("share").alias("share")).where("share > 0").join(there, "value")
-            )
-            all_of = wanted.agg(F.sum("share").alias("sum"))  # one row
-            scaled[name], _ = rounds.written(
-                wanted.join(F.broadcast(all_of)).select(F.col("value").alias(name), (F.col("share") / F.col("sum")).alias("share"))
-            )
         state = cells.withColumn("weight", F.col("tokens").cast("double"))
-        for sweep in range(sweeps):
-            before = list(state.columns)
-            state = reduce(lambda df, name: _scaled(df, name, scaled[name]), scaled, state)
-            state, facts = rounds.written(state, **{
-                name: F.max(F.abs(F.col(f"_by_{name}") - 1)) for name in scaled
-            })
-            state = state.select(*before)
-            if all((facts[name] or 0) <= tolerance for name in scaled):
+        for name, target in targets.items():
+            wanted = target.groupBy(F.col("value").alias(name)).agg(F.sum("share").alias("_share")).where("_share > 0")
+            there = wanted.join(cells.select(name).distinct(), name, "left_semi")
+            total = there.agg(F.sum("_share")).first()[0] or 1.0
+            wanted = there.select(name, (F.col("_share") / F.lit(total)).alias(f"_target_{name}"))
+            state = state.join(wanted, name, "left")
+        state, _ = rounds.written(state)
+        for _ in range(sweeps):
+            furthest = 0.0
+            for name in targets:
+                sums = state.groupBy(name).agg(F.sum("weight").alias("_sum"), F.first(f"_target_{name}").alias("_share"))
+                factor = F.when(F.col("_sum") > 0, F.coalesce("_share", F.lit(0.0)) / F.col("_sum")).otherwise(F.lit(0.0))
+                joined = state.join(sums.select(name, factor.alias("_factor")), name)
+                scaled = joined.withColumn("weight", F.col("weight") * F.col("_factor"))
+                scaled, facts = rounds.written(scaled, off=F.max(F.abs(F.col("_factor") - 1)))
+                state = scaled.select(*state.columns)
+                furthest = max(furthest, facts["off"] or 0.0)
+            if furthest <= tolerance:
                 break
-        return written(state)[0]
-
-
-def _scaled(state: DataFrame, name: str, target: DataFrame) -> DataFrame:
-    sums = state.groupBy(name).agg(F.sum("weight").alias("_sum")).join(target, name, "left")
-    factor = F.when(F.col("_sum") > 0, F.coalesce("share", F.lit(0.0)) / F.col("_sum")).otherwise(F.lit(0.0))
-    by = sums.select(name, factor.alias(f"_by_{name}"))
-    joined = state.join(by, name)
-    return joined.withColumn("weight", F.col("weight") * F.col(f"_by_{name}"))
+        return written(state.select(*cells.columns, "weight"))[0]
 
 
 def calibrate(raked: DataFrame, budget: float) -> tuple[DataFrame, float]:
@@ -105,7 +95,7 @@ def calibrate(raked: DataFrame, budget: float) -> tuple[DataFrame, float]:
             level = float("inf")
             break
         new = (budget - (sums["full"] or 0)) / sums["open"]
-        if new <= level:
+        if new <= level * (1 + 1e-12):  # a further cell at its limit would raise it
             break
         level = new
         full = F.col("weight") * F.lit(level) >= F.col("tokens")
