@@ -19,11 +19,23 @@ def symmetrize(edges: DataFrame) -> DataFrame:
 
 
 def canonicalize(edges: DataFrame) -> DataFrame:
-    """Undirected form: the smaller id first."""
+    """Undirected form: the smaller id first, a missing end last."""
     rest = [c for c in edges.columns if c not in ("src", "dst")]
-    return edges.select(
-        F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst"), *rest
-    )
+    turned = (F.col("src") > F.col("dst")) | F.col("src").isNull()
+    src = F.when(turned, F.col("dst")).otherwise(F.col("src"))
+    dst = F.when(turned, F.col("src")).otherwise(F.col("dst"))
+    return edges.select(src.alias("src"), dst.alias("dst"), *rest)
+
+
+def whole_edges(edges: DataFrame) -> DataFrame:
+    """The edges as they are; reading one with a missing end raises an error.
+
+    The check is part of the plan that reads the edges, so it costs no pass of its own.
+    """
+    missing = F.col("src").isNull() | F.col("dst").isNull()
+    fail = F.raise_error(F.lit("an edge has no src or no dst; see operators.checks.violations")).cast("bigint")
+    rest = [c for c in edges.columns if c not in ("src", "dst")]
+    return edges.select(F.when(missing, fail).otherwise(F.col("src")).alias("src"), "dst", *rest)
 
 
 def endpoints(edges: DataFrame) -> DataFrame:

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 ValueFunction = str | Callable[[Column], Column] | Callable[[object], object]
 
@@ -55,22 +56,29 @@ def values_differ(
 
 def apply_function(
     df: DataFrame, column: str, func: ValueFunction, return_type: str | None = None,
-    scalar: bool = False,
+    scalar: bool = False, batch: bool = False,
 ) -> Column:
     """The column ``func(column)``.
 
     ``func`` is a SQL expression over ``column`` or a function from Column to Column, which
-    Catalyst can see. A Python function over single values must be asked for with
-    ``scalar=True`` and a ``return_type``; it runs as a pandas UDF on Arrow batches.
+    Catalyst can see. Python functions must be asked for, with a ``return_type``: with
+    ``scalar`` over single values (None for null, whole numbers exact), with ``batch`` over
+    Arrow arrays. Both get Arrow batches.
     """
-    if scalar:
+    if column not in df.columns:
+        raise ValueError(f"there is no column {column}: the edges or nodes have no weights")
+    if scalar or batch:
         if return_type is None:
-            raise ValueError("a scalar function needs a return_type")
+            raise ValueError("a Python function needs a return_type")
+        arrow = to_arrow_type(T.DataType.fromDDL(return_type))
 
-        def batch(values: pd.Series) -> pd.Series:
-            return pd.Series([func(v) for v in values], dtype=object)
+        def by_value(values: pa.Array) -> pa.Array:
+            return pa.array([func(v) for v in values.to_pylist()], arrow)
 
-        return F.pandas_udf(batch, return_type)(F.col(column))
+        def by_batch(values: pa.Array) -> pa.Array:
+            return func(values).cast(arrow)
+
+        return F.arrow_udf(by_batch if batch else by_value, return_type)(F.col(column))
     result = F.expr(func) if isinstance(func, str) else func(F.col(column))
     if not isinstance(result, Column):
         raise TypeError("the function must return a Column; pass scalar=True for Python values")

@@ -140,7 +140,9 @@ class Graph(_WithEdges):
 class BipartiteGraph(_WithEdges):
     """A graph whose nodes fall in two disjoint sides; edges cross between them.
 
-    A side that is not given is the edges' ``src`` (side 0) or ``dst`` (side 1) column.
+    A side that is not given is made of the ends that the other side doesn't list, whichever way
+    the edges are written. Without any side, side 0 is the edges' ``src`` column and side 1 their ``dst``
+    column; :func:`edgeloom.operators.checks.violations` lists ids that stand in both.
     """
 
     edges: DataFrame  # src, dst[, weight]
@@ -152,13 +154,18 @@ class BipartiteGraph(_WithEdges):
 
     def __post_init__(self) -> None:
         _require_ids(self.edges, "src", "dst")
+        given = (self.nodes0, self.nodes1)
         for name, end, weighted in (
             ("nodes0", "src", self.has_node0_weights), ("nodes1", "dst", self.has_node1_weights)
         ):
             if getattr(self, name) is None:
                 if weighted:
                     raise ValueError(f"weights of {name} not given")
-                ends = self.edges.select(F.col(end).alias("id")).distinct()
+                other = given[1 if name == "nodes0" else 0]
+                if other is None:
+                    ends = self.edges.select(F.col(end).alias("id")).distinct()
+                else:
+                    ends = endpoints(self.edges).join(other.select("id"), "id", "left_anti")
                 object.__setattr__(self, name, ends)
             _require_ids(getattr(self, name), "id")
             if weighted:

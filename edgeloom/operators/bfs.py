@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from edgeloom.functions.edges import symmetrize
+from edgeloom.functions.edges import symmetrize, whole_edges
 from edgeloom.model import Graph, Vector
 from edgeloom.plans.adjacency import Adjacency
 from edgeloom.plans.positions import dense_positions
@@ -15,7 +15,7 @@ from edgeloom.plans.rounds import Rounds, setting
 
 def bfs_levels(graph: Graph, source: int, depth_limit: int | None, rounds: Rounds) -> DataFrame:
     """``id, distance`` of every node within ``depth_limit`` hops of ``source``."""
-    edges = graph.edges.select("src", "dst").where(F.col("src") != F.col("dst"))
+    edges = whole_edges(graph.edges.select("src", "dst")).where(F.col("src") != F.col("dst"))
     edges = edges if graph.is_directed else symmetrize(edges)
     links = Adjacency(rounds, edges.distinct())
     if links.edges.where(F.col("src") == source).isEmpty():
@@ -23,10 +23,12 @@ def bfs_levels(graph: Graph, source: int, depth_limit: int | None, rounds: Round
             raise ValueError(f"the graph has no node {source}")
     spark = graph.edges.sparkSession
     start = spark.range(1).select(F.lit(source).cast("bigint").alias("id"), F.lit(0).alias("distance"))
-    distance, reached, frontier, levels = 0, 1, start, [start]
+    distance, reached, frontier, levels, recent = 0, 1, start, [start], [start]
     while reached and (depth_limit is None or distance < depth_limit):
         distance += 1
-        visited = reduce(DataFrame.union, levels).select("id")
+        # In an undirected graph a neighbour is at most one level away, so older levels need no look.
+        known = levels if graph.is_directed else recent
+        visited = reduce(DataFrame.union, known).select("id")
         near = links.reach(frontier.select("id"), reached).select(F.col("dst").alias("id"))
         fresh = near.distinct().join(visited, "id", "left_anti")
         frontier, facts = rounds.written(
@@ -34,6 +36,7 @@ def bfs_levels(graph: Graph, source: int, depth_limit: int | None, rounds: Round
         )
         reached = facts["rows"]
         levels.append(frontier)
+        recent = [recent[-1], frontier]
         if len(levels) > setting(spark, "unionFrames"):
             levels = [rounds.written(reduce(DataFrame.union, levels))[0]]
     return reduce(DataFrame.union, levels)

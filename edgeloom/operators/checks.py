@@ -77,10 +77,19 @@ def violations(x: Checked) -> DataFrame:
     return reduce(DataFrame.union, rules)
 
 
+class BrokenRules(ValueError):
+    """``violations`` is the table of all offending ids, ``counts`` their number per rule."""
+
+    def __init__(self, name: str, counts: dict[str, int], violations: DataFrame):
+        listed = ", ".join(f"{rule}: {n}" for rule, n in sorted(counts.items()))
+        super().__init__(f"{name} breaks its rules ({listed}); the attribute violations lists all ids")
+        self.counts, self.violations = counts, violations
+
+
 def require_valid(x: Checked) -> Checked:
-    """Return ``x``, or raise with the first offending ids."""
-    found = violations(x).take(20)
-    if found:
-        listed = ", ".join(f"{row['rule']}: {row['id']}" for row in found)
-        raise ValueError(f"{type(x).__name__} breaks its rules; up to 20 ids: {listed}")
+    """Return ``x``, or raise with the number of offending ids per rule and a table of all."""
+    found = violations(x)
+    counts = {row["rule"]: row["n"] for row in found.groupBy("rule").agg(F.count("*").alias("n")).collect()}
+    if counts:
+        raise BrokenRules(type(x).__name__, counts, found)
     return x

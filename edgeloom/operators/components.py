@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from edgeloom.functions.edges import canonicalize, endpoints, neighbour_pairs, symmetrize
+from edgeloom.functions.edges import canonicalize, endpoints, neighbour_pairs, symmetrize, whole_edges
 from edgeloom.model import Graph, NodeMap
 from edgeloom.plans.rounds import Rounds, written
 from edgeloom.plans.skew import HotKeys, hot_keys, lookup, measured_hot_keys
@@ -27,8 +27,8 @@ def connected_components(graph: Graph, include_isolated: bool = False) -> NodeMa
     """
     with Rounds(graph.edges.sparkSession) as rounds:
         count = F.count("*")
-        edges, _ = rounds.written(canonicalize(graph.edges.select("src", "dst")).distinct(), rows=count)
-        touched = graph.nodes.select("id") if include_isolated else endpoints(edges)
+        edges, _ = rounds.written(canonicalize(whole_edges(graph.edges.select("src", "dst"))).distinct(), rows=count)
+        touched = graph.nodes.select("id").distinct() if include_isolated else endpoints(edges)
         nodes, _ = rounds.written(touched.select("id", F.col("id").alias("low")), rows=count)
         pairs = edges.where("src <> dst")
         levels = [_Level(nodes)]

@@ -1,40 +1,82 @@
 """Equality as a table of differences: two objects are equal when the table is empty.
 
-Each side is reduced per key before the sides meet, so a key that repeats very often is
-folded by partial aggregation instead of travelling to one task.
+Keys without values are counted per side before the sides meet, by partial aggregation. Keys with values
+are numbered where they repeat, so a key meets its like once and not all of them.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from edgeloom.functions.edges import canonicalize
-from edgeloom.functions.values import values_differ
+from edgeloom.functions.values import simple_type, values_differ
 from edgeloom.model import BipartiteGraph, EdgeMap, EdgeSet, Graph, NodeMap, NodeSet, Vector
 from edgeloom.plans.positions import dense_positions
-from edgeloom.plans.rounds import written
+from edgeloom.plans.rounds import setting, written
 from edgeloom.plans.skew import lookup, measured_hot_keys
 
 REL_TOL, ABS_TOL = 1e-9, 0.0
 
 
 def _value_diff(
-    left: DataFrame, right: DataFrame, keys: list[str], value: str, rel_tol: float, abs_tol: float
+    left: DataFrame, right: DataFrame, keys: list[str], value: str, rel_tol: float, abs_tol: float,
+    rank: str = "_rank",
 ) -> DataFrame:
-    """Full outer join on unique ``keys``: absent rows and values that differ."""
-    a = left.select(*keys, F.col(value).alias("left_value"), F.lit(True).alias("_l"))
-    b = right.select(*keys, F.col(value).alias("right_value"), F.lit(True).alias("_r"))
-    dtype = left.schema[value].dataType
-    apart = values_differ(F.col("left_value"), F.col("right_value"), dtype, rel_tol, abs_tol)
+    """Full outer join on ``keys``: absent rows, values that differ, and values of another type.
+
+    Rows that share a key are compared in the order of their values; a null key equals a null key.
+    Values of different simple types are never equal: the issue is ``type``.
+    """
+    types = [simple_type(df.schema[value].dataType) for df in (left, right)]
+    sides = []
+    for df, name, there in ((left, "left_value", "_l"), (right, "right_value", "_r")):
+        ranked = _ranked(df.select(*keys, value), keys, value, rank)
+        sides.append(ranked.select(*keys, rank, F.col(value).alias(name), F.lit(True).alias(there)))
+    a, b = sides
+    if types[0] != types[1]:
+        apart, word = F.lit(True), "type"
+    else:
+        dtype = left.schema[value].dataType
+        apart, word = values_differ(F.col("left_value"), F.col("right_value"), dtype, rel_tol, abs_tol), "value"
     issue = (
         F.when(F.col("_r").isNull(), "only_left")
         .when(F.col("_l").isNull(), "only_right")
-        .when(apart, "value")
-    )
-    joined = a.join(b, keys, "full").withColumn("issue", issue)
-    return joined.where(F.col("issue").isNotNull()).select(
-        *keys, "issue", "left_value", "right_value"
+        .when(apart, word)
     )
+    renamed = b.select(*[F.col(k).alias(f"_other_{k}") for k in (*keys, rank)], "right_value", "_r")
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_other_{k}")) for k in (*keys, rank)])
+    joined = a.join(renamed, same, "full").withColumn("issue", issue)
+    named = [
+        F.when(F.col("_l").isNull(), F.col(f"_other_{k}")).otherwise(F.col(k)).alias(k) for k in (*keys, rank)
+    ]
+    found = joined.where(F.col("issue").isNotNull()).select(*named, "issue", "left_value", "right_value")
+    return found.drop("_rank")
+
+
+def _ranked(df: DataFrame, keys: list[str], value: str, rank: str) -> DataFrame:
+    """Number the rows of each key by value.
+
+    A window numbers ordinary keys. If a key has more rows than a task should hold, all rows are
+    numbered over the whole table instead, and counted from the first one of their key.
+    """
+    df, _ = written(df)  # counted first, then compared
+    size = df.groupBy(*keys).agg(F.count("*").alias("n")).agg(F.max("n").alias("top"), F.sum("n").alias("rows")).first()
+    if (size["top"] or 0) <= 1:
+        return df.withColumn(rank, F.lit(0).cast("bigint"))
+    if size["top"] <= setting(df.sparkSession, "hotRows"):
+        place = F.row_number().over(Window.partitionBy(*keys).orderBy(value)) - 1
+        return df.withColumn(rank, place.cast("bigint"))
+    # The row id only breaks ties between equal rows, so that a range can end among them.
+    tagged = df.withColumn("_tie", F.monotonically_increasing_id())
+    numbered = dense_positions(tagged, [*keys, value, "_tie"], "_pos").drop("_tie")
+    key = F.struct(*keys).alias("_key_of")
+    first = numbered.groupBy(key).agg(F.min("_pos").alias("_first"))
+    facts = numbered.select(key, value, "_pos")
+    hot = measured_hot_keys(facts, "_key_of", size["rows"])
+    placed = lookup(facts, "_key_of", first.withColumnRenamed("_key_of", "id"), hot, "_pos")
+    return placed.select("_key_of.*", value, (F.col("_pos") - F.col("_first")).alias(rank))
 
 
 def _count_diff(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
@@ -85,20 +127,6 @@ def edge_set_diff(left: EdgeSet, right: EdgeSet) -> DataFrame:
     return _count_diff(a, b, ["src", "dst"])
 
 
-def _ranked(edges: DataFrame, rows: int) -> DataFrame:
-    """Number parallel edges by weight, also where one pair of nodes holds most of them."""
-    # The row id only breaks ties between equal edges, so that a range can end among them.
-    tagged = edges.withColumn("_tie", F.monotonically_increasing_id())
-    numbered = dense_positions(tagged, ["src", "dst", "weight", "_tie"], "_pos").drop("_tie")
-    pair = F.struct("src", "dst").alias("_pair")
-    first = numbered.groupBy(pair).agg(F.min("_pos").alias("_first"))
-    facts = numbered.select(pair, "weight", "_pos")
-    hot = measured_hot_keys(facts, "_pair", rows)
-    placed = lookup(facts, "_pair", first.withColumnRenamed("_pair", "id"), hot, "_pos")
-    rank: Column = (F.col("_pos") - F.col("_first")).alias("rank")
-    return placed.select("_pair.src", "_pair.dst", rank, "weight")
-
-
 def edge_map_diff(
     left: EdgeMap, right: EdgeMap, rel_tol: float = REL_TOL, abs_tol: float = ABS_TOL
 ) -> DataFrame:
@@ -108,16 +136,7 @@ def edge_map_diff(
     """
     _same_direction(left, right)
     a, b = (_plain(x.df.select("src", "dst", "weight"), x.is_directed) for x in (left, right))
-    ranked = []
-    for edges in (a, b):
-        edges, _ = written(edges)  # counted first, then compared
-        pairs = edges.groupBy("src", "dst").agg(F.count("*").alias("n"))
-        size = pairs.agg(F.max("n").alias("top"), F.sum("n").alias("rows")).first()
-        if (size["top"] or 0) > 1:
-            ranked.append(_ranked(edges, size["rows"]))
-        else:
-            ranked.append(edges.withColumn("rank", F.lit(0).cast("bigint")))
-    return _value_diff(*ranked, ["src", "dst", "rank"], "weight", rel_tol, abs_tol)
+    return _value_diff(a, b, ["src", "dst"], "weight", rel_tol, abs_tol, rank="rank")
 
 
 def _edge_part(left, right, rel_tol: float, abs_tol: float) -> DataFrame:

@@ -36,9 +36,11 @@ def build_graph(
     return require_valid(graph) if validate else graph
 
 
-def filter_edges(graph: Graph, func: ValueFunction, scalar: bool = False) -> Graph:
+def filter_edges(
+    graph: Graph, func: ValueFunction, scalar: bool = False, batch: bool = False
+) -> Graph:
     """Keep the edges whose weight passes ``func``, and all nodes."""
-    passes = apply_function(graph.edges, "weight", func, "boolean", scalar)
+    passes = apply_function(graph.edges, "weight", func, "boolean", scalar, batch)
     return replace(graph, edges=graph.edges.where(passes))
 
 
@@ -55,6 +57,8 @@ def aggregate_edges(
     graph: Graph, how: str, initial_value, in_edges: bool = False, out_edges: bool = True
 ) -> NodeMap:
     """Fold the weights of each node's edges, from ``initial_value``; every node has a row."""
+    if not graph.is_weighted:
+        raise ValueError("the graph has no weights")
     edges = graph.edges
     if not graph.is_directed:
         edges, ends = symmetrize(edges), ["src"]

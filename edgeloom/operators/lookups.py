@@ -17,21 +17,24 @@ def _asked(ids: DataFrame, key: str) -> DataFrame:
     return ids.select(F.col(ids.columns[0]).cast("bigint").alias(key)).distinct()
 
 
+def _table(x: Vector | NodeSet | NodeMap, ids: DataFrame | list[int]) -> DataFrame:
+    """Asked ids as a table; a list of any length doesn't become part of the plan."""
+    if isinstance(ids, DataFrame):
+        return ids
+    return x.df.sparkSession.createDataFrame([(int(i),) for i in ids], "id bigint")
+
+
 def contains(x: Vector | NodeSet | NodeMap, ids: DataFrame | list[int]) -> DataFrame:
     """The asked ids that are in ``x``, each once. A table's first column holds the ids."""
     key = _key(x)
     known = x.df.select(key)
-    if isinstance(ids, DataFrame):
-        return _asked(ids, key).join(known, key, "left_semi")
-    return known.where(F.col(key).isin([int(i) for i in ids])).distinct()
+    return _asked(_table(x, ids), key).join(known, key, "left_semi")
 
 
 def get(x: Vector | NodeMap, ids: DataFrame | list[int]) -> DataFrame:
     """The rows of the asked ids or positions; absent ones are left out."""
     key = _key(x)
-    if isinstance(ids, DataFrame):
-        return x.df.join(_asked(ids, key), key, "left_semi")
-    return x.df.where(F.col(key).isin([int(i) for i in ids]))
+    return x.df.join(_asked(_table(x, ids), key), key, "left_semi")
 
 
 def vector_length(x: Vector) -> DataFrame:
@@ -39,8 +42,11 @@ def vector_length(x: Vector) -> DataFrame:
     return x.df.agg(F.coalesce(F.max("pos") + 1, F.lit(0)).alias("length"))
 
 
-def num_nodes(x: NodeSet | NodeMap | EdgeSet | EdgeMap | Graph) -> DataFrame:
-    """One row: ids listed, or for an edge table the distinct ids its edges touch."""
+def num_nodes(x: NodeSet | NodeMap | EdgeSet | EdgeMap | Graph | BipartiteGraph) -> DataFrame:
+    """One row: ids listed, on both sides if there are two, or the distinct ids that an edge table touches."""
+    if isinstance(x, BipartiteGraph):
+        both = x.nodes0.select("id").union(x.nodes1.select("id"))
+        return both.agg(F.count("*").alias("num_nodes"))
     if isinstance(x, (EdgeSet, EdgeMap)):
         ids = endpoints(x.df)
     else:

@@ -2,8 +2,9 @@
 
 Each round a random three quarters of the nodes may move, each to the neighbouring community with the
 highest gain; two single nodes never swap, as only the larger label may join the smaller one
-(Lu, Halappanavar, Kalyanaraman, 2015). The rounds of a level keep the best partition seen, by
-modularity, so a bad joint move is never kept. Communities then become the nodes of the next level.
+(Lu, Halappanavar, Kalyanaraman, 2015). If the joint moves lower the modularity, they are taken
+back and half as many nodes are asked. A level ends when all nodes were asked and none moved, or when that
+gained no more than ``tolerance``. Communities then become the nodes of the next level.
 """
 
 from __future__ import annotations
@@ -12,19 +13,16 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
-from edgeloom.functions.edges import canonicalize, symmetrize
+from edgeloom.functions.edges import canonicalize, symmetrize, whole_edges
 from edgeloom.model import Graph, NodeMap
 from edgeloom.plans.adjacency import Adjacency
 from edgeloom.plans.rounds import Rounds, written
 from edgeloom.plans.skew import hot_keys, lookup, measured_hot_keys
 
-_PATIENCE = 2  # rounds with next to no gain that end a level
-_SMALL_GAIN = 1e-4  # modularity; the next level takes up what is left
-
 
 def _weighted(graph: Graph) -> DataFrame:
     weight = F.col("weight").cast("double") if graph.is_weighted else F.lit(1.0)
-    return graph.edges.select("src", "dst", weight.alias("weight"))
+    return whole_edges(graph.edges.select("src", "dst", weight.alias("weight")))
 
 
 @dataclass
@@ -36,11 +34,12 @@ class _Level:
     size: int  # number of nodes
 
 
-def louvain_community(graph: Graph, tolerance: float = 1e-7) -> tuple[NodeMap, float]:
+def louvain_community(graph: Graph, tolerance: float = 1e-5) -> tuple[NodeMap, float]:
     """A community label per node, and the modularity of the partition.
 
     Directions are ignored, parallel edges add up, edges without a weight count 1. The label
-    is the smallest id of the community; a node without an edge is its own.
+    is the smallest id of the community; a node without an edge is its own. ``tolerance`` is
+    the gain in modularity that a round over all nodes, and a level, must exceed to go on.
     """
     merged = canonicalize(_weighted(graph)).groupBy("src", "dst").agg(F.sum("weight").alias("weight"))
     merged, facts = written(merged, weight=F.sum("weight"))
@@ -70,27 +69,42 @@ def _settle(rounds: Rounds, level: _Level, total: float, tolerance: float):
         nodes.select("id", "loop", strength, F.col("id").alias("community"))
     )
     first = best_score = None
-    best, turn, idle, still = state, 0, 0, 0
-    while idle < _PATIENCE and still < 2:
+    best, turn, parts, all_asked, was_all = state, 0, 1, False, False
+    while True:
         before = state
         state, facts = rounds.written(
-            _move(links, state, level.size, total, turn),
+            _move(links, state, level.size, total, turn, parts, all_asked),
             inside=F.sum(F.col("own") + F.col("loop")),
             square=F.sum(F.col("strength") * F.col("tot")),
             moved=F.count(F.when(F.col("community") != F.col("was"), 1)),
         )
+        # The score is that of ``before``: what the last round's moves have led to.
         score = facts["inside"] / total - facts["square"] / total**2
-        idle = 0 if best_score is None or score > best_score + _SMALL_GAIN else idle + 1
-        if best_score is None or score > best_score:
-            best, best_score = before, score
         first = score if first is None else first
-        still = still + 1 if facts["moved"] == 0 else 0
         turn += 1
+        if best_score is not None and score < best_score:
+            # The moves spoilt each other: back, and ask ever fewer nodes at once.
+            state, parts, all_asked, was_all = best, parts * 2, False, False
+            if parts > max(1, level.size):
+                break  # even one node at a time gains nothing that numbers can show
+            continue
+        small = best_score is not None and score - best_score <= tolerance
+        best, best_score = before, score
+        if facts["moved"] == 0 and all_asked or small and was_all:
+            break
+        # After a round of little gain every node is asked before the level may end.
+        was_all = all_asked
+        all_asked = facts["moved"] == 0 or small
     return links, best, best_score, best_score > first + tolerance
 
 
-def _move(links: Adjacency, state: DataFrame, count: int, total: float, turn: int) -> DataFrame:
-    """One round. The new state also carries what the score of the old one needs."""
+def _move(
+    links: Adjacency, state: DataFrame, count: int, total: float, turn: int, parts: int, all_asked: bool
+) -> DataFrame:
+    """One round. The new state also carries what the score of the old one needs.
+
+    A part in ``parts`` of the nodes is asked, or three quarters if that is one; or all.
+    """
     sums = state.groupBy("community").agg(F.sum("strength").alias("tot"), F.count("*").alias("n"))
     crowded = measured_hot_keys(state, "community", count)
     now = lookup(
@@ -114,7 +128,9 @@ def _move(links: Adjacency, state: DataFrame, count: int, total: float, turn: in
     )
     own = F.coalesce("own", F.lit(0.0))
     stay = own - F.col("strength") * (F.col("tot") - F.col("strength")) / F.lit(total)
-    in_turn = F.pmod(F.xxhash64("id", F.lit(turn)), F.lit(4)) != 0
+    draw = F.xxhash64("id", F.lit(turn))
+    in_turn = F.pmod(draw, F.lit(4)) != 0 if parts == 1 else F.pmod(draw, F.lit(parts)) == 0
+    in_turn = F.lit(True) if all_asked else in_turn
     moves = in_turn & (F.col("best.worth") > stay + F.lit(1e-12 * total))
     return now.join(judged, "id", "left").select(
         "id", "loop", "strength",

@@ -13,9 +13,20 @@ REDUCERS = {"sum": F.sum, "min": F.min, "max": F.max, "product": F.product, "cou
 
 
 def node_set_from_vector(x: Vector) -> NodeSet:
+    """The values as ids; they must be whole numbers by type."""
+    if x.dtype != "int":
+        raise TypeError(f"values of type {x.dtype} are no ids")
     return NodeSet(x.df.select(F.col("value").cast("bigint").alias("id")))
 
 
+class AbsentNodes(KeyError):
+    """``count`` ids are not in a node map; ``nodes`` is a table of all of them."""
+
+    def __init__(self, count: int, nodes: DataFrame):
+        super().__init__(f"{count} ids are not in the node map; see the attribute nodes")
+        self.nodes = nodes
+
+
 def node_set_from_map(x: NodeMap) -> NodeSet:
     return NodeSet(x.df.select("id"))
 
@@ -36,23 +47,24 @@ def sort(x: NodeMap, ascending: bool = True, limit: int | None = None) -> Vector
 def select(x: NodeMap, nodes: NodeSet, strict: bool = False) -> NodeMap:
     """The part of the map on ``nodes``; ``strict`` raises if one of them is not in the map."""
     if strict:
-        absent = nodes.df.join(x.df.select("id"), "id", "left_anti").take(20)
-        if absent:
-            raise KeyError(f"not in the node map, up to 20 ids: {[row['id'] for row in absent]}")
+        absent = nodes.df.join(x.df.select("id"), "id", "left_anti")
+        if count := absent.count():
+            raise AbsentNodes(count, absent)
     return NodeMap(x.df.join(nodes.df, "id", "left_semi"))
 
 
-def filter_nodes(x: NodeMap, func: ValueFunction, scalar: bool = False) -> NodeSet:
+def filter_nodes(x: NodeMap, func: ValueFunction, scalar: bool = False, batch: bool = False) -> NodeSet:
     """Ids whose value passes ``func``."""
-    passes = apply_function(x.df, "weight", func, "boolean", scalar)
+    passes = apply_function(x.df, "weight", func, "boolean", scalar, batch)
     return NodeSet(x.df.where(passes).select("id"))
 
 
 def apply(
-    x: NodeMap, func: ValueFunction, return_type: str | None = None, scalar: bool = False
+    x: NodeMap, func: ValueFunction, return_type: str | None = None, scalar: bool = False,
+    batch: bool = False,
 ) -> NodeMap:
     """Every value mapped by ``func``."""
-    mapped = apply_function(x.df, "weight", func, return_type, scalar)
+    mapped = apply_function(x.df, "weight", func, return_type, scalar, batch)
     return NodeMap(x.df.select("id", mapped.alias("weight")))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from edgeloom.functions.edges import endpoints, symmetrize
+from edgeloom.functions.edges import endpoints, symmetrize, whole_edges
 from edgeloom.model import Graph, NodeMap
 from edgeloom.plans.adjacency import Adjacency
 from edgeloom.plans.rounds import Rounds, written
@@ -21,10 +21,10 @@ def pagerank(
     ranks and the partially summed contributions; the edges stay where they are.
     """
     with Rounds(graph.edges.sparkSession) as rounds:
-        edges = graph.edges.select("src", "dst")
+        edges = whole_edges(graph.edges.select("src", "dst"))
         edges = edges if graph.is_directed else symmetrize(edges)
         links = Adjacency(rounds, edges.distinct())
-        nodes = graph.nodes.select("id") if include_isolated else endpoints(links.edges)
+        nodes = graph.nodes.select("id").distinct() if include_isolated else endpoints(links.edges)
         out = links.edges.groupBy(F.col("src").alias("id")).agg(F.count("*").alias("out"))
         degrees = nodes.join(out, "id", "left").fillna(0, ["out"])
         ends = F.count(F.when(F.col("out") == 0, 1))

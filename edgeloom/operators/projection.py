@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from edgeloom.functions.edges import symmetrize
+from edgeloom.functions.edges import symmetrize, whole_edges
 from edgeloom.model import BipartiteGraph, Graph
 from edgeloom.plans.rounds import written
 from edgeloom.plans.skew import lookup, measured_hot_keys, pairs_within
@@ -19,7 +19,7 @@ def graph_projection(graph: BipartiteGraph, nodes_retained: int = 0) -> Graph:
     """
     kept = graph.side(nodes_retained)
     both, facts = written(
-        symmetrize(graph.edges.select("src", "dst")).distinct(), rows=F.count("*")
+        symmetrize(whole_edges(graph.edges.select("src", "dst"))).distinct(), rows=F.count("*")
     )
     hot = measured_hot_keys(both, "src", facts["rows"])
     rows, _ = written(lookup(both, "src", kept.select("id").distinct(), hot, "dst"))

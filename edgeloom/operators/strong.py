@@ -14,7 +14,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from edgeloom.functions.edges import endpoints
+from edgeloom.functions.edges import endpoints, whole_edges
 from edgeloom.model import Graph, NodeMap
 from edgeloom.plans.adjacency import Adjacency
 from edgeloom.plans.rounds import Rounds, written
@@ -32,8 +32,8 @@ def strongly_connected_components(graph: Graph, include_isolated: bool = False)
 
         return connected_components(graph, include_isolated)
     count = F.count("*")
-    edges, facts = written(graph.edges.select("src", "dst").distinct(), rows=count)
-    ids = graph.nodes.select("id") if include_isolated else endpoints(edges)
+    edges, facts = written(whole_edges(graph.edges.select("src", "dst")).distinct(), rows=count)
+    ids = graph.nodes.select("id").distinct() if include_isolated else endpoints(edges)
     open_nodes, left = written(ids, rows=count)
     edges, rows, settled = edges.where("src <> dst"), facts["rows"], []
     while left["rows"]:

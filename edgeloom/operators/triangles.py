@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from edgeloom.functions.edges import neighbour_pairs
+from edgeloom.functions.edges import neighbour_pairs, whole_edges
 from edgeloom.model import Graph
 from edgeloom.plans.rounds import Rounds, written
 from edgeloom.plans.skew import hot_keys, lookup, pairs_within
@@ -19,7 +19,7 @@ def triangle_table(graph: Graph) -> DataFrame:
     """
     with Rounds(graph.edges.sparkSession) as rounds:
         count = F.count("*")
-        pairs, facts = rounds.written(neighbour_pairs(graph.edges), rows=count)
+        pairs, facts = rounds.written(neighbour_pairs(whole_edges(graph.edges.select("src", "dst"))), rows=count)
         ends = pairs.select(F.explode(F.array("src", "dst")).alias("id"))
         degrees, nodes = rounds.written(ends.groupBy("id").agg(count.alias("n")), rows=count)
         hot = hot_keys(degrees, "id", 2 * facts["rows"])

@@ -94,24 +94,33 @@ def lookup(
 def pairs_within(rows: DataFrame, key: str, value: str) -> DataFrame:
     """Pairs ``first < second`` of distinct ``value`` that share ``key``.
 
-    ``rows(key, value)`` holds no duplicates. A large group is cut into blocks: each row sits
-    in one block on the left side and in all blocks on the right, so no task meets a whole group.
+    ``rows(key, value)`` holds no duplicates. A large group is cut into blocks 0 to b - 1, and its
+    pairs into tiles of two blocks ``i <= j``: a row stands left in the tiles of its own block
+    and later ones, and right in those of its own and earlier ones. So a task meets two blocks.
     """
-    spark = rows.sparkSession
-    most = setting(spark, "pairRows")
+    tiles = pair_tiles(rows, key, value)
+    if tiles is None:
+        left = rows.withColumnRenamed(value, "first")
+        right = rows.withColumnRenamed(value, "second")
+        return left.join(right, key).where(F.col("first") < F.col("second")).select(key, "first", "second")
+    left, right = tiles
+    met = left.withColumnRenamed(value, "a").join(right.withColumnRenamed(value, "b"), [key, "_i", "_j"])
+    met = met.where((F.col("_i") < F.col("_j")) | (F.col("a") < F.col("b")))
+    return met.select(key, F.least("a", "b").alias("first"), F.greatest("a", "b").alias("second"))
+
+
+def pair_tiles(rows: DataFrame, key: str, value: str) -> tuple[DataFrame, DataFrame] | None:
+    """Left and right rows with their tiles ``_i, _j``; None if no group needs a cut."""
+    most = setting(rows.sparkSession, "pairRows")
     counts = rows.groupBy(key).agg(F.count("*").alias("n"))
     size = counts.agg(F.max("n").alias("top"), F.sum("n").alias("rows")).first()
-    on = [key]
-    left = right = rows
-    if (size["top"] or 0) > most:
-        hot = hot_keys(counts, key, size["rows"])
-        sized = lookup(rows, key, counts.withColumnRenamed(key, "id"), hot, value)
-        blocks = F.ceil(F.col("n") / most)
-        block = F.pmod(F.xxhash64(F.col(value)), blocks)
-        all_blocks = F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1))
-        left = sized.withColumn("_block", block).drop("n")
-        right = sized.withColumn("_block", all_blocks).drop("n")
-        on = [key, "_block"]
-    left = left.withColumnRenamed(value, "first")
-    right = right.withColumnRenamed(value, "second")
-    return left.join(right, on).where(F.col("first") < F.col("second")).select(key, "first", "second")
+    if (size["top"] or 0) <= most:
+        return None
+    hot = hot_keys(counts, key, size["rows"])
+    sized = lookup(rows, key, counts.withColumnRenamed(key, "id"), hot, value)
+    blocks = F.ceil(F.col("n") / most)
+    cut = sized.withColumn("_block", F.pmod(F.xxhash64(F.col(value)), blocks)).withColumn("_last", blocks - 1)
+    left = cut.select(key, value, F.col("_block").alias("_i"), F.explode(F.sequence("_block", "_last")).alias("_j"))
+    first = F.lit(0).cast("bigint")
+    right = cut.select(key, value, F.explode(F.sequence(first, F.col("_block"))).alias("_i"), F.col("_block").alias("_j"))
+    return left, right

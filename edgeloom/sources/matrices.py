@@ -10,7 +10,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from edgeloom.functions.edges import endpoints, symmetrize
+from edgeloom.functions.edges import endpoints, symmetrize, whole_edges
 from edgeloom.functions.values import SPARK_TYPES
 from edgeloom.model import EdgeMap, EdgeSet, Graph
 from edgeloom.plans.positions import bucket_width, dense_positions, running_totals
@@ -37,22 +37,25 @@ class CompressedRows:
 
 
 def _cells(edges: DataFrame, node_list: DataFrame, directed: bool, value: Column) -> DataFrame:
-    whole = edges if directed else symmetrize(edges)
+    whole = whole_edges(edges)
+    whole = whole if directed else symmetrize(whole)
     whole, facts = written(
         whole.select("src", "dst", value.alias("value")), rows=F.count("*")
     )
     places = node_list.select("id", "pos")
     by_src = measured_hot_keys(whole, "src", facts["rows"])
-    placed = lookup(whole, "src", places.withColumnRenamed("pos", "row"), by_src, "dst")
+    placed = lookup(whole, "src", places.withColumnRenamed("pos", "row"), by_src, "dst", how="left")
     by_dst = measured_hot_keys(whole, "dst", facts["rows"])
-    placed = lookup(placed, "dst", places.withColumnRenamed("pos", "col"), by_dst, "row")
-    return placed.select("row", "col", "value")
+    placed = lookup(placed, "dst", places.withColumnRenamed("pos", "col"), by_dst, "row", how="left")
+    unlisted = F.col("row").isNull() | F.col("col").isNull()
+    fail = F.raise_error(F.lit("an edge ends at a node that is not listed")).cast("bigint")
+    return placed.select(F.when(unlisted, fail).otherwise(F.col("row")).alias("row"), "col", "value")
 
 
 def edges_to_coo(edges: EdgeSet | EdgeMap) -> Coordinates:
     """Cells over the edges' own ends; an edge without a weight becomes 1.0."""
     value = F.col("weight") if isinstance(edges, EdgeMap) else F.lit(1.0)
-    table, _ = written(edges.df)  # read for the nodes and for the cells
+    table, _ = written(whole_edges(edges.df))  # read for the nodes and for the cells
     node_list = dense_positions(endpoints(table), ["id"])
     return Coordinates(_cells(table, node_list, edges.is_directed, value), node_list)
 

@@ -6,14 +6,19 @@ columns named here and takes the filters above.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from edgeloom.functions.values import SPARK_TYPES
 from edgeloom.model import EdgeMap, EdgeSet, NodeMap, NodeSet, Vector
 
 
-def _id(column: str):
-    return F.col(column).cast("bigint")
+def _id(df: DataFrame, column: str) -> Column:
+    """The column as an id. A number with a fraction is none: reading it raises an error."""
+    value, kind = F.col(column), df.schema[column].dataType
+    if isinstance(kind, T.FractionalType):
+        fail = F.raise_error(F.concat(F.lit(f"{column} is no whole number: "), value.cast("string"))).cast("bigint")
+        return F.when(value == F.floor(value), value.cast("bigint")).when(value.isNull(), F.lit(None)).otherwise(fail)
+    return value.cast("bigint")
 
 
 def edges_from_table(
@@ -23,7 +28,7 @@ def edges_from_table(
     missing = [c for c in (src, dst, weight) if c is not None and c not in df.columns]
     if missing:
         raise ValueError(f"missing columns {missing}; there are {df.columns}")
-    ends = [_id(src).alias("src"), _id(dst).alias("dst")]
+    ends = [_id(df, src).alias("src"), _id(df, dst).alias("dst")]
     if weight is None:
         return EdgeSet(df.select(*ends), directed)
     return EdgeMap(df.select(*ends, F.col(weight).alias("weight")), directed)
@@ -39,7 +44,7 @@ def edges_to_table(
 
 
 def node_map_from_table(df: DataFrame, key: str, value: str) -> NodeMap:
-    return NodeMap(df.select(_id(key).alias("id"), F.col(value).alias("weight")))
+    return NodeMap(df.select(_id(df, key).alias("id"), F.col(value).alias("weight")))
 
 
 def node_map_to_table(
@@ -51,7 +56,7 @@ def node_map_to_table(
 
 
 def node_set_from_table(df: DataFrame, column: str) -> NodeSet:
-    return NodeSet(df.select(_id(column).alias("id")))
+    return NodeSet(df.select(_id(df, column).alias("id")))
 
 
 def node_set_to_table(nodes: NodeSet, column: str = "id") -> DataFrame:
@@ -59,7 +64,7 @@ def node_set_to_table(nodes: NodeSet, column: str = "id") -> DataFrame:
 
 
 def vector_from_table(df: DataFrame, pos: str, value: str) -> Vector:
-    return Vector(df.select(_id(pos).alias("pos"), F.col(value).alias("value")))
+    return Vector(df.select(_id(df, pos).alias("pos"), F.col(value).alias("value")))
 
 
 def vector_from_array(df: DataFrame, array: str, keep: list[str] | None = None) -> DataFrame:

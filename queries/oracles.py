@@ -290,5 +290,54 @@ SELECT DISTINCT a.src, b.src AS dst FROM e a JOIN e b ON a.dst = b.dst AND a.src
 SELECT DISTINCT a.dst AS src, b.dst FROM e a JOIN e b ON a.src = b.src AND a.dst < b.dst""",
     "modularity_of_users": _modularity(TRANSITIONS, "SELECT pos AS id, user_id AS c FROM states"),
     "modularity_of_part_sizes": _modularity(SUCCESSION, "SELECT p_partkey AS id, p_size AS c FROM part"),
+    # Draws and Louvain labels depend on hashes and on the order of moves: what must hold is compared.
+    "choose_random": """SELECT least(100, count(DISTINCT l_partkey)) AS drawn, least(100, count(DISTINCT l_partkey)) AS distinct_ids,
+  least(100, count(DISTINCT l_partkey)) AS members FROM lineitem""",
+    "louvain_transitions_quality": f"""WITH {STATES} SELECT count(*) AS labelled, count(*) AS distinct_ids,
+  CAST(0 AS BIGINT) AS misnamed, CAST(0 AS BIGINT) AS isolated_joined, true AS score_is_own, true AS score_is_high FROM states""",
+    "louvain_places_quality": f"""WITH {PLACES} SELECT count(*) AS labelled, count(*) AS distinct_ids,
+  CAST(0 AS BIGINT) AS misnamed, CAST(0 AS BIGINT) AS isolated_joined, true AS score_is_own, true AS score_is_high FROM ({_NODES})""",
+    "property_graph_saved": f"WITH {SUCCESSION} SELECT src, dst, weight, p_retailprice AS price FROM e JOIN part ON p_partkey = src",
+    "bipartite_saved": """SELECT c_custkey AS id, c_acctbal AS weight, true AS weighted FROM customer
+UNION ALL SELECT -p_partkey - 1, p_retailprice, true FROM part""",
+    "coo_roundtrip_undirected": f"WITH {PLACES} SELECT least(src, dst) AS src, greatest(src, dst) AS dst FROM e",
+    "coo_node_values": "SELECT p_partkey AS id, p_retailprice AS weight FROM part",
+    "graph_build_weighted_nodes": "SELECT p_partkey AS id, p_retailprice AS weight FROM part",
+    "edge_violations": """SELECT 'null_endpoint' AS rule, c_custkey AS id FROM customer
+WHERE c_custkey NOT IN (SELECT s_suppkey FROM supplier)""",
+    "node_map_violations": """SELECT DISTINCT 'null_id' AS rule, CAST(NULL AS BIGINT) AS id FROM customer
+WHERE c_custkey NOT IN (SELECT s_suppkey FROM supplier)
+UNION ALL SELECT 'duplicate_id', o_custkey FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY o_custkey HAVING count(*) > 1""",
+    "bipartite_uncovered": f"""WITH {PURCHASES} SELECT DISTINCT 'endpoint_in_no_side' AS rule, dst AS id FROM e
+WHERE dst NOT IN (SELECT -p_partkey - 1 FROM part WHERE p_size > 25)""",
+    "bipartite_other_side": f"WITH {PURCHASES} SELECT DISTINCT dst AS id FROM e",
+    "vector_get": "SELECT event_id AS pos, value FROM events WHERE event_id IN (SELECT o_orderkey FROM orders)",
+    "bipartite_sizes": f"""WITH {PURCHASES}
+SELECT 'nodes' AS "of", (SELECT count(*) FROM customer) + (SELECT count(*) FROM part) AS n
+UNION ALL SELECT 'edges', count(*) FROM e""",
+    "vector_properties": "SELECT 'float' AS dtype, coalesce(max(event_id) + 1, 0) AS length FROM events",
+    "edge_set_properties": f"""WITH {SUCCESSION} SELECT true AS is_directed, (SELECT count(*) FROM ({_NODES})) AS num_nodes,
+  count(*) AS num_edges FROM e""",
+    "bipartite_properties_weighted": """SELECT false AS is_directed, 'map' AS edge_type, 'float' AS edge_dtype,
+  'map' AS node0_type, 'float' AS node0_dtype, 'set' AS node1_type, CAST(NULL AS VARCHAR) AS node1_dtype,
+  (SELECT count(*) FROM customer) AS num_nodes0, count(DISTINCT o_orderkey) AS num_nodes1, count(*) AS num_edges,
+  bool_or(o_totalprice < 100000) AS edge_has_negative_weights FROM orders""",
+    "vector_table": "SELECT event_id AS event, value AS amount FROM events",
+    "node_map_diff_repeated": """WITH r AS (
+  SELECT l_orderkey AS id, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_quantity) AS k, l_quantity AS v FROM lineitem),
+s AS (SELECT l_orderkey AS id, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_quantity) AS k, l_quantity AS v
+  FROM lineitem WHERE l_returnflag <> 'R')
+SELECT r.id AS id, CASE WHEN s.id IS NULL THEN 'only_left' ELSE 'value' END AS issue, r.v AS left_value, s.v AS right_value
+FROM r LEFT JOIN s ON r.id = s.id AND r.k = s.k WHERE s.v IS NULL OR s.v <> r.v""",
+    "node_map_diff_of_types": "SELECT p_partkey AS id, 'type' AS issue FROM part",
+    "nodemap_apply_large": """SELECT c_custkey AS id, coalesce(o_orderkey + 9007199254740994, -1) AS weight
+FROM customer LEFT JOIN orders ON o_custkey = c_custkey""",
+    "nodemap_apply_batch": "SELECT p_partkey AS id, CAST(floor(p_retailprice * 2) AS BIGINT) AS weight FROM part",
+    "nodemap_reduce_all": """SELECT 'sum' AS how, CAST(sum(p_size) AS BIGINT) AS value FROM part
+UNION ALL SELECT 'min', min(p_size) FROM part UNION ALL SELECT 'max', max(p_size) FROM part
+UNION ALL SELECT 'count', count(p_size) FROM part""",
+    "aggregate_edges_least": f"""WITH {SUCCESSION}, low AS (SELECT dst AS id, min(weight) AS w FROM e GROUP BY dst)
+SELECT n.id, least(3.0::DOUBLE, coalesce(w, 3.0::DOUBLE)) AS weight FROM ({_NODES}) n LEFT JOIN low ON low.id = n.id""",
+    "pagerank_converged": _pagerank(SUCCESSION, 60).replace("round(r, 9)", "round(r, 8)"),
+    "projection_nodes": "SELECT -p_partkey - 1 AS id, p_retailprice AS weight FROM part",
 }
-# Without SQL: choose_random draws by Spark's hash, and the Louvain labels depend on the order of moves.

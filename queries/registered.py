@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from edgeloom.model import EdgeMap, EdgeSet, Graph, NodeMap, NodeSet
+from edgeloom.functions.edges import endpoints
+from edgeloom.model import BipartiteGraph, EdgeMap, EdgeSet, Graph, NodeMap, NodeSet
 from edgeloom.operators import checks, diff, edges as edge_ops, lookups, nodes as node_ops
 from edgeloom.operators.bfs import bfs_iter
 from edgeloom.operators.components import connected_components
@@ -15,8 +20,11 @@ from edgeloom.operators.projection import graph_projection
 from edgeloom.operators.strong import strongly_connected_components
 from edgeloom.operators.triangles import triangle_table
 from edgeloom.sources import matrices, tables
-from edgeloom.sources.property_graphs import load_bipartite, load_graph
+from edgeloom.sources.property_graphs import (
+    load_bipartite, load_graph, read_bipartite, read_graph, save_bipartite, save_graph,
+)
 from edgeloom.plans.positions import dense_positions
+from edgeloom.plans.rounds import shared_folder
 from queries import graphs as g
 
 QUERIES = {}
@@ -342,7 +350,12 @@ def nodemap_to_nodeset(spark, folder):
 
 @query
 def choose_random(spark, folder):
-    return node_ops.choose_random(_part_ids(spark, folder), 100, seed=7).df
+    """Which ids are drawn is chance; how many, that they differ, and that they are members is not."""
+    drawn = node_ops.choose_random(_part_ids(spark, folder), 100, seed=7).df
+    known = _part_ids(spark, folder).df.withColumn("member", F.lit(1))
+    return drawn.join(known, "id", "left").agg(
+        F.count("*").alias("drawn"), F.count_distinct("id").alias("distinct_ids"), F.count("member").alias("members")
+    )
 
 
 @query
@@ -488,13 +501,249 @@ def modularity_of_part_sizes(spark, folder):
     return table.select(F.round("modularity", 9).alias("modularity"))
 
 
+def _louvain_quality(spark, graph: Graph, other: NodeMap) -> DataFrame:
+    """One row on the outcome: sizes and whether it keeps what the operator promises.
+
+    Labels depend on the order of moves, so the promises are compared: labels are the smallest ids
+    of their communities, the score is that of the labels and not below that of the partition ``other``.
+    """
+    labels, score = louvain_community(graph)
+    own = modularity_table(graph, labels).first()["modularity"]
+    least = modularity_table(graph, other).first()["modularity"]
+    smallest = labels.df.groupBy("weight").agg(F.min("id").alias("low"))
+    unnamed = smallest.where("low <> weight").count()
+    touched = endpoints(graph.edges)
+    joined = labels.df.join(touched, "id", "left_anti").where("id <> weight").count()
+    return labels.df.agg(
+        F.count("*").alias("labelled"), F.count_distinct("id").alias("distinct_ids"),
+        F.lit(unnamed).cast("bigint").alias("misnamed"), F.lit(joined).cast("bigint").alias("isolated_joined"),
+        F.lit(abs(score - own) < 1e-9).alias("score_is_own"), F.lit(score >= least - 1e-9).alias("score_is_high"),
+    )
+
+
+@query
+def louvain_transitions_quality(spark, folder):
+    """Not below the partition by users."""
+    users = g.event_states(spark, folder)
+    by_user = NodeMap(users.select(F.col("pos").alias("id"), F.col("user_id").alias("weight")))
+    return _louvain_quality(spark, g.transitions(spark, folder), by_user)
+
+
+@query
+def louvain_places_quality(spark, folder):
+    """Not below the partition in which each node is with the nation or region it belongs to, or alone."""
+    graph = g.places(spark, folder)
+    up = graph.edges.select(F.col("src").alias("id"), F.col("dst").alias("weight"))
+    roots = graph.nodes.select("id").join(up.select("id"), "id", "left_anti").select("id", F.col("id").alias("weight"))
+    return _louvain_quality(spark, graph, NodeMap(up.union(roots)))
+
+
+# Further sources, checks and profiles
+
+
+def _weighted_purchases(spark, folder):
+    """Purchases with balances and prices as node weights."""
+    bought = g.purchases(spark, folder)
+    customers = g.table(spark, folder, "customer").select(F.col("c_custkey").alias("id"), F.col("c_acctbal").alias("weight"))
+    parts = g.table(spark, folder, "part").select((-F.col("p_partkey") - 1).alias("id"), F.col("p_retailprice").alias("weight"))
+    return BipartiteGraph(bought.edges, customers, parts, False, True, True)
+
+
+def _orders_of_all_customers(spark, folder) -> DataFrame:
+    """Customers with their orders; one without any has a null order."""
+    orders = g.table(spark, folder, "orders")
+    return g.table(spark, folder, "customer").join(orders, F.col("c_custkey") == F.col("o_custkey"), "left")
+
+
+def _suppliers_by_customer(spark, folder) -> DataFrame:
+    """Customers with the supplier of the same number, null if there is none."""
+    suppliers = g.table(spark, folder, "supplier")
+    return g.table(spark, folder, "customer").join(suppliers, F.col("c_custkey") == F.col("s_suppkey"), "left")
+
+
+def _saved(spark) -> str:
+    return f"{shared_folder(spark)}/saved-{uuid.uuid4().hex}"
+
+
+@query
+def property_graph_saved(spark, folder):
+    path = _saved(spark)
+    graph = load_graph(
+        g.succession(spark, folder).df, g.table(spark, folder, "part"), weight="weight",
+        node="p_partkey", node_weight="p_retailprice",
+    )
+    save_graph(graph, path)
+    back = read_graph(spark, path)
+    return back.edges.join(back.nodes.select(F.col("id").alias("src"), F.col("weight").alias("price")), "src")
+
+
+@query
+def bipartite_saved(spark, folder):
+    path = _saved(spark)
+    save_bipartite(_weighted_purchases(spark, folder), path)
+    back = read_bipartite(spark, path)
+    side0 = back.nodes0.select("id", "weight", F.lit(back.has_node0_weights).alias("weighted"))
+    return side0.union(back.nodes1.select("id", "weight", F.lit(back.has_node1_weights)))
+
+
+@query
+def coo_roundtrip_undirected(spark, folder):
+    graph = g.places(spark, folder)
+    whole = matrices.graph_to_coo(Graph(graph.edges, graph.nodes, is_directed=False))
+    return matrices.edges_from_coo(whole, directed=False, weighted=False).df
+
+
+@query
+def coo_node_values(spark, folder):
+    graph = edge_ops.build_graph(g.succession(spark, folder), g.prices(spark, folder))
+    return matrices.graph_from_coo(matrices.graph_to_coo(graph)).nodes
+
+
+@query
+def graph_build_weighted_nodes(spark, folder):
+    return edge_ops.build_graph(g.succession(spark, folder), g.prices(spark, folder)).nodes
+
+
+@query
+def edge_violations(spark, folder):
+    """Customers whose number no supplier has give edges without an end."""
+    edges = tables.edges_from_table(_suppliers_by_customer(spark, folder), "c_custkey", "s_suppkey", "c_acctbal")
+    return checks.violations(edges)
+
+
+@query
+def node_map_violations(spark, folder):
+    """Supplier numbers that are missing; customer numbers that repeat."""
+    by_supplier = tables.node_map_from_table(_suppliers_by_customer(spark, folder), "s_suppkey", "c_acctbal")
+    by_customer = tables.node_map_from_table(_orders_of_all_customers(spark, folder), "c_custkey", "o_totalprice")
+    return checks.violations(by_supplier).union(checks.violations(by_customer))
+
+
+@query
+def bipartite_uncovered(spark, folder):
+    """Purchases where only parts of more than medium size are listed."""
+    bought = g.purchases(spark, folder)
+    large = g.table(spark, folder, "part").where("p_size > 25").select((-F.col("p_partkey") - 1).alias("id"))
+    return checks.violations(BipartiteGraph(bought.edges, bought.nodes0, large))
+
+
+@query
+def bipartite_other_side(spark, folder):
+    """The side that isn't given, from edges that are written either way."""
+    bought = g.purchases(spark, folder)
+    turned = F.pmod(F.col("src"), F.lit(2)) == 0
+    edges = bought.edges.select(
+        F.when(turned, F.col("dst")).otherwise(F.col("src")).alias("src"),
+        F.when(turned, F.col("src")).otherwise(F.col("dst")).alias("dst"),
+    )
+    return BipartiteGraph(edges, bought.nodes0).nodes1
+
+
+@query
+def vector_get(spark, folder):
+    events = tables.vector_from_table(g.table(spark, folder, "events"), "event_id", "value")
+    return lookups.get(events, g.table(spark, folder, "orders").select("o_orderkey"))
+
+
+@query
+def bipartite_sizes(spark, folder):
+    bought = g.purchases(spark, folder)
+    nodes = lookups.num_nodes(bought).select(F.lit("nodes").alias("of"), F.col("num_nodes").alias("n"))
+    return nodes.union(lookups.num_edges(bought).select(F.lit("edges"), "num_edges"))
+
+
+@query
+def vector_properties(spark, folder):
+    return profile(tables.vector_from_table(g.table(spark, folder, "events"), "event_id", "value"))
+
+
+@query
+def edge_set_properties(spark, folder):
+    return profile(_succession_set(spark, folder))
+
+
+@query
+def bipartite_properties_weighted(spark, folder):
+    """Customers and orders with totals less a threshold as weights, some of them negative."""
+    orders = g.table(spark, folder, "orders")
+    edges = orders.select(
+        F.col("o_custkey").alias("src"), (-F.col("o_orderkey") - 1).alias("dst"),
+        (F.col("o_totalprice") - 100000).alias("weight"),
+    )
+    customers = g.table(spark, folder, "customer").select(F.col("c_custkey").alias("id"), F.col("c_acctbal").alias("weight"))
+    return profile(BipartiteGraph(edges, customers, has_node0_weights=True))
+
+
+@query
+def vector_table(spark, folder):
+    events = tables.vector_from_table(g.table(spark, folder, "events"), "event_id", "value")
+    return tables.vector_to_table(events, "event", "amount")
+
+
+# Differences and functions on rows that repeat or are null
+
+
+@query
+def node_map_diff_repeated(spark, folder):
+    """Quantities by order, which repeat, with and without returned lines."""
+    lines = g.table(spark, folder, "lineitem")
+    left = tables.node_map_from_table(lines, "l_orderkey", "l_quantity")
+    right = tables.node_map_from_table(lines.where("l_returnflag <> 'R'"), "l_orderkey", "l_quantity")
+    return diff.node_map_diff(left, right)
+
+
+@query
+def node_map_diff_of_types(spark, folder):
+    """Sizes as whole numbers against the same as floats."""
+    part = g.table(spark, folder, "part")
+    sizes = tables.node_map_from_table(part, "p_partkey", "p_size")
+    floats = tables.node_map_from_table(part.withColumn("p_size", F.col("p_size").cast("double")), "p_partkey", "p_size")
+    return diff.node_map_diff(sizes, floats).select("id", "issue")
+
+
+@query
+def nodemap_apply_large(spark, folder):
+    """A Python function on numbers beyond 2 ** 53, with nulls among them."""
+    rows = _orders_of_all_customers(spark, folder).select(
+        "c_custkey", (F.col("o_orderkey") + F.lit(9007199254740993)).alias("big")
+    )
+    nodes = tables.node_map_from_table(rows, "c_custkey", "big")
+    return node_ops.apply(nodes, lambda v: -1 if v is None else v + 1, "bigint", scalar=True).df
+
+
+@query
+def nodemap_apply_batch(spark, folder):
+    """A function over whole Arrow batches."""
+    return node_ops.apply(
+        g.prices(spark, folder), lambda prices: pc.floor(pc.multiply(prices, 2.0)), "bigint", batch=True
+    ).df
+
+
+@query
+def nodemap_reduce_all(spark, folder):
+    sizes = tables.node_map_from_table(g.table(spark, folder, "part"), "p_partkey", "p_size")
+    folds = [
+        node_ops.reduce(sizes, how).select(F.lit(how).alias("how"), F.col("value").cast("bigint").alias("value"))
+        for how in ("sum", "min", "max", "count")
+    ]
+    return reduce(DataFrame.union, folds)
+
+
+@query
+def aggregate_edges_least(spark, folder):
+    """The least weight into each part, from 3 down."""
+    return edge_ops.aggregate_edges(
+        g.succession_graph(spark, folder), "min", 3.0, in_edges=True, out_edges=False
+    ).df
+
+
 @query
-def louvain_transitions(spark, folder):
-    labels, _ = louvain_community(g.transitions(spark, folder))
-    return labels.df.select("id", F.col("weight").alias("community"))
+def pagerank_converged(spark, folder):
+    """Ranks to convergence."""
+    ranks = pagerank(g.succession_graph(spark, folder), 0.85, 200, 1e-13)
+    return ranks.df.select("id", F.round("weight", 8).alias("rank"))
 
 
 @query
-def louvain_places(spark, folder):
-    labels, _ = louvain_community(g.places(spark, folder))
-    return labels.df.select("id", F.col("weight").alias("community"))
+def projection_nodes(spark, folder):
+    return graph_projection(_weighted_purchases(spark, folder), 1).nodes
