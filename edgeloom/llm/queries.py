@@ -21,7 +21,73 @@ QUERIES = {f.__name__: f for f in (
 WORDS = r"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
 
+#: The raking as so many sweeps, each a chain of three scalings; more than any given table needs.
+SWEEPS = 12
+
+
+def _scaling(before: str, after: str, name: str) -> str:
+    return f"""{after} AS MATERIALIZED (SELECT source, lang, topic, tokens,
+  weight * t_{name} / sum(weight) OVER (PARTITION BY {name}) AS weight, t_source, t_lang, t_topic FROM {before})"""
+
+
+def _raking() -> str:
+    steps, last = [], "start"
+    for sweep in range(SWEEPS):
+        for name in ("source", "lang", "topic"):
+            steps.append(_scaling(last, f"w{sweep}_{name}", name))
+            last = f"w{sweep}_{name}"
+    return ", ".join(steps) + f", raked AS (SELECT * FROM {last})"
+
+
+def _share(characters: str) -> str:
+    return f"(length(text) - length(translate(text, '{characters}', ''))) / greatest(1, length(text))"
+
+
+MIXING = f"""
+WITH d AS MATERIALIZED (
+  SELECT doc_id, coalesce(source, chr(0)) AS source, coalesce(lang, chr(0)) AS lang,
+    CASE WHEN text IS NULL OR text = '' THEN 'empty'
+      WHEN {_share("ABCDEFGHIJKLMNOPQRSTUVWXYZ")} > 0.3 THEN 'shouted' WHEN {_share("%$#&*|!<>{}=_")} > 0.02 THEN 'marked'
+      WHEN {_share("0123456789")} > 0.01 THEN 'numeric' WHEN length(text) > 5000 THEN 'long' ELSE 'prose' END AS topic,
+    greatest(1, coalesce(len(regexp_extract_all(text, '[^ \\t\\n\\r]+')), 0))::BIGINT AS tokens FROM documents),
+cells AS MATERIALIZED (SELECT source, lang, topic, sum(tokens)::DOUBLE AS tokens FROM d GROUP BY ALL),
+s AS (SELECT source, sqrt(sum(tokens)) AS t FROM cells GROUP BY source),
+l AS (SELECT lang, sqrt(sum(tokens)) AS t FROM cells GROUP BY lang),
+o AS (SELECT topic, sqrt(sum(tokens)) AS t FROM cells GROUP BY topic),
+start AS MATERIALIZED (
+  SELECT source, lang, topic, tokens, tokens AS weight, s.t / (SELECT sum(t) FROM s) AS t_source,
+    l.t / (SELECT sum(t) FROM l) AS t_lang, o.t / (SELECT sum(t) FROM o) AS t_topic
+  FROM cells JOIN s USING (source) JOIN l USING (lang) JOIN o USING (topic)),
+{_raking()},
+full_first AS (  -- cells in the order in which they reach probability 1, with what is left for the others
+  SELECT *, (0.5 * (SELECT sum(tokens) FROM cells) - coalesce(sum(tokens) OVER b, 0))
+    / ((SELECT sum(weight) FROM raked) - coalesce(sum(weight) OVER b, 0)) AS level
+  FROM raked WINDOW b AS (ORDER BY tokens / weight, source, lang, topic ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+k AS (SELECT arg_min(level, tokens / weight) AS level FROM full_first WHERE level * weight < tokens),
+p AS (SELECT source, lang, topic, weight, least(1.0, level * weight / tokens) AS p FROM raked, k)
+SELECT doc_id, source, lang, topic, d.tokens, round(weight, 9) AS weight, round(p, 7) AS p,
+  ('0x' || substr(md5('mix:' || doc_id), 1, 12))::BIGINT / 281474976710656.0 < p AS drawn
+FROM d JOIN p USING (source, lang, topic)"""
+
+EMBEDDINGS = """
+WITH RECURSIVE v AS MATERIALIZED (
+  SELECT vec_id, label, embedding::DOUBLE[] AS x FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda z: z <> 0)) > 0
+    AND len(list_filter(embedding, lambda z: z IS NULL OR NOT isfinite(z))) = 0),
+p AS MATERIALIZED (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+  AND len(a.x) = len(b.x) AND list_cosine_similarity(a.x, b.x) >= 0.93),
+cc(n, l) USING KEY (n) AS (
+  SELECT vec_id, vec_id FROM embeddings
+  UNION SELECT p.b, min(cc.l) FROM cc JOIN p ON p.a = cc.n JOIN recurring.cc q ON q.n = p.b
+  GROUP BY p.b HAVING min(cc.l) < min(q.l)),
+n AS (SELECT a, count(*) AS links FROM p GROUP BY a)
+SELECT vec_id, coalesce(links, 0)::BIGINT AS n_links, l AS component_id, vec_id = l AS kept
+FROM embeddings LEFT JOIN n ON a = vec_id JOIN cc ON cc.n = vec_id"""
+
 ORACLES = {
+    "op3_mixing": MIXING,
+    "op5_embedding_dedup": EMBEDDINGS,
     "op8_decontaminate": f"""
 WITH d AS (SELECT doc_id, coalesce({WORDS}, []) AS w FROM documents),
 b AS (SELECT item_id, {WORDS} AS w FROM benchmark),
