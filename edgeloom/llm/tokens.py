@@ -12,7 +12,7 @@ covers all of it. Many blocks are coded in step, one lane each, by numpy.
 File format: a Parquet table of ``part, block, payload``, so that Spark commits, retries and
 reads it on any store. A payload is, in little-endian order: magic ``CMR1``, crc32 of what
 follows, number of ids, number of document ends ``n``; then ``n`` positions of document ends in the
-block, their ``n`` ids of documents and ``n`` flags (1: the document has an id), and the coder's words. Parts and blocks are in the order of the documents.
+block, their ``n`` ids of documents and ``n`` flags (1: the document has an id), and the coder's words of 3 bytes. Parts and blocks are in the order of the documents.
 """
 
 from __future__ import annotations
@@ -30,17 +30,20 @@ from edgeloom.llm.common import column_of, table
 from edgeloom.plans.rounds import written
 
 BLOCK = 8192
-LANES = 1024
+LANES = 768
 END_ID = 1
 MAGIC = b"CMR1"
 
 TOTAL_BITS = 15
 SCALE = (1 << TOTAL_BITS) - 16  # what the models' counts add up to; 16 more keep every nibble possible
-ORDER0, HASHED = 4096, 2048  # rows of each lane's models
-ROWS = ORDER0 + 2 * HASHED
-RATES = np.array([5, 4, 4], np.int16)[:, None, None]
+ORDER0, HASHED_BITS = 1 + 16 + 256 + 4096, 10
+HASHED = 1 << HASHED_BITS
+ROWS = ORDER0 + 2 * HASHED  # of each lane's models
+RATE = 4
 START = np.array([0, 1, 17, 273])  # first order-0 row of each nibble
-TOP, MASK = np.uint64(1 << 32), np.uint64((1 << 48) - 1)
+# The coder's interval lies in 56 bits; the upper 24 of them are the next word.
+WINDOW, WORD = 56, 24
+LEAST = np.uint64(1 << WINDOW - WORD)
 #: Where each symbol moves the cumulative counts to.
 TARGETS = np.where(np.arange(16)[None, :] >= np.arange(16)[:, None], SCALE, 0).astype(np.int16)
 ONES = np.arange(1, 17, dtype=np.uint16)
@@ -56,7 +59,7 @@ class _Lanes:
         self.base = np.arange(lanes) * ROWS
         self.place = np.arange(3 * lanes).reshape(3, lanes) * 16  # of each lane's counts
         self.low = np.zeros(lanes, np.uint64)
-        self.range = np.full(lanes, (1 << 48) - 1, np.uint64)
+        self.range = np.full(lanes, (1 << WINDOW) - 1, np.uint64)
 
     def shrink(self, n: int) -> None:
         """Go on with the first ``n`` lanes."""
@@ -72,8 +75,8 @@ class _Lanes:
     def foresee(self, level: int, path: np.ndarray) -> np.ndarray:
         """Cumulative counts of the mix, for the nibble ``level`` after ``path``."""
         salt = (path + np.uint32(START[level])) * np.uint32(0xC2B2AE35)
-        one = ((self.hash1 ^ salt) * np.uint32(0x27D4EB2F)) >> np.uint32(21)
-        two = ((self.hash2 ^ salt) * np.uint32(0x27D4EB2F)) >> np.uint32(21)
+        one = ((self.hash1 ^ salt) * np.uint32(0x27D4EB2F)) >> np.uint32(32 - HASHED_BITS)
+        two = ((self.hash2 ^ salt) * np.uint32(0x27D4EB2F)) >> np.uint32(32 - HASHED_BITS)
         n = len(path)
         index = np.empty((3, n), np.int64)
         np.add(self.base, path, out=index[0])
@@ -112,22 +115,30 @@ class _Lanes:
         w += (np.floor(gain) - w) * np.float32(0.0625)
         np.floor(w, out=w)
         np.maximum(w, 256, out=w)
-        self.counts += (TARGETS.take(symbol, axis=0, mode="clip") - self.counts) >> RATES
+        moved = TARGETS.take(symbol, axis=0, mode="clip") - self.counts
+        moved >>= RATE
+        self.counts += moved
         self.tables[self.index] = self.counts.reshape(-1, 16)
 
     def due(self) -> np.ndarray:
-        """Lanes that move on by a word; where an interval stays too small it is cut to one word's."""
-        same = (self.low ^ (self.low + self.range)) < TOP
-        small = self.range < np.uint64(1 << 16)
-        cut = np.flatnonzero(small & ~same)
-        if len(cut):
-            self.range[cut] = (~self.low[cut] + np.uint64(1)) & np.uint64((1 << 16) - 1)
-            same[cut] = True
-        return np.flatnonzero(same)
+        """Lanes whose interval has become too small, so that they move on by a word.
+
+        An interval that lies across a step of the next word is cut to its larger part, which
+        costs less than a bit and spares carries. One word makes the interval large enough.
+        """
+        due = np.flatnonzero(self.range < LEAST)
+        if len(due):
+            low, width = self.low[due], self.range[due]
+            below = LEAST - (low & (LEAST - np.uint64(1)))
+            across = below < width
+            upper = across & (width - below > below)
+            self.low[due] = np.where(upper, low + below, low)
+            self.range[due] = np.where(upper, width - below, np.where(across, below, width))
+        return due
 
     def shift(self, lanes: np.ndarray) -> None:
-        self.low[lanes] = self.low[lanes] << np.uint64(16) & MASK
-        self.range[lanes] <<= np.uint64(16)
+        self.low[lanes] = (self.low[lanes] & (LEAST - np.uint64(1))) << np.uint64(WORD)
+        self.range[lanes] <<= np.uint64(WORD)
 
 
 def _by_length(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -139,14 +150,14 @@ def _by_length(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def encode_blocks(blocks: list[np.ndarray]) -> list[np.ndarray]:
-    """The coder's output of each block of ids, as 16-bit words."""
+    """The coder's output of each block of ids, as 24-bit words."""
     lengths = np.array([len(b) for b in blocks], np.int64)
     order, active = _by_length(lengths)
     ids = np.zeros((max(1, len(active)), len(blocks)), np.uint32)
     for lane, block in enumerate(order):
         ids[:lengths[block], lane] = blocks[block]
     lanes = _Lanes(len(blocks))
-    words = np.zeros((len(blocks), 2 * len(active) + 16), np.uint16)
+    words = np.zeros((len(blocks), len(active) // 2 + 16), np.uint32)
     used = np.zeros(len(blocks), np.int64)
     last = {}
     for step, n in enumerate(active.tolist()):
@@ -158,30 +169,33 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[np.ndarray]:
         for level in range(4):
             lanes.foresee(level, now >> np.uint32(16 - 4 * level))
             lanes.narrow((now >> np.uint32(12 - 4 * level) & np.uint32(15)).astype(np.int64))
-            while len(due := lanes.due()):
-                if used[due].max() >= words.shape[1]:
-                    words = np.pad(words, ((0, 0), (0, words.shape[1])))
-                words[due, used[due]] = (lanes.low[due] >> np.uint64(32)).astype(np.uint16)
+            due = lanes.due()
+            if len(due):
+                words[due, used[due]] = lanes.low[due] >> np.uint64(WINDOW - WORD)
                 used[due] += 1
                 lanes.shift(due)
+        if step % 64 == 0 and used.max(initial=0) + 300 > words.shape[1]:
+            words = np.pad(words, ((0, 0), (0, words.shape[1] + 300)))
     last.update({i: (lanes.low[i], lanes.range[i]) for i in range(len(lanes.low))})
-    out: list[np.ndarray] = [np.zeros(0, np.uint16)] * len(blocks)
+    out: list[np.ndarray] = [np.zeros(0, np.uint32)] * len(blocks)
     for lane, block in enumerate(order):
-        low = int(last[lane][0])
-        tail = np.array([low >> 32 & 0xFFFF, low >> 16 & 0xFFFF, low & 0xFFFF], np.uint16)
-        out[block] = np.concatenate([words[lane, :used[lane]], tail])
+        # The least word within the interval; readers take the bits after it for zeros.
+        tail = [-(-int(last[lane][0]) >> WINDOW - WORD)] if lengths[block] else []
+        out[block] = np.concatenate([words[lane, :used[lane]], np.array(tail, np.uint32)])
     return out
 
 
 def decode_blocks(words: list[np.ndarray], lengths: np.ndarray) -> list[np.ndarray]:
     """The ids of each block, from the coder's output and the number of ids."""
     order, active = _by_length(lengths)
-    longest = max((len(w) for w in words), default=0) + 8
-    stream = np.zeros((len(words), longest), np.uint64)
+    longest = max((len(w) for w in words), default=0) + 4
+    stream = np.zeros((len(words), longest), np.uint32)
     for lane, block in enumerate(order):
         stream[lane, :len(words[block])] = words[block]
     lanes = _Lanes(len(words))
-    code = stream[:, 0] << np.uint64(32) | stream[:, 1] << np.uint64(16) | stream[:, 2]
+    # The window is two words and a byte, so the third word is held back in part.
+    first = stream[:, :3].astype(np.uint64)
+    code = first[:, 0] << np.uint64(32) | first[:, 1] << np.uint64(8) | first[:, 2] >> np.uint64(16)
     used = np.full(len(words), 3, np.int64)
     ids = np.zeros((max(1, len(active)), len(words)), np.uint32)
     most = np.uint64((1 << TOTAL_BITS) - 1)
@@ -195,10 +209,15 @@ def decode_blocks(words: list[np.ndarray], lengths: np.ndarray) -> list[np.ndarr
             mix = lanes.foresee(level, path)
             value = (code - lanes.low) // (lanes.range >> np.uint64(TOTAL_BITS))
             value = np.minimum(value, most).astype(np.uint16)
-            symbol = (mix <= value[:, None]).sum(axis=1)
+            below = np.bitwise_count((mix <= value[:, None]).view(np.uint64))
+            symbol = below[:, 0].astype(np.int64) + below[:, 1]
             lanes.narrow(symbol)
-            while len(due := lanes.due()):
-                code[due] = (code[due] << np.uint64(16) & MASK) | stream[due, np.minimum(used[due], longest - 1)]
+            due = lanes.due()
+            if len(due):
+                at = np.minimum(used[due], longest - 1)
+                fresh = (stream[due, at - 1] & np.uint32(0xFFFF)).astype(np.uint64) << np.uint64(8)
+                fresh |= stream[due, at] >> np.uint32(16)
+                code[due] = (code[due] & (LEAST - np.uint64(1))) << np.uint64(WORD) | fresh
                 used[due] += 1
                 lanes.shift(due)
             path = path << np.uint32(4) | symbol.astype(np.uint32)
@@ -212,7 +231,8 @@ def decode_blocks(words: list[np.ndarray], lengths: np.ndarray) -> list[np.ndarr
 def pack(words: np.ndarray, n_ids: int, ends: list[int], docs: list[int | None]) -> bytes:
     body = struct.pack("<II", n_ids, len(ends))
     body += np.array(ends, "<u4").tobytes() + np.array([d or 0 for d in docs], "<i8").tobytes()
-    body += np.array([d is not None for d in docs], np.uint8).tobytes() + words.astype("<u2").tobytes()
+    body += np.array([d is not None for d in docs], np.uint8).tobytes()
+    body += words.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3].tobytes()
     return MAGIC + struct.pack("<I", zlib.crc32(body)) + body
 
 
@@ -225,7 +245,8 @@ def unpack(payload: bytes) -> tuple[np.ndarray, int, list[int], list[int | None]
     ends = np.frombuffer(body, "<u4", n, 8)
     docs = np.frombuffer(body, "<i8", n, 8 + 4 * n)
     flags = np.frombuffer(body, np.uint8, n, 8 + 12 * n)
-    words = np.frombuffer(body, "<u2", -1, 8 + 13 * n).astype(np.uint16)
+    raw = np.frombuffer(body, np.uint8, -1, 8 + 13 * n).reshape(-1, 3)
+    words = np.pad(raw, ((0, 0), (0, 1))).view("<u4").ravel().astype(np.uint32)
     return words, n_ids, ends.tolist(), [d if f else None for d, f in zip(docs.tolist(), flags.tolist())]
 
 
