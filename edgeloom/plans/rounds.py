@@ -69,8 +69,31 @@ def written(df: DataFrame, **facts: Column) -> tuple[DataFrame, dict]:
     return _write(df, shared_folder(df.sparkSession), facts)
 
 
+# Folders that this process has written.
+_paths: list[str] = []
+
+
+def release(spark: SparkSession, keep: DataFrame | None = None) -> int:
+    """Remove the tables that this process has written, but for those that ``keep`` reads.
+
+    Call it when the results have been used or written; returns the number of removed tables.
+    """
+    read = {file.rsplit("/", 1)[0].split("/table-")[-1] for file in keep.inputFiles()} if keep is not None else set()
+    gone = [path for path in _paths if path.split("/table-")[-1] not in read]
+    for path in gone:
+        _remove(spark, path)
+        _paths.remove(path)
+    return len(gone)
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
 def _write(df: DataFrame, folder: str, facts: dict[str, Column]) -> tuple[DataFrame, dict]:
     path = f"{folder}/table-{uuid.uuid4().hex}"
+    _paths.append(path)
     taken = Observation()
     if facts:
         df = df.observe(taken, *[column.alias(name) for name, column in facts.items()])
@@ -96,9 +119,8 @@ class Rounds:
     def __exit__(self, *_) -> None:
         for df in self._kept:
             df.unpersist()
-        path = self._spark._jvm.org.apache.hadoop.fs.Path(self._folder)
-        hadoop = self._spark._jsparkSession.sessionState().newHadoopConf()
-        path.getFileSystem(hadoop).delete(path, True)
+        _remove(self._spark, self._folder)
+        _paths[:] = [path for path in _paths if not path.startswith(self._folder)]
 
     def written(self, df: DataFrame, **facts: Column) -> tuple[DataFrame, dict]:
         """As :func:`written`, for a table that the loop drops at its end."""

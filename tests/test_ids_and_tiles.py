@@ -14,6 +14,7 @@ from edgeloom.operators.louvain import louvain_community, modularity_table
 from edgeloom.operators.pagerank import pagerank
 from edgeloom.operators.strong import strongly_connected_components
 from edgeloom.operators.triangles import triangle_count
+from edgeloom.plans.rounds import release
 from edgeloom.plans.skew import pair_tiles, pairs_within
 from edgeloom.sources import matrices, tables
 from tests.fixtures import edges_df, graph, ids_df, pairs, random_edges
@@ -136,3 +137,15 @@ def test_louvain_ends_where_no_single_move_gains(spark, seed):
     assert all(min(n for n in by_id if by_id[n] == c) == c for c in by_id.values())
     alone = NodeMap(made.nodes.selectExpr("id", "id AS weight"))
     assert score >= modularity_table(made, alone).first()[0]
+
+
+def test_release_leaves_the_result_only(spark):
+    release(spark)
+    made = graph(spark, [(1, 2), (2, 3), (7, 8)])
+    result = matrices.edges_to_coo(EdgeSet(made.edges)).cells
+    labels = connected_components(made).df
+    assert release(spark, keep=labels) >= 2
+    assert labels.count() == 5
+    with pytest.raises(Exception, match="FILE_NOT_EXIST"):
+        result.collect()
+    assert release(spark) == 1
