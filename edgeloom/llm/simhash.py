@@ -192,18 +192,23 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """``docs`` with one row of each group, that of the smallest id.
 
     Rows of the same id count once, whichever comes first; rows without an id are all kept.
+    The rows are shuffled once, at any size, to meet the list of ids that stay.
     """
     groups, _ = written(simhash_groups(docs, doc_id, text, threshold, width))
     name = free_name(docs, "_kept")
     seen = groups.where("doc_id is not null").groupBy(F.col("doc_id").alias(name)).agg(
         F.max(F.col("doc_id") == F.col("component_id")).alias("stays"), F.count("*").alias("n")
     )
-    seen, _ = written(seen)
-    key = column_of(docs, doc_id)
-    known = column_of(docs, name)
-    once = docs.join(seen.where("not stays or n > 1").select(name), key == known, "left_anti")
-    repeated = docs.join(seen.where("stays and n > 1").select(name), key == known, "left_semi")
-    return once.unionByName(repeated.dropDuplicates([doc_id]))
+    seen, facts = written(seen, repeated=F.count_if(F.col("n") > 1))
+
+    def staying(which: str) -> DataFrame:
+        ids = seen.where(f"stays and {which}").select(name).hint("merge")
+        return docs.join(ids, column_of(docs, doc_id) == F.col(name), "left_semi")
+
+    kept = staying("n = 1").union(docs.where(column_of(docs, doc_id).isNull()))
+    if facts["repeated"]:
+        kept = kept.union(staying("n > 1").dropDuplicates([doc_id]))
+    return kept
 
 
 def op7_simhash_dedup(spark, folder: str) -> DataFrame:
