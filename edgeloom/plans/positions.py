@@ -6,19 +6,19 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from edgeloom.plans.rounds import checkpointed, setting, shuffle_partitions
+from edgeloom.plans.rounds import setting, shuffle_partitions, written
 
 
 def dense_positions(df: DataFrame, keys: list[str | Column], name: str = "pos") -> DataFrame:
     """Number the rows 0, 1, 2, ... in the order of ``keys``, which must be unique together.
 
-    Rows are range-partitioned and sorted, then written: numbering reads the written
-    partitions, because a second run of the sort could cut the ranges elsewhere.
+    Rows are range-partitioned, sorted and written with their range and their place in it,
+    because a second run of the sort could cut the ranges elsewhere.
     """
-    ordered = checkpointed(df.repartitionByRange(*keys).sortWithinPartitions(*keys))
+    ordered = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
     # The id function counts from partition << 33 within each partition.
     row = F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("bigint"), 33)
-    tagged = ordered.select("*", F.spark_partition_id().alias("_range"), row.alias("_row"))
+    tagged, _ = written(ordered.select("*", F.spark_partition_id().alias("_range"), row.alias("_row")))
     # One row per partition, so the unpartitioned window is over a list of bounded size.
     earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     sizes = (

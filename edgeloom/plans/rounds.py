@@ -58,12 +58,6 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Checkpoint ``df`` now; partitions and their order stay as they are."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def written(df: DataFrame, **facts: Column) -> tuple[DataFrame, dict]:
     """Write ``df`` to the shared folder, taking aggregates of its rows on the way."""
     return _write(df, shared_folder(df.sparkSession), facts)

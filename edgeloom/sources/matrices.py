@@ -36,12 +36,18 @@ class CompressedRows:
     node_list: DataFrame  # pos, id
 
 
-def _cells(edges: DataFrame, node_list: DataFrame, directed: bool, value: Column) -> DataFrame:
+def _cells(
+    edges: DataFrame, node_list: DataFrame, directed: bool, value: Column, merge: bool = False
+) -> DataFrame:
+    """Edges as cells; ``merge`` adds up parallel ones first, so fewer rows look up positions."""
     whole = whole_edges(edges)
     whole = whole if directed else symmetrize(whole)
-    whole, facts = written(
-        whole.select("src", "dst", value.alias("value")), rows=F.count("*")
-    )
+    whole = whole.select("src", "dst", value.alias("value"))
+    if merge:
+        is_bool = whole.schema["value"].dataType.typeName() == "boolean"
+        total = F.max("value") if is_bool else F.sum("value")
+        whole = whole.groupBy("src", "dst").agg(total.alias("value"))
+    whole, facts = written(whole, rows=F.count("*"))
     places = node_list.select("id", "pos")
     by_src = measured_hot_keys(whole, "src", facts["rows"])
     placed = lookup(whole, "src", places.withColumnRenamed("pos", "row"), by_src, "dst", how="left")
@@ -52,19 +58,19 @@ def _cells(edges: DataFrame, node_list: DataFrame, directed: bool, value: Column
     return placed.select(F.when(unlisted, fail).otherwise(F.col("row")).alias("row"), "col", "value")
 
 
-def edges_to_coo(edges: EdgeSet | EdgeMap) -> Coordinates:
+def edges_to_coo(edges: EdgeSet | EdgeMap, merge: bool = False) -> Coordinates:
     """Cells over the edges' own ends; an edge without a weight becomes 1.0."""
     value = F.col("weight") if isinstance(edges, EdgeMap) else F.lit(1.0)
     table, _ = written(whole_edges(edges.df))  # read for the nodes and for the cells
     node_list = dense_positions(endpoints(table), ["id"])
-    return Coordinates(_cells(table, node_list, edges.is_directed, value), node_list)
+    return Coordinates(_cells(table, node_list, edges.is_directed, value, merge), node_list)
 
 
-def graph_to_coo(graph: Graph) -> Coordinates:
+def graph_to_coo(graph: Graph, merge: bool = False) -> Coordinates:
     """Cells over all nodes, isolated ones too; an edge without a weight becomes true."""
     value = F.col("weight") if graph.is_weighted else F.lit(True)
     node_list = dense_positions(graph.nodes.select("id"), ["id"])
-    cells = _cells(graph.edges, node_list, graph.is_directed, value)
+    cells = _cells(graph.edges, node_list, graph.is_directed, value, merge)
     return Coordinates(cells, node_list, graph.nodes if graph.has_node_weights else None)
 
 
@@ -102,19 +108,16 @@ def graph_from_coo(
 
 def edges_to_csr(edges: EdgeSet | EdgeMap) -> CompressedRows:
     """Compressed rows; parallel edges become one cell with their sum (bool: any)."""
-    return _compress(edges_to_coo(edges))
+    return _compress(edges_to_coo(edges, merge=True))
 
 
 def graph_to_csr(graph: Graph) -> CompressedRows:
-    return _compress(graph_to_coo(graph))
+    return _compress(graph_to_coo(graph, merge=True))
 
 
 def _compress(coo: Coordinates) -> CompressedRows:
-    is_bool = coo.cells.schema["value"].dataType.typeName() == "boolean"
-    total = F.max("value") if is_bool else F.sum("value")
-    merged = coo.cells.groupBy("row", "col").agg(total.alias("value"))
-    # Numbering all cells by (row, col) also serves a row that holds most of them.
-    placed = dense_positions(merged, ["row", "col"])
+    """From merged cells. Numbering all of them by (row, col) also serves a row that holds most."""
+    placed = dense_positions(coo.cells, ["row", "col"])
     indices = placed.select("pos", F.col("col").alias("dst"), "value")
     nodes = coo.node_list.count()
     per_row = placed.groupBy(F.col("row").alias("pos")).agg(F.count("*").alias("n"))
