@@ -1,8 +1,8 @@
 """Token ids as compressed binary blocks: an adaptive context-mixing range coder.
 
-An id of 16 bits is coded as four nibbles. For each nibble three models foresee a distribution:
+An id of 16 bits is coded as four nibbles. For each nibble models foresee a distribution:
 order 0 by the nibbles before it in the id, order 1 and 2 by hashes of those and of the one or two ids
-before. The distributions are mixed by weights that follow how well each model did, and
+before; order 2 only for the first two nibbles, as the other two mostly follow. The distributions are mixed by weights that follow how well each model did, and
 the mix drives a carry-less range coder. All arithmetic is on integers, or single IEEE operations
 followed by rounding down, so every machine decodes alike.
 
@@ -40,6 +40,7 @@ ORDER0, HASHED_BITS = 1 + 16 + 256 + 4096, 10
 HASHED = 1 << HASHED_BITS
 ROWS = ORDER0 + 2 * HASHED  # of each lane's models
 RATE = 4
+MODELS = (3, 3, 2, 2)  # orders that are mixed for each nibble
 START = np.array([0, 1, 17, 273])  # first order-0 row of each nibble
 # The coder's interval lies in 56 bits; the upper 24 of them are the next word.
 WINDOW, WORD = 56, 24
@@ -55,7 +56,7 @@ class _Lanes:
     def __init__(self, lanes: int):
         even = ((np.arange(16) + 1) * (SCALE // 16)).astype(np.int16)
         self.tables = np.tile(even, (lanes * ROWS, 1))
-        self.weights = np.full((4, 3, lanes), 5461, np.float32)
+        self.weights = [np.full((models, lanes), 16384 // models, np.float32) for models in MODELS]
         self.base = np.arange(lanes) * ROWS
         self.place = np.arange(3 * lanes).reshape(3, lanes) * 16  # of each lane's counts
         self.low = np.zeros(lanes, np.uint64)
@@ -63,7 +64,7 @@ class _Lanes:
 
     def shrink(self, n: int) -> None:
         """Go on with the first ``n`` lanes."""
-        self.weights = np.ascontiguousarray(self.weights[:, :, :n])
+        self.weights = [np.ascontiguousarray(w[:, :n]) for w in self.weights]
         self.base, self.place = self.base[:n], np.arange(3 * n).reshape(3, n) * 16
         self.low, self.range = self.low[:n], self.range[:n]
 
@@ -76,22 +77,23 @@ class _Lanes:
         """Cumulative counts of the mix, for the nibble ``level`` after ``path``."""
         salt = (path + np.uint32(START[level])) * np.uint32(0xC2B2AE35)
         one = ((self.hash1 ^ salt) * np.uint32(0x27D4EB2F)) >> np.uint32(32 - HASHED_BITS)
-        two = ((self.hash2 ^ salt) * np.uint32(0x27D4EB2F)) >> np.uint32(32 - HASHED_BITS)
-        n = len(path)
-        index = np.empty((3, n), np.int64)
+        n, models = len(path), MODELS[level]
+        index = np.empty((models, n), np.int64)
         np.add(self.base, path, out=index[0])
         index[0] += START[level]
         np.add(self.base, one, out=index[1])
         index[1] += ORDER0
-        np.add(self.base, two, out=index[2])
-        index[2] += ORDER0 + HASHED
+        if models > 2:
+            two = ((self.hash2 ^ salt) * np.uint32(0x27D4EB2F)) >> np.uint32(32 - HASHED_BITS)
+            np.add(self.base, two, out=index[2])
+            index[2] += ORDER0 + HASHED
         self.index, self.level = index.ravel(), level
-        self.counts = self.tables.take(self.index, axis=0, mode="clip").reshape(3, n, 16)
+        self.counts = self.tables.take(self.index, axis=0, mode="clip").reshape(models, n, 16)
         share = (self.weights[level] * np.float32(1 / 1024)).astype(np.int16)  # sixteenths
-        share[0] = 16 - share[1] - share[2]
+        share[0] = 16 - share[1:].sum(axis=0)
         mix = (self.counts >> 4) * share[:, :, None]
-        mix[0] += mix[1]
-        mix[0] += mix[2]
+        for k in range(1, models):
+            mix[0] += mix[k]
         self.mix = mix[0].view(np.uint16) + ONES
         return self.mix
 
@@ -106,12 +108,15 @@ class _Lanes:
         self.low = self.low + step * low
         self.range = step * (high - low)
         # Each model's share of the symbol, and the weights that these would have earned.
-        at = self.place + symbol
+        w = self.weights[self.level]
+        at = self.place[:len(w)] + symbol
         counts = self.counts.ravel()
         took = counts.take(at, mode="clip") - counts.take(at - 1, mode="wrap") * some
-        w = self.weights[self.level]
         gain = w * (took + np.float32(64))
-        gain *= np.float32(16384) / (gain[0] + gain[1] + gain[2])
+        total = gain[0] + gain[1]
+        if len(w) > 2:
+            total += gain[2]
+        gain *= np.float32(16384) / total
         w += (np.floor(gain) - w) * np.float32(0.0625)
         np.floor(w, out=w)
         np.maximum(w, 256, out=w)
@@ -253,23 +258,54 @@ def unpack(payload: bytes) -> tuple[np.ndarray, int, list[int], list[int | None]
 class WordEncoder:
     """Ids of texts; words between spaces, tabs and line feeds are encoded once a batch.
 
-    The tokenizers given here never join characters across white space, and drop it.
+    The tokenizer must not join characters across white space, and drop it. Words of letters
+    are encoded many at a time: each is one piece, and a token at the end of a piece says so. Should
+    the ends not be as many as the words, each word is encoded alone.
     """
 
+    AT_ONCE = 2000
+    END = "</w>"
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith(self.END)]] = True
+
+    def words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the words, and the number of each word's."""
+        joined = self.tokenizer.encode(" ".join(words), add_special_tokens=False) if all(map(str.isalpha, words)) else None
+        if joined is not None:
+            ids = np.array(joined.ids, np.uint32)
+            ends = np.flatnonzero(self.ends[ids])
+            if len(ends) == len(words) and ends[-1] == len(ids) - 1:
+                return ids, np.diff(ends, prepend=-1)
+        encoded = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+        size = np.fromiter((len(e) for e in encoded), np.int64, len(encoded))
+        return np.fromiter((i for e in encoded for i in e.ids), np.uint32, int(size.sum())), size
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, and the number of each text's."""
-        words = pc.split_pattern_regex(pc.fill_null(texts.cast(pa.large_string()), ""), "[ \n\t]+")
+        plain = pc.fill_null(texts.cast(pa.large_string()), "")
+        for white in ("\n", "\t"):
+            plain = pc.replace_substring(plain, white, " ")
+        words = pc.split_pattern(plain, " ")
         coded = words.flatten().dictionary_encode()
-        encoded = self.tokenizer.encode_batch_fast(coded.dictionary.to_pylist(), add_special_tokens=False)
-        size = np.fromiter((len(e) for e in encoded), np.int64, len(encoded))
-        ids = np.fromiter((i for e in encoded for i in e.ids), np.uint32, int(size.sum()))
+        # Words of letters first, so that most runs hold nothing else.
+        letters = pc.utf8_is_alpha(coded.dictionary).to_numpy(zero_copy_only=False)
+        order = np.argsort(~letters, kind="stable")
+        listed = coded.dictionary.take(pa.array(order))
+        split = int(letters.sum())
+        cuts = [*range(0, split, self.AT_ONCE), *range(split, len(listed), self.AT_ONCE)]
+        parts = [self.words(listed[a:min(b, a + self.AT_ONCE)].to_pylist()) for a, b in zip(cuts, [*cuts[1:], len(listed)])]
+        ids = np.concatenate([p[0] for p in parts]) if parts else np.zeros(0, np.uint32)
+        size = np.concatenate([p[1] for p in parts]) if parts else np.zeros(0, np.int64)
         first = np.cumsum(size) - size
-        word = coded.indices.to_numpy()
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        word = rank[coded.indices.to_numpy()]
         many = size[word]
         place = np.repeat(first[word] - (np.cumsum(many) - many), many) + np.arange(many.sum())
         text = np.repeat(np.arange(len(texts)), pc.list_value_length(words).to_numpy())
