@@ -39,7 +39,7 @@ HEADLINE = [
     "louvain_transitions_quality",
 ]
 RUNS = 3  # of each query, while the whole takes less than the limit
-LIMIT_SECONDS = 900
+LIMIT_SECONDS = 450
 
 
 def main() -> None:

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from edgeloom.functions.edges import endpoints, whole_edges
 from edgeloom.model import Graph, NodeMap
 from edgeloom.plans.adjacency import Adjacency
-from edgeloom.plans.rounds import Rounds, written
+from edgeloom.plans.rounds import Rounds, setting, written
 from edgeloom.plans.skew import hot_keys, lookup
 
 
@@ -40,6 +40,8 @@ def strongly_connected_components(graph: Graph, include_isolated: bool = False)
         seen = _seen(edges)
         core, size = written(seen.where("out > 0 and in > 0"), rows=count)
         alone = open_nodes.join(core.select("id"), "id", "left_anti")
+        if len(settled) > setting(edges.sparkSession, "unionFrames"):
+            settled = [written(reduce(DataFrame.union, settled))[0]]
         settled.append(written(alone.select("id", F.col("id").alias("weight")))[0])
         if size["rows"] == 0:
             break

@@ -340,4 +340,10 @@ UNION ALL SELECT 'count', count(p_size) FROM part""",
 SELECT n.id, least(3.0::DOUBLE, coalesce(w, 3.0::DOUBLE)) AS weight FROM ({_NODES}) n LEFT JOIN low ON low.id = n.id""",
     "pagerank_converged": _pagerank(SUCCESSION, 60).replace("round(r, 9)", "round(r, 8)"),
     "projection_nodes": "SELECT -p_partkey - 1 AS id, p_retailprice AS weight FROM part",
+    # In a forest, a node lies on the paths from its region to all nodes below it.
+    "betweenness_places": f"""WITH RECURSIVE {PLACES}, up(low, high) AS (
+  SELECT src, dst FROM e UNION ALL SELECT up.low, e.dst FROM up JOIN e ON e.src = up.high),
+below AS (SELECT high AS id, count(*)::DOUBLE AS n FROM up GROUP BY high)
+SELECT v.id, CASE WHEN v.id % 5 = 4 THEN 0.0::DOUBLE ELSE coalesce(n, 0.0::DOUBLE) END AS weight
+FROM ({_NODES}) v LEFT JOIN below ON below.id = v.id""",
 }

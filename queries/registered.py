@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from edgeloom.functions.edges import endpoints
 from edgeloom.model import BipartiteGraph, EdgeMap, EdgeSet, Graph, NodeMap, NodeSet
 from edgeloom.operators import checks, diff, edges as edge_ops, lookups, nodes as node_ops
+from edgeloom.operators.betweenness import betweenness
 from edgeloom.operators.bfs import bfs_iter
 from edgeloom.operators.components import connected_components
 from edgeloom.operators.louvain import louvain_community, modularity_table
@@ -747,3 +748,12 @@ def pagerank_converged(spark, folder):
 @query
 def projection_nodes(spark, folder):
     return graph_projection(_weighted_purchases(spark, folder), 1).nodes
+
+
+@query
+def betweenness_places(spark, folder):
+    """Over the undirected forest of places, from the regions."""
+    graph = g.places(spark, folder)
+    regions = g.table(spark, folder, "region").select((F.col("r_regionkey").cast("bigint") * 5 + 4).alias("id"))
+    both_ways = Graph(graph.edges, graph.nodes, is_directed=False)
+    return betweenness(both_ways, tables.node_set_from_table(regions, "id")).df

@@ -71,3 +71,25 @@ def modularity(edges, labels):
         degree[a] = degree.get(a, 0.0) + w
         degree[b] = degree.get(b, 0.0) + w
     return sum(inside.get(c, 0.0) / m - (degree[c] / (2 * m)) ** 2 for c in degree)
+
+
+def betweenness(edges, directed, sources):
+    out = neighbours(edges, directed)
+    score = {n: 0.0 for e in edges for n in e}
+    for root in sources:
+        far, paths, order, before = {root: 0}, {root: 1.0}, [root], {}
+        for n in order:
+            for m in out.get(n, ()):
+                if m not in far:
+                    far[m] = far[n] + 1
+                    order.append(m)
+                if far[m] == far[n] + 1:
+                    paths[m] = paths.get(m, 0.0) + paths[n]
+                    before.setdefault(m, []).append(n)
+        share = {n: 0.0 for n in order}
+        for m in reversed(order):
+            for n in before.get(m, ()):
+                share[n] += paths[n] / paths[m] * (1 + share[m])
+            if m != root:
+                score[m] += share[m]
+    return score

@@ -8,6 +8,7 @@ from pyspark.errors import PySparkException
 from edgeloom.functions.edges import canonicalize
 from edgeloom.model import BipartiteGraph, EdgeMap, EdgeSet, Graph, NodeMap, Vector
 from edgeloom.operators import checks, diff, edges as edge_ops, lookups, nodes as node_ops
+from edgeloom.operators.betweenness import betweenness
 from edgeloom.operators.bfs import bfs_iter
 from edgeloom.operators.components import connected_components
 from edgeloom.operators.louvain import louvain_community, modularity_table
@@ -17,6 +18,7 @@ from edgeloom.operators.triangles import triangle_count
 from edgeloom.plans.rounds import release
 from edgeloom.plans.skew import pair_tiles, pairs_within
 from edgeloom.sources import matrices, tables
+from tests import brute
 from tests.fixtures import edges_df, graph, ids_df, pairs, random_edges
 
 
@@ -149,3 +151,13 @@ def test_release_leaves_the_result_only(spark):
     with pytest.raises(Exception, match="FILE_NOT_EXIST"):
         result.collect()
     assert release(spark) == 1
+
+
+@pytest.mark.parametrize("directed", [True, False])
+def test_betweenness(spark, directed):
+    edges = [(a, b) for a, b in random_edges(3, 12, 24) if a != b]
+    sources = [0, 3, 5, 77]
+    found = pairs(betweenness(graph(spark, edges, directed=directed), tables.node_set_from_table(ids_df(spark, sources), "id")).df)
+    wanted = brute.betweenness(edges, directed, sources)
+    assert set(found) == set(wanted)
+    assert all(abs(found[n] - wanted[n]) < 1e-9 for n in wanted)
