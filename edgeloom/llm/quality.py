@@ -24,7 +24,7 @@ from edgeloom.llm.common import code_points, column_of, crc_fold, free_name, tab
 PASSAGE = 400
 SAMPLE_DOCS = 6_000
 SAMPLE_PASSAGES = 120_000
-CHARS = 2_000_000  # features are computed for about so many characters at once
+CHARS = 500_000  # features are computed for about so many characters at once
 
 LOWER, UPPER, DIGIT, SPACE, LINE, OTHER = range(6)
 SYMBOLS, PAIRS = 32, 64
