@@ -183,7 +183,8 @@ def simhash_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     marked, _ = written(fingerprints(plain, width=width).select("doc_id", "fp"))
     prints, _ = written(marked.groupBy("fp").agg(F.min("doc_id").alias("least")))
     edges, _ = written(links(prints, threshold))
-    groups = with_component(prints, edges, "fp", "least")
+    # Written, so that both sides of the join are shuffled and a fingerprint of very many rows can be split.
+    groups, _ = written(with_component(prints, edges, "fp", "least"))
     return marked.join(groups, "fp").select("doc_id", "fp", "component_id")
 
 
