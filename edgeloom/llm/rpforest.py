@@ -21,12 +21,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from edgeloom.llm.common import chains, column_of, local_labels, sorted_groups, table, with_component
 from edgeloom.plans.rounds import written
 
-TREES = 10
+TREES = 8
 LEAF_ROWS = 512
 SPILL = 0.05  # share of a node's rows on each side of its median that go both ways
 SAMPLE_ROWS = 20_000
@@ -81,15 +81,16 @@ def leaves_of(forest: dict, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return row[order], code[order]
 
 
-def _unit(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Unit vectors of equally long lists as one matrix, and which rows have one at all."""
-    flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    x = flat.reshape(len(lists), -1)
-    # Scaled first, so that squares neither overflow nor vanish.
-    top = np.abs(x).max(1, keepdims=True) if x.shape[1] else np.zeros((len(x), 1))
-    x = x / np.where(top > 0, top, 1)
-    norm = np.sqrt((x * x).sum(1))
-    return x / np.where(norm > 0, norm, 1)[:, None], norm > 0
+def _matrix(lists: pa.Array) -> np.ndarray:
+    """Equally long lists as one matrix, in the precision that they have."""
+    return lists.flatten().to_numpy(zero_copy_only=False).reshape(len(lists), -1)
+
+
+def _unit(x: np.ndarray) -> np.ndarray:
+    """Rows of length 1, in double precision; none of ``x`` is zero."""
+    x = x.astype(np.float64)
+    x /= np.abs(x).max(1, keepdims=True)  # first, so that squares neither overflow nor vanish
+    return x / np.sqrt((x * x).sum(1, keepdims=True))
 
 
 def _classes(vectors: DataFrame) -> DataFrame:
@@ -103,15 +104,15 @@ def _classes(vectors: DataFrame) -> DataFrame:
 
 
 def _placed(classes: DataFrame, forest_of: dict[int, dict]) -> DataFrame:
-    """A row for each leaf of each class, with all its leaf codes and the unit vector's bytes."""
+    """A row for each leaf of each class, with all its leaf codes and the vector's bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             dims = batch.column("dim").to_numpy()
             for dim in np.unique(dims).tolist():
                 part = batch.filter(pa.array(dims == dim))
-                x, _ = _unit(part.column("vector"))
-                row, code = leaves_of(forest_of[dim], x)
+                x = _matrix(part.column("vector"))
+                row, code = leaves_of(forest_of[dim], _unit(x))
                 first = np.searchsorted(row, np.arange(len(x) + 1))
                 codes = [code[a:b].tobytes() for a, b in zip(first[:-1], first[1:])]
                 raw = [v.tobytes() for v in x]
@@ -120,9 +121,9 @@ def _placed(classes: DataFrame, forest_of: dict[int, dict]) -> DataFrame:
                     part.column("label").take(take), part.column("dim").take(take), pa.array(code),
                     part.column("cid").take(take), part.column("size").take(take),
                     pa.array(codes, pa.binary()).take(take), pa.array(raw, pa.binary()).take(take),
-                ], ["label", "dim", "leaf", "cid", "size", "leaves", "unit"])
+                ], ["label", "dim", "leaf", "cid", "size", "leaves", "raw"])
 
-    schema = "label string, dim int, leaf bigint, cid bigint, size bigint, leaves binary, unit binary"
+    schema = "label string, dim int, leaf bigint, cid bigint, size bigint, leaves binary, raw binary"
     plain = classes.select("label", "dim", "vector", "cid", "size")
     return plain.mapInArrow(run, schema)
 
@@ -138,13 +139,14 @@ def _tiled(placed: DataFrame, tile_rows: int) -> DataFrame:
         lambda k: F.struct(F.least(k, F.col("block")).alias("i"), F.greatest(k, F.col("block")).alias("j")),
     )
     opened = sized.withColumn("block", block).withColumn("_t", F.explode(tiles))
-    return opened.select(*keys, "_t.i", "_t.j", "block", "cid", "size", "leaves", "unit")
+    return opened.select(*keys, "_t.i", "_t.j", "block", "cid", "size", "leaves", "raw")
 
 
 def _compare(threshold: float):
     def work(tile: dict[str, np.ndarray]) -> pa.RecordBatch | None:
         cid, size, leaf, dim = tile["cid"], tile["size"], int(tile["leaf"][0]), int(tile["dim"][0])
-        x = np.frombuffer(b"".join(tile["unit"]), np.float64).reshape(-1, dim)
+        kind = np.float32 if len(tile["raw"][0]) == 4 * dim else np.float64
+        x = _unit(np.frombuffer(b"".join(tile["raw"]), kind).reshape(-1, dim))
         left = np.flatnonzero(tile["block"] == tile["i"])
         right = np.flatnonzero(tile["block"] == tile["j"])
         diagonal = tile["i"][0] == tile["j"][0]
@@ -187,9 +189,13 @@ def embedding_groups(
     with nothing; vectors of different lengths don't link. Rows that repeat link with each
     other. A row without an id counts as a link of others and is never the smallest.
     """
+    # Single precision stays as it is until cosines are taken; everything else becomes double.
+    given = df.schema[embedding].dataType
+    single = isinstance(given, T.ArrayType) and isinstance(given.elementType, T.FloatType)
+    kind = "float" if single else "double"
     vectors, _ = written(df.select(
         column_of(df, vec_id).alias("id"), column_of(df, label).cast("string").alias("label"),
-        F.transform(column_of(df, embedding), lambda v: v.cast("double")).alias("vector"),
+        column_of(df, embedding).cast(f"array<{kind}>").alias("vector"),
     ))
     classes, _ = written(_classes(vectors).withColumn("dim", F.size("vector")))
     largest = classes.groupBy("dim", "label").count().groupBy("dim").agg(F.max("count").alias("n")).collect()
@@ -197,7 +203,9 @@ def embedding_groups(
     for row in largest:  # one per length of vector
         depth = max(0, math.ceil(math.log2(row["n"] / leaf_rows)))
         drawn = classes.where(F.col("dim") == row["dim"]).orderBy(F.xxhash64("vector")).limit(sample_rows)
-        sample, _ = _unit(drawn.select("vector").toArrow().column(0).combine_chunks()) if depth else (np.zeros((0, row["dim"])), None)
+        sample = np.zeros((0, row["dim"]))
+        if depth:
+            sample = _unit(_matrix(drawn.select("vector").toArrow().column(0).combine_chunks()))
         forests[row["dim"]] = fit_forest(sample, depth, trees if depth else 1, spill)
     placed, _ = written(_placed(classes, forests))
     keys = ["label", "dim", "leaf", "i", "j"]
