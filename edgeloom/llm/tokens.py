@@ -26,11 +26,12 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from edgeloom.llm.common import column_of, table
+from edgeloom.llm.common import column_of, table, text_chunks
 from edgeloom.plans.rounds import written
 
 BLOCK = 8192
-LANES = 768
+LANES = 640
+BATCH_CHARS = 8_000_000  # of texts that are encoded at once
 END_ID = 1
 MAGIC = b"CMR1"
 
@@ -349,17 +350,19 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, doc_id: str = "doc_id"
 
         held = 0
         for batch in batches:
-            found, many = encoder.encode(batch.column("text"))
-            if len(found) and int(found.max()) >= 1 << 16:
-                raise ValueError("an id has more than 16 bits")
-            stop = np.cumsum(many)
-            ids.append(np.insert(found, stop, end_id))
-            ends += (held + stop + np.arange(1, len(stop) + 1)).tolist()
-            names += batch.column("doc_id").to_pylist()
-            held += len(found) + len(many)
-            if held >= block * lanes:
-                yield from release(False)
-                held = len(ids[0])
+            names_of = batch.column("doc_id").to_pylist()
+            for low, texts in text_chunks(batch.column("text"), BATCH_CHARS):
+                found, many = encoder.encode(pa.array(texts, pa.large_string()))
+                if len(found) and int(found.max()) >= 1 << 16:
+                    raise ValueError("an id has more than 16 bits")
+                stop = np.cumsum(many)
+                ids.append(np.insert(found, stop, end_id))
+                ends += (held + stop + np.arange(1, len(stop) + 1)).tolist()
+                names += names_of[low:low + len(texts)]
+                held += len(found) + len(many)
+                if held >= block * lanes:
+                    yield from release(False)
+                    held = len(ids[0])
         yield from release(True)
 
     ordered = plain.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
