@@ -17,6 +17,7 @@ block, their ``n`` ids of documents and ``n`` flags (1: the document has an id),
 
 from __future__ import annotations
 
+import os
 import struct
 import zlib
 from collections.abc import Iterator
@@ -30,7 +31,7 @@ from edgeloom.llm.common import column_of, table, text_chunks
 from edgeloom.plans.rounds import written
 
 BLOCK = 8192
-LANES = 640
+LANES = 512
 BATCH_CHARS = 8_000_000  # of texts that are encoded at once
 END_ID = 1
 MAGIC = b"CMR1"
@@ -268,6 +269,8 @@ class WordEncoder:
     END = "</w>"
 
     def __init__(self, path: str):
+        # A task has one core: threads of the library's own would only add memory.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -360,6 +363,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, doc_id: str = "doc_id"
                 ends += (held + stop + np.arange(1, len(stop) + 1)).tolist()
                 names += names_of[low:low + len(texts)]
                 held += len(found) + len(many)
+                pa.default_memory_pool().release_unused()
                 if held >= block * lanes:
                     yield from release(False)
                     held = len(ids[0])
