@@ -76,7 +76,7 @@ def _name_parts(before: Column, piece: Column) -> Column:
     words = F.split(piece, " ")
     title = F.concat(words[0], F.lit(" "))
     family = F.concat(F.lit("family."), _script(F.element_at(words, -1)))
-    given = F.concat(F.lit("given."), _gender(F.rtrim(F.lit("."), words[0])), F.lit("."), _script(words[1]))
+    given = F.concat(F.lit("given."), _gender(F.rtrim(words[0], F.lit("."))), F.lit("."), _script(words[1]))
 
     def part(prefix: Column, kind: Column, value: Column) -> Column:
         return F.struct(prefix.alias("prefix"), kind.alias("kind"), value.alias("value"))
