@@ -7,8 +7,11 @@ within the leaves, each pair that meets is verified by its cosine in double prec
 verified links are united.
 
 Thresholds come from a bounded sample (``sample_rows``); below the levels that it resolves, the
-thresholds of the whole level hold, so the depth follows the number of vectors. All vectors
-are routed. Equal vectors are one row with a multiplicity. A leaf with many rows is cut into tiles
+thresholds of the whole level hold, so the depth follows the number of vectors of each label. All vectors
+are routed. Recall is planned, not hoped for: sampled vectors with partners at the wanted cosine are
+routed as well, and each depth gets as many trees, at least ``trees``, as bring :data:`RECALL` of these pairs
+together. A depth that would need more than :data:`MOST_TREES` is given up for a smaller one; at depth 0 all meet.
+Equal vectors are one row with a multiplicity. A leaf with many rows is cut into tiles
 of two blocks. A pair that meets in several leaves counts in the first of them only, which both
 rows know, so no list of pairs is ever built: a tile gives numbers of links and a
 chain through each of its connected groups.
@@ -26,7 +29,10 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from edgeloom.llm.common import chains, column_of, local_labels, sorted_groups, table, with_component
 from edgeloom.plans.rounds import written
 
-TREES = 8
+TREES = 10  # at least
+MOST_TREES = 40
+RECALL = 0.995  # share of pairs at the wanted cosine that meet in a leaf
+PROBES = 2_000
 LEAF_ROWS = 512
 SPILL = 0.05  # share of a node's rows on each side of its median that go both ways
 SAMPLE_ROWS = 20_000
@@ -35,7 +41,7 @@ TILE_ROWS = 1024
 
 
 def fit_forest(sample: np.ndarray, depth: int, trees: int = TREES, spill: float = SPILL, seed: int = 11) -> dict:
-    """Directions per tree and level, and per level the spill limits of its nodes."""
+    """Directions per tree and level, per level the spill limits of its nodes, and ``trees`` for each depth."""
     rng = np.random.default_rng(seed)
     directions = rng.normal(size=(sample.shape[1], trees, max(1, depth)))
     directions /= np.linalg.norm(directions, axis=0)
@@ -60,20 +66,62 @@ def fit_forest(sample: np.ndarray, depth: int, trees: int = TREES, spill: float
             levels.append(own)
             node = node * 2 + (projected > median[node])
         limits.append(levels)
-    return {"directions": directions, "limits": limits, "depth": depth}
+    return {"directions": directions, "limits": limits, "depth": depth, "trees": [1] + [trees] * depth}
 
 
-def leaves_of(forest: dict, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Row and leaf code (tree and leaf) of every place of every vector, sorted by row and code."""
+def plan_forest(sample: np.ndarray, depth: int, threshold: float, trees: int = TREES, spill: float = SPILL,
+                recall: float = RECALL, most_trees: int = MOST_TREES, seed: int = 11) -> dict:
+    """A forest whose ``trees`` says how many trees each depth needs; it ends at the last depth that ``most_trees`` suffice for."""
+    if not depth or len(sample) < 2 or sample.shape[1] < 2:
+        return fit_forest(sample, 0, 1, spill, seed)
+    rng = np.random.default_rng(seed + 1)
+    # The sample is in the order of a hash, so its first rows are drawn at random.
+    x = np.tile(sample, (-(-PROBES // len(sample)), 1))[:PROBES]
+    aside = rng.normal(size=x.shape)
+    aside -= (aside * x).sum(1, keepdims=True) * x
+    aside /= np.linalg.norm(aside, axis=1, keepdims=True)
+    cosine = min(1.0, max(-1.0, threshold))
+    y = cosine * x + math.sqrt(1 - cosine * cosine) * aside
+    most = max(trees, most_trees)
+    forest = fit_forest(sample, depth, most, spill, seed)
+    met = np.zeros((depth + 1, most, len(x)), bool)
+    for tree in range(most):
+        for level, (a, b) in enumerate(zip(_routes(forest, x, tree, depth), _routes(forest, y, tree, depth))):
+            common = np.intersect1d(a[0] << 40 | a[1], b[0] << 40 | b[1], assume_unique=True)
+            met[level, tree, common >> 40] = True
+    needed = [1]
+    for level in range(1, depth + 1):
+        share = np.logical_or.accumulate(met[level], axis=0).mean(1)
+        if share[-1] < recall:
+            break
+        needed.append(max(trees, needed[-1], int(np.argmax(share >= recall)) + 1))
+    last = len(needed) - 1
+    limits = [levels[:last] for levels in forest["limits"][:needed[-1]]]
+    return forest | {"limits": limits, "depth": last, "trees": needed}
+
+
+def _routes(forest: dict, x: np.ndarray, tree: int, depth: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Row and node of every place of every vector in a tree, for each depth from 0."""
+    row, node = np.arange(len(x)), np.zeros(len(x), np.int64)
+    yield row, node
+    for level, limits in enumerate(forest["limits"][tree][:depth]):
+        projected = (x @ forest["directions"][:, tree, level])[row]
+        low, high = limits if limits.ndim == 1 else limits[node].T
+        left, right = projected <= high, projected >= low
+        row = np.concatenate([row[left], row[right]])
+        node = np.concatenate([node[left] * 2, node[right] * 2 + 1])
+        yield row, node
+
+
+def leaves_of(forest: dict, x: np.ndarray, depth: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Row and leaf code (tree and leaf) of every place of every vector, sorted by row and code.
+
+    With ``depth``, leaves are the nodes of that depth, or the forest's own if that is smaller.
+    """
+    depth = forest["depth"] if depth is None else min(depth, forest["depth"])
     rows, codes = [], []
-    for tree, levels in enumerate(forest["limits"]):
-        row, node = np.arange(len(x)), np.zeros(len(x), np.int64)
-        for level, limits in enumerate(levels):
-            projected = (x @ forest["directions"][:, tree, level])[row]
-            low, high = limits if limits.ndim == 1 else limits[node].T
-            left, right = projected <= high, projected >= low
-            row = np.concatenate([row[left], row[right]])
-            node = np.concatenate([node[left] * 2, node[right] * 2 + 1])
+    for tree in range(forest["trees"][depth]):
+        *_, (row, node) = _routes(forest, x, tree, depth)
         rows.append(row)
         codes.append(tree << 48 | node)
     row, code = np.concatenate(rows), np.concatenate(codes)
@@ -108,11 +156,11 @@ def _placed(classes: DataFrame, forest_of: dict[int, dict]) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            dims = batch.column("dim").to_numpy()
-            for dim in np.unique(dims).tolist():
-                part = batch.filter(pa.array(dims == dim))
+            dims, depths = batch.column("dim").to_numpy(), batch.column("depth").to_numpy()
+            for dim, depth in sorted(set(zip(dims.tolist(), depths.tolist()))):
+                part = batch.filter(pa.array((dims == dim) & (depths == depth)))
                 x = _matrix(part.column("vector"))
-                row, code = leaves_of(forest_of[dim], _unit(x))
+                row, code = leaves_of(forest_of[dim], _unit(x), depth)
                 first = np.searchsorted(row, np.arange(len(x) + 1))
                 codes = [code[a:b].tobytes() for a, b in zip(first[:-1], first[1:])]
                 raw = [v.tobytes() for v in x]
@@ -124,7 +172,7 @@ def _placed(classes: DataFrame, forest_of: dict[int, dict]) -> DataFrame:
                 ], ["label", "dim", "leaf", "cid", "size", "leaves", "raw"])
 
     schema = "label string, dim int, leaf bigint, cid bigint, size bigint, leaves binary, raw binary"
-    plain = classes.select("label", "dim", "vector", "cid", "size")
+    plain = classes.select("label", "dim", "depth", "vector", "cid", "size")
     return plain.mapInArrow(run, schema)
 
 
@@ -198,16 +246,20 @@ def embedding_groups(
         column_of(df, embedding).cast(f"array<{kind}>").alias("vector"),
     ))
     classes, _ = written(_classes(vectors).withColumn("dim", F.size("vector")))
-    largest = classes.groupBy("dim", "label").count().groupBy("dim").agg(F.max("count").alias("n")).collect()
+    depth_of = F.greatest(F.lit(0), F.ceil(F.log2(F.col("n") / leaf_rows))).cast("int")
+    counts = classes.groupBy("dim", "label").agg(F.count("*").alias("n")).select("dim", "label", depth_of.alias("depth"))
+    depths, _ = written(counts)  # a row per label
     forests = {}
-    for row in largest:  # one per length of vector
-        depth = max(0, math.ceil(math.log2(row["n"] / leaf_rows)))
+    for row in depths.groupBy("dim").agg(F.max("depth").alias("depth")).collect():  # one per length of vector
+        depth = row["depth"]
         drawn = classes.where(F.col("dim") == row["dim"]).orderBy(F.xxhash64("vector")).limit(sample_rows)
         sample = np.zeros((0, row["dim"]))
         if depth:
             sample = _unit(_matrix(drawn.select("vector").toArrow().column(0).combine_chunks()))
-        forests[row["dim"]] = fit_forest(sample, depth, trees if depth else 1, spill)
-    placed, _ = written(_placed(classes, forests))
+        forests[row["dim"]] = plan_forest(sample, depth, threshold, trees, spill)
+    deep = depths.where("depth > 0").withColumnRenamed("label", "_label").withColumnRenamed("dim", "_dim")
+    sized = classes.join(deep, (F.col("label") == F.col("_label")) & (F.col("dim") == F.col("_dim")), "left")
+    placed, _ = written(_placed(sized.withColumn("depth", F.coalesce("depth", F.lit(0))), forests))
     keys = ["label", "dim", "leaf", "i", "j"]
     found, _ = written(sorted_groups(_tiled(placed, tile_rows), keys, _compare(threshold), "a bigint, b bigint, links bigint"))
     edges = found.where("b is not null").select(F.col("a").alias("src"), F.col("b").alias("dst")).distinct()

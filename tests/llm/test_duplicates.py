@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from edgeloom.llm.rpforest import embedding_groups, fit_forest, leaves_of
+from edgeloom.llm.rpforest import embedding_groups, fit_forest, leaves_of, plan_forest
 from edgeloom.llm.sharding import shard
 from edgeloom.llm.simhash import anchors, error_patterns, keep_one, simhash_groups
 from tests.llm import helpers as h
@@ -121,6 +121,40 @@ def test_embedding_recall_in_deep_trees(spark):
     assert sum(got.values()) >= 0.97 * sum(wanted.values())
 
 
+def test_embedding_recall_off_centre(spark):
+    # Pairs just within the threshold, far from the origin: they are wide beside the spread of the vectors.
+    rng = np.random.default_rng(3)
+    centre = rng.normal(size=48)
+    x = rng.normal(size=(1200, 48)) + centre
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    aside = rng.normal(size=x.shape)
+    aside -= (aside * x).sum(1, keepdims=True) * x
+    aside /= np.linalg.norm(aside, axis=1, keepdims=True)
+    x = np.concatenate([x, 0.932 * x + np.sqrt(1 - 0.932 ** 2) * aside])
+    small = np.concatenate([x[:3], x[1200:1203]])  # a label of few rows needs no trees
+    df = spark.createDataFrame(
+        [(i, v.tolist(), "many") for i, v in enumerate(x)] + [(9000 + i, v.tolist(), "few") for i, v in enumerate(small)],
+        "vec_id bigint, embedding array<double>, label string",
+    )
+    wanted = (x @ x.T >= 0.93).sum(1) - 1
+    got = {r.id: r.n_links for r in embedding_groups(df, leaf_rows=1).collect()}  # 12 levels
+    found = np.array([got[i] for i in range(len(x))])
+    assert (found <= wanted).all() and wanted.sum() >= 2400
+    assert found.sum() >= 0.98 * wanted.sum()
+    assert all(got[9000 + i] == 1 for i in range(6))
+
+
+def test_trees_follow_the_depth():
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(4000, 48)) + rng.normal(size=48)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    forest = plan_forest(x, 12, 0.93)
+    assert forest["trees"][0] == 1 and forest["trees"] == sorted(forest["trees"])
+    assert all(10 <= n <= 40 for n in forest["trees"][1:])
+    few = plan_forest(x, 12, 0.93, trees=2, most_trees=4)
+    assert few["depth"] < 12 and all(len(levels) == few["depth"] for levels in few["limits"])
+
+
 def test_spilled_rows_reach_both_sides():
     x = np.random.default_rng(0).normal(size=(2000, 16))
     forest = fit_forest(x, 3, trees=2)
