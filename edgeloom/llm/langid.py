@@ -11,9 +11,10 @@ start of a word, where they count occurrences. Per order, the keys of all langua
 sorted array of hashes (the packed symbols, which fit without collision) beside a matrix
 of log probabilities, a column per language; another pair of arrays holds the back-off weights.
 
-A text gets the language of the lowest cross-entropy per symbol. A calibration fold that the counts
-don't use gives the chance that this is right, by isotonic regression on the margin, and the
-cross-entropy that is usual for each language; texts far beyond it, or with a chance below one half, are
+A text gets the language of the lowest cross-entropy per symbol. A model of the other folds judges a
+calibration fold, which gives the chance that this is right, by isotonic regression on the margin, and the
+cross-entropy that is usual for each language. Then the calibration fold's counts are added, so the final
+model has those of all texts that aren't held out. Texts far beyond it, or with a chance below one half, are
 marked as rejected.
 """
 
@@ -219,7 +220,7 @@ def _judge(entropy: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 def train_model(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", folds: int = 5,
                 held_out: int = 0, calibration: int = 1, calibration_rows: int = CALIBRATION_ROWS) -> dict:
-    """Count on all folds (:func:`crc_fold`) but ``held_out`` and ``calibration``, calibrate on the latter.
+    """Count on all folds (:func:`crc_fold`) but ``held_out``; a model without ``calibration`` is calibrated on that.
 
     Texts without a language or without letters, and rows without an id, teach nothing.
     """
@@ -228,16 +229,36 @@ def train_model(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lan
         column_of(docs, doc_id).alias("doc_id"), column_of(docs, lang).cast("string").alias("lang"),
         column_of(docs, text).cast("string").alias("text"), fold.alias("fold"),
     ).where("lang is not null and text is not null and fold is not null")
-    counted = _counts(rows.where(~F.col("fold").isin(held_out, calibration))).toArrow()  # at most 64 ** 4 keys a language
-    names = np.array(counted.column("lang").to_pylist(), object)
-    keys, n = counted.column("key").to_numpy(), counted.column("n").to_numpy()
-    langs = sorted(set(names.tolist()))
+    first = _counted(rows.where(~F.col("fold").isin(held_out, calibration)))
+    second = _counted(rows.where((F.col("fold") == calibration) & (F.col("fold") != held_out)))
+    counts = dict(first)
+    for name, (keys, n) in second.items():
+        if name in counts:
+            keys, at = np.unique(np.concatenate([counts[name][0], keys]), return_inverse=True)
+            n = np.bincount(at, np.concatenate([counts[name][1], n])).astype(np.int64)
+        counts[name] = keys, n
+    langs = sorted(counts)
     if not langs:
         return {"langs": []}
-    model = build_model(langs, {x: (keys[names == x], n[names == x]) for x in langs})
     ids = rows.where(F.col("fold") == calibration).select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id")
     drawn = ids.limit(calibration_rows).distinct()
-    return model | _calibrated(rows.join(F.broadcast(drawn), "doc_id"), model)
+    known = sorted(first)
+    if known:
+        found = _calibrated(rows.join(F.broadcast(drawn), "doc_id"), build_model(known, first))
+    else:  # nothing to judge by: the prior, and no usual cross-entropy
+        found = {"chance": isotonic(np.zeros(MARGIN_BINS), np.zeros(MARGIN_BINS)), "most": np.zeros(0)}
+    # A language of the calibration fold alone has no usual cross-entropy.
+    most = np.full(len(langs), np.inf)
+    most[np.searchsorted(langs, known)] = found["most"]
+    return build_model(langs, counts) | {"chance": found["chance"], "most": most}
+
+
+def _counted(rows: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+    """Keys and counts of each language."""
+    counted = _counts(rows).toArrow()  # at most 64 ** 4 keys a language
+    names = np.array(counted.column("lang").to_pylist(), object)
+    keys, n = counted.column("key").to_numpy(), counted.column("n").to_numpy()
+    return {x: (keys[names == x], n[names == x]) for x in sorted(set(names.tolist()))}
 
 
 def _calibrated(rows: DataFrame, model: dict) -> dict:

@@ -2,6 +2,7 @@
 
 import random
 import re
+import zlib
 
 import numpy as np
 
@@ -93,6 +94,17 @@ def test_language(spark):
     assert langid.predict(h.documents(spark, []), model, name="l").count() == 0
 
 
+def test_language_of_the_calibration_fold_alone(spark):
+    alone = [i for i in range(500, 600) if zlib.crc32(str(i).encode()) % 5 == 1][:2]
+    rows = _languages(2, 200) + [(i, "λόγος και μύθος " * 5, "dd", "s") for i in alone] + [(900, "μύθος λόγος", None, "s")]
+    model = langid.train_model(h.documents(spark, rows))
+    assert model["langs"] == ["aa", "bb", "cc", "dd"] and len(model["most"]) == 4
+    found = {r.doc_id: r.l for r in langid.predict(h.documents(spark, rows), model, name="l").collect()}
+    assert found[900].lang_pred == "dd" and not found[900].rejected
+    only = langid.train_model(h.documents(spark, [(alone[0], "λόγος", "dd", "s")]))
+    assert only["langs"] == ["dd"]
+
+
 def test_kneser_ney_sums_to_one():
     symbols = langid.symbol_table()
     keys, counts = np.unique(langid.keys_of(["abra cadabra abc", "bacab rabarber"], symbols)[0], return_counts=True)
