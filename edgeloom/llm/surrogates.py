@@ -4,7 +4,8 @@ E-mail and IP addresses, phone and card numbers, hexadecimal secrets, and names
 are found by one pattern. Each different entity gets one surrogate in the whole corpus, so
 mentions of the same thing stay mentions of the same thing. Names are replaced name by name: the family
 name of "Mr John Miller" and "Mr Miller" becomes the same. A given name's surrogate has the ending of
-its gender, as the form of address tells it, and all names keep their script.
+its gender, as the form of address tells it, and all names keep their script. A secret is the same
+in capitals and small letters; its surrogate has the case that each mention has.
 
 Surrogates are drawn from a hash of a secret key, the type, the entity and the number of the try.
 Collision checks make them distinct: a try that equals an entity of the corpus, or the surrogate of
@@ -37,7 +38,7 @@ _BYTE = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 IP = rf"(?<![\d.]){_BYTE}(?:\.{_BYTE}){{3}}(?!\d|\.\d)"
 PHONE = r"(?<![\d+])\+\d{1,3}[ .-]?\(?\d{2,4}\)?[ .-]\d{3,4}[ .-]?\d{3,4}(?!\d)"
 CARD = r"(?<!\d)\d{4}(?:[ -]?\d{4}){3}(?!\d)"
-SECRET = r"(?<![0-9A-Fa-f])(?=\d*[a-f])(?=[a-f]*\d)[0-9a-f]{32,64}(?![0-9A-Fa-f])"
+SECRET = r"(?<![0-9A-Fa-f])(?=\d*[A-Fa-f])(?=[A-Fa-f]*\d)[0-9A-Fa-f]{32,64}(?![0-9A-Fa-f])"
 # Cheap looks at the first character keep most places of a text from trying every alternative.
 ENTITY = rf"(?:{PHONE}|(?=\d)(?:{IP}|{CARD})|{SECRET}|{EMAIL}|(?=[\p{{Lu}}г]|κυρία|κύριος){PERSON})"
 
@@ -59,7 +60,7 @@ def _kind(piece: Column) -> Column:
     return (
         F.when(piece.contains("@"), "email").when(piece.startswith("+"), "phone")
         .when(piece.rlike(rf"^{IP}$"), "ip").when(piece.rlike(r"^\d[\d -]*$") & (F.length(piece) < 20), "card")
-        .when(piece.rlike(r"^[0-9a-f]+$"), "secret").otherwise("person")
+        .when(piece.rlike(r"^[0-9A-Fa-f]+$"), "secret").otherwise("person")
     )
 
 
@@ -79,7 +80,7 @@ def _name_parts(before: Column, piece: Column) -> Column:
     given = F.concat(F.lit("given."), _gender(F.rtrim(words[0], F.lit("."))), F.lit("."), _script(words[1]))
 
     def part(prefix: Column, kind: Column, value: Column) -> Column:
-        return F.struct(prefix.alias("prefix"), kind.alias("kind"), value.alias("value"))
+        return F.struct(prefix.alias("prefix"), kind.alias("kind"), value.alias("value"), value.alias("form"))
 
     one = F.array(part(F.concat(before, title), family, F.element_at(words, -1)))
     two = F.array(part(F.concat(before, title), given, words[1]), part(F.lit(" "), family, F.element_at(words, -1)))
@@ -94,7 +95,8 @@ def parts_of(text: Column) -> Column:
 
     def opened(pair: Column) -> Column:
         piece, gap = pair["piece"], F.coalesce(pair["gap"], F.lit(""))
-        plain = F.array(F.struct(gap.alias("prefix"), _kind(piece).alias("kind"), piece.alias("value")))
+        value = F.when(_kind(piece) == "secret", F.lower(piece)).otherwise(piece)
+        plain = F.array(F.struct(gap.alias("prefix"), _kind(piece).alias("kind"), value.alias("value"), piece.alias("form")))
         return F.when(_kind(piece) == "person", _name_parts(gap, piece)).otherwise(plain)
 
     return F.flatten(F.transform(F.filter(pairs, lambda p: p["piece"].isNotNull()), opened))
@@ -169,6 +171,15 @@ def surrogate(key: str, kind: Column, value: Column, turn: Column) -> Column:
     )
 
 
+def _said(kind: Column, form: Column, made: Column) -> Column:
+    """A surrogate as a mention of the entity in this form would have it."""
+    def cased(c: Column, i: Column) -> Column:
+        return F.when(F.substr(form, i + 1, F.lit(1)).between("A", "F"), F.upper(c)).otherwise(c)
+
+    secret = F.when(form == F.upper(form), F.upper(made)).otherwise(F.array_join(F.transform(F.split(made, ""), cased), ""))
+    return F.when(kind == "secret", secret).otherwise(made)
+
+
 def assign(entities: DataFrame, key: str) -> DataFrame:
     """``kind, value, surrogate`` for the distinct ``entities(kind, value)``.
 
@@ -214,7 +225,7 @@ def replace_entities(docs: DataFrame, key: str, text: str = "text", count: str =
     each = held.select(F.col(row).alias("row"), F.posexplode(parts).alias("pos", "part")).select("row", "pos", "part.*")
     mapping = assign(each.select("kind", "value").distinct(), key)
     swapped = each.join(mapping, ["kind", "value"]).groupBy("row").agg(
-        F.sort_array(F.collect_list(F.struct("pos", F.concat("prefix", "surrogate").alias("said")))).alias("all")
+        F.sort_array(F.collect_list(F.struct("pos", F.concat("prefix", _said(F.col("kind"), F.col("form"), F.col("surrogate"))).alias("said")))).alias("all")
     )
     rewritten = swapped.select(F.col("row").alias(row), F.array_join("all.said", "").alias(new), F.size("all").alias(count))
     joined = held.drop(count).join(rewritten, row)

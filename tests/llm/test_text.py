@@ -233,6 +233,18 @@ def test_surrogates(spark):
     assert other[0] != new
 
 
+def test_surrogates_of_keys_in_any_case(spark):
+    small = "9233a8ecf7c5b09fe5949719b6b82bc439e9329b"
+    mixed = "".join(c.upper() if i % 2 else c for i, c in enumerate(small))
+    rows = [(0, f'TOKEN = "{small.upper()}"'), (1, f"token {small}."), (2, f"{mixed} and {small.upper()}")]
+    found = {r.doc_id: r for r in surrogates.replace_entities(h.documents(spark, rows), "k", count="n").collect()}
+    new = re.fullmatch(r'TOKEN = "([0-9A-F]{40})"', found[0].text)[1]
+    assert new != small.upper() and found[1].text == f"token {new.lower()}."
+    first, second = found[2].text.split(" and ")
+    assert second == new and first.lower() == new.lower() and found[2].n == 2
+    assert all(a.isupper() == b.isupper() for a, b in zip(first, mixed) if a.isalpha() and b.isalpha())
+
+
 def test_surrogates_stay_distinct(spark):
     # Short entities collide often, so tries must be repeated.
     small = spark.createDataFrame([("ip", f"10.0.0.{i}") for i in range(200)] + [("card", f"{i:02d}") for i in range(40)], "kind string, value string")
