@@ -6,20 +6,23 @@ length, and encoded by one tanh layer. A gate weighs the passages against each o
 weighted sum of their codes gives the score. Only documents have labels; the gate is learned from them.
 
 The model is fitted on the driver on a bounded sample of labelled documents, ``sample_docs``
-documents and ``sample_passages`` passages at most, whose features executors compute. It has a
+documents and ``sample_passages`` passages at most, whose features executors compute. If the documents have
+more passages, long ones give a part of theirs, drawn by hash: the most that fit, alike for all. It has a
 few thousand numbers, whatever the data. Scoring is one pass over all texts.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from edgeloom.llm.common import code_points, column_of, crc_fold, free_name, table, text_chunks
+from edgeloom.plans.rounds import written
 
 PASSAGE = 400
 SAMPLE_DOCS = 6_000
@@ -201,11 +204,31 @@ def fit(features: np.ndarray, many: np.ndarray, labels: np.ndarray, width: int =
     return Attention(mean, scale, w)
 
 
+def _share(sizes: np.ndarray, most: int) -> int:
+    """The largest number of passages that each document may give, 1 at least, so that all give ``most`` at most."""
+    low, high = 1, int(sizes.max(initial=1))
+    while low < high:
+        middle = (low + high + 1) // 2
+        if int(np.minimum(sizes, middle).sum()) <= most:
+            low = middle
+        else:
+            high = middle - 1
+    return low
+
+
+def _drawn(doc: str, total: int, share: int) -> np.ndarray:
+    """The places, in order, of the passages that a document of ``total`` gives."""
+    if total <= share:
+        return np.arange(total)
+    rng = np.random.default_rng(zlib.crc32(doc.encode("utf-8", "surrogatepass")))
+    return np.sort(rng.choice(total, share, replace=False))
+
+
 def _sampled(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str, skip_fold: int,
-             folds: int, most_docs: int, most_passages: int) -> DataFrame:
-    """``doc, text, label`` of the labelled documents to learn from, of bounded size.
+             folds: int, most_docs: int, most_passages: int) -> tuple[DataFrame, int]:
+    """``doc, text, label`` of the labelled documents to learn from, and how many passages each may give.
 
-    Documents are taken in the order of a hash of their ids, up to both bounds. A document with
+    Documents are taken in the order of a hash of their ids, up to ``most_docs``, however long they are. A document with
     several labels has the higher one; of rows with one id any counts.
     """
     known = (
@@ -221,12 +244,12 @@ def _sampled(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label:
         texts.select("doc", F.coalesce(F.length("text"), F.lit(0)).alias("n")).join(F.broadcast(drawn), "doc")
         .groupBy("doc", "label").agg(F.max("n").alias("n"))
     )
-    order = Window.orderBy(F.xxhash64("doc"), "doc")  # over at most 2 * most_docs rows
-    passages = F.greatest(F.lit(1), F.ceil(F.col("n") / PASSAGE))
-    taken = sizes.select(
-        "doc", "label", F.sum(passages).over(order).alias("passages"), F.row_number().over(order).alias("place")
-    ).where((F.col("passages") <= most_passages) & (F.col("place") <= most_docs))
-    return texts.join(F.broadcast(taken.select("doc", "label")), "doc").select("doc", "text", "label")
+    passages = F.greatest(F.lit(1), F.ceil(F.col("n") / PASSAGE)).cast("bigint")
+    # More documents than passages can't all give one.
+    taken = sizes.orderBy(F.xxhash64("doc"), "doc").limit(min(most_docs, most_passages)).select("doc", "label", passages.alias("passages"))
+    taken, _ = written(taken)
+    share = _share(taken.select("passages").toArrow().column(0).to_numpy(), most_passages)
+    return texts.join(F.broadcast(taken.select("doc", "label")), "doc").select("doc", "text", "label"), share
 
 
 def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality",
@@ -236,17 +259,22 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
 
     Without any labelled document every score is 0.5.
     """
-    sample = _sampled(docs, labels, doc_id, text, label, skip_fold, folds, sample_docs, sample_passages)
+    sample, share = _sampled(docs, labels, doc_id, text, label, skip_fold, folds, sample_docs, sample_passages)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, marks = batch.column("doc"), batch.column("label")
+            ids, marks = batch.column("doc").cast(pa.string()), batch.column("label")
             for low, texts in text_chunks(batch.column("text"), CHARS):
+                names = ids.slice(low, len(texts))
+                for k, (doc, t) in enumerate(zip(names.to_pylist(), texts)):
+                    total = max(1, -(-len(t) // PASSAGE))
+                    if total > share:  # passages are described one by one, so those drawn may stand together
+                        t = "".join(t[i * PASSAGE:(i + 1) * PASSAGE] for i in _drawn(doc, total, share).tolist())
+                        texts[k] = t
                 features, many = passage_features(texts)
                 rows = np.split(features.astype(np.float32), np.cumsum(many)[:-1])
                 yield pa.RecordBatch.from_arrays([
-                    ids.slice(low, len(texts)).cast(pa.string()), marks.slice(low, len(texts)),
-                    pa.array([r.tobytes() for r in rows], pa.binary()),
+                    names, marks.slice(low, len(texts)), pa.array([r.tobytes() for r in rows], pa.binary()),
                 ], ["doc", "label", "features"])
 
     plain = sample.select(F.col("doc").cast("string").alias("doc"), "text", "label")

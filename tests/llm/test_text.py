@@ -159,6 +159,27 @@ def test_quality(spark):
     assert quality.score(h.documents(spark, []), model).count() == 0
 
 
+def test_quality_with_a_very_long_text(spark):
+    rows, marks = _bags(2, 300)
+    # Whatever the order of the sample, the longest texts come early in it.
+    rows = [(d, t + " " + h.sentence(random.Random(d), 60) * 300 if d % 10 == 0 and q else t) for (d, t), (_, q, _) in zip(rows, marks)]
+    docs = h.documents(spark, rows)
+    labels = spark.createDataFrame(marks, "doc_id bigint, quality int, toxic int")
+    sample, share = quality._sampled(docs, labels, "doc_id", "text", "quality", 1, 3, 6000, 600)
+    learned = {d for d, _, _ in marks if zlib.crc32(str(d).encode()) % 3 != 1}
+    assert {r.doc for r in sample.select("doc").collect()} == learned and 1 <= share < 10
+    model = quality.train(docs, labels, sample_passages=800)
+    found = {r.doc_id: r.p for r in quality.score(docs, model, name="p").collect()}
+    assert sum((found[d] >= 0.5) == (q == 1) for d, q, _ in marks) >= 0.8 * len(marks)
+
+
+def test_shares_of_passages():
+    sizes = np.array([1, 2, 500, 9])
+    assert quality._share(sizes, 1000) == 500 and quality._share(sizes, 20) == 8 and quality._share(sizes, 2) == 1
+    places = quality._drawn("7", 500, 8)
+    assert len(set(places.tolist())) == 8 and (np.diff(places) > 0).all() and places.max() < 500
+
+
 def test_passage_features_do_not_depend_on_the_batch():
     texts = ["One two. Two two!", "", "É" * 900, "a\nb " * 300]
     together, many = quality.passage_features(texts)
