@@ -1,7 +1,7 @@
 """Surrogates for personal data: keyed replacements of the same type and format.
 
 E-mail and IP addresses, phone and card numbers, hexadecimal secrets, and names after a form of address
-are found by one pattern. Each different entity gets one surrogate in the whole corpus, so
+are found by one pattern, and so are further mentions of these names in the same text without it. Each different entity gets one surrogate in the whole corpus, so
 mentions of the same thing stay mentions of the same thing. Names are replaced name by name: the family
 name of "Mr John Miller" and "Mr Miller" becomes the same. A given name's surrogate has the ending of
 its gender, as the form of address tells it, and all names keep their script. A secret is the same
@@ -30,9 +30,17 @@ MALE = ["Mr", "Sir", "Herr", "Monsieur", "Señor", "Sr", "Don", "Signor", "г-н
 FEMALE = ["Mrs", "Ms", "Miss", "Madam", "Frau", "Madame", "Mme", "Señora", "Sra", "Doña", "Signora", "г-жа", "госпожа", "κυρία"]
 EITHER = ["Dr", "Prof"]
 
-_WORD = r"\p{Lu}[\p{Ll}'’]++(?:-\p{Lu}\p{Ll}++)?"
-_TITLE = "|".join(sorted(MALE + FEMALE + EITHER, key=len, reverse=True))
-PERSON = rf"(?<![\p{{L}}\d])(?:{_TITLE})\.? {_WORD}(?: {_WORD})?"
+TITLE_CAPITALS = ["MR", "MRS", "MS", "DR", "PROF", "HERR", "FRAU"]
+PARTICLES = "van von vom der den dem ter ten de del della dello degli di da das do dos du des la le el al bin ibn ben bint zu zum zur af av y".split()
+
+# Letters to the end of the word, with apostrophes and hyphens inside, but not the 's of a genitive.
+_WORD = r"(?:[dl]['’]|(?:al|el)-)?\p{Lu}[\p{L}\p{M}]*+(?:(?:-|['’](?![sS](?![\p{L}\p{M}])))[\p{L}][\p{L}\p{M}]*+)*+"
+_INITIAL = r"\p{Lu}\."
+NAME = rf"(?<![\p{{L}}\p{{M}}\d])(?:{_INITIAL}|{_WORD})|(?<=\.)(?:{_INITIAL}|{_WORD})"  # one of them in a person
+_NAMES = rf"(?:(?:{'|'.join(PARTICLES)}) )*+(?:{_INITIAL}|{_WORD})"
+_TITLE = "|".join(sorted(MALE + FEMALE + EITHER + TITLE_CAPITALS, key=len, reverse=True))
+PERSON = rf"(?<![\p{{L}}\d])(?:{_TITLE})\.? {_NAMES}(?:(?:(?<=\.) ?| |(?<=\.)-){_NAMES})*+"
+REPEAT = rf"(?<![\p{{L}}\p{{M}}\d]){_WORD}"
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]++\.)+[A-Za-z]{2,}"
 _BYTE = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 IP = rf"(?<![\d.]){_BYTE}(?:\.{_BYTE}){{3}}(?!\d|\.\d)"
@@ -69,22 +77,64 @@ def _script(name: Column) -> Column:
 
 
 def _gender(title: Column) -> Column:
-    return F.when(title.isin(MALE), "m").when(title.isin(FEMALE), "f").otherwise("given")
+    return (
+        F.when(title.isin(MALE + ["MR", "HERR"]), "m").when(title.isin(FEMALE + ["MRS", "MS", "FRAU"]), "f").otherwise("given")
+    )
+
+
+def _part(prefix: Column, kind: Column, value: Column, form: Column) -> Column:
+    return F.struct(prefix.alias("prefix"), kind.alias("kind"), value.alias("value"), form.alias("form"))
+
+
+def _entity_of(name: Column) -> Column:
+    """A name as one entity, whatever its letter case; initials lose their full stop."""
+    return F.initcap(F.rtrim(name, F.lit(".")))
 
 
 def _name_parts(before: Column, piece: Column) -> Column:
-    """Given and family name of a form of address and one or two names; a single name is a family name."""
-    words = F.split(piece, " ")
-    title = F.concat(words[0], F.lit(" "))
-    family = F.concat(F.lit("family."), _script(F.element_at(words, -1)))
-    given = F.concat(F.lit("given."), _gender(F.rtrim(words[0], F.lit("."))), F.lit("."), _script(words[1]))
+    """The names after a form of address: the last is a family name if it's no initial, the others are given ones."""
+    words = F.split(piece, " ", 2)
+    title, rest = F.concat(words[0], F.lit(" ")), words[1]
+    names, gaps = F.regexp_extract_all(rest, F.lit(NAME), F.lit(0)), F.split(rest, NAME)
+    given = F.concat(F.lit("given."), _gender(F.rtrim(words[0], F.lit("."))), F.lit("."))
+
+    def opened(name: Column, i: Column) -> Column:
+        family = (i == F.size(names) - 1) & ((i == 0) | (F.length(_entity_of(name)) > 1))
+        kind = F.concat(F.when(family, F.lit("family.")).otherwise(given), _script(name))
+        prefix = F.concat(F.when(i == 0, F.concat(before, title)).otherwise(F.lit("")), F.get(gaps, i))
+        return _part(prefix, kind, _entity_of(name), name)
+
+    return F.transform(names, opened)
+
+
+def with_repeats(parts: Column, tail: Column) -> Column:
+    """``parts`` and ``tail`` of a text with the untitled repeats of its own names as further parts.
+
+    A last part without a kind holds what follows the last entity.
+    """
+    person = F.filter(parts, lambda p: p["kind"].rlike(r"^(family|given)\.") & (F.length(p["value"]) > 1))
+    own = F.array_distinct(F.transform(person, lambda p: F.struct(p["value"].alias("value"), p["kind"].alias("kind"))))
+    known = F.array_distinct(F.transform(person, lambda p: p["value"]))
+    nothing = F.lit(None).cast("string")
+
+    def in_gap(gap: Column) -> Column:
+        """Each word of the gap like a name, with what stands before it, and the rest of the gap."""
+        words, between = F.regexp_extract_all(gap, F.lit(REPEAT), F.lit(0)), F.split(gap, REPEAT)
+
+        def word(w: Column, i: Column) -> Column:
+            kind = F.get(F.filter(own, lambda o: o["value"] == _entity_of(w)), F.lit(0))["kind"]
+            same = F.array_contains(known, _entity_of(w))
+            return _part(F.get(between, i), F.when(same, kind), F.when(same, _entity_of(w)), w)
+
+        return F.concat(F.transform(words, word), F.array(_part(F.element_at(between, -1), nothing, nothing, F.lit(""))))
 
-    def part(prefix: Column, kind: Column, value: Column) -> Column:
-        return F.struct(prefix.alias("prefix"), kind.alias("kind"), value.alias("value"), value.alias("form"))
+    def opened(p: Column) -> Column:
+        # The plain end of the gap goes before the entity.
+        return F.concat(in_gap(p["prefix"]), F.array(_part(F.lit(""), p["kind"], p["value"], p["form"])))
 
-    one = F.array(part(F.concat(before, title), family, F.element_at(words, -1)))
-    two = F.array(part(F.concat(before, title), given, words[1]), part(F.lit(" "), family, F.element_at(words, -1)))
-    return F.when(F.size(words) > 2, two).otherwise(one)
+    every = F.concat(F.flatten(F.transform(parts, opened)), in_gap(tail))
+    plain = F.transform(parts, lambda p: _part(p["prefix"], p["kind"], p["value"], p["form"]))
+    return F.when(F.size(person) > 0, every).otherwise(F.concat(plain, F.array(_part(tail, nothing, nothing, F.lit("")))))
 
 
 def parts_of(text: Column) -> Column:
@@ -177,7 +227,11 @@ def _said(kind: Column, form: Column, made: Column) -> Column:
         return F.when(F.substr(form, i + 1, F.lit(1)).between("A", "F"), F.upper(c)).otherwise(c)
 
     secret = F.when(form == F.upper(form), F.upper(made)).otherwise(F.array_join(F.transform(F.split(made, ""), cased), ""))
-    return F.when(kind == "secret", secret).otherwise(made)
+    # Initials stay initials, capitals capitals.
+    letter = F.length(F.rtrim(form, F.lit("."))) == 1
+    short = F.concat(F.substr(made, F.lit(1), F.lit(1)), F.substr(form, F.lit(2), F.length(form)))
+    name = F.when(letter, short).when(form == F.upper(form), F.upper(made)).otherwise(made)
+    return F.when(kind == "secret", secret).when(kind.rlike(r"^(family|given)\."), name).otherwise(made)
 
 
 def assign(entities: DataFrame, key: str) -> DataFrame:
@@ -216,6 +270,7 @@ def replace_entities(docs: DataFrame, key: str, text: str = "text", count: str =
     gaps = F.split(content, ENTITY)
     found = docs.withColumn(parts, F.when(content.rlike(ENTITY), parts_of(content)))
     found = found.withColumn(tail, F.when(column_of(found, parts).isNotNull(), F.element_at(gaps, -1)))
+    found = found.withColumn(parts, with_repeats(column_of(found, parts), column_of(found, tail))).drop(tail)
     found = found.withColumn(row, F.monotonically_increasing_id())
     # The text of a row with entities is in its parts already.
     found = found.withColumn(text, F.when(column_of(found, parts).isNull(), content))
@@ -223,13 +278,17 @@ def replace_entities(docs: DataFrame, key: str, text: str = "text", count: str =
     plain = marked.where(column_of(marked, parts).isNull()).withColumn(count, F.lit(0))
     held = marked.where(column_of(marked, parts).isNotNull())
     each = held.select(F.col(row).alias("row"), F.posexplode(parts).alias("pos", "part")).select("row", "pos", "part.*")
-    mapping = assign(each.select("kind", "value").distinct(), key)
-    swapped = each.join(mapping, ["kind", "value"]).groupBy("row").agg(
-        F.sort_array(F.collect_list(F.struct("pos", F.concat("prefix", _said(F.col("kind"), F.col("form"), F.col("surrogate"))).alias("said")))).alias("all")
+    entities = each.where("kind is not null")
+    mapping = assign(entities.select("kind", "value").distinct(), key)
+    said = F.concat("prefix", _said(F.col("kind"), F.col("form"), F.col("surrogate")))
+    swapped = entities.join(mapping, ["kind", "value"]).select("row", "pos", said.alias("said"), F.lit(1).alias("n"))
+    stays = each.where("kind is null").select("row", "pos", F.concat("prefix", "form").alias("said"), F.lit(0).alias("n"))
+    whole = swapped.union(stays).groupBy("row").agg(
+        F.sort_array(F.collect_list(F.struct("pos", "said"))).alias("all"), F.sum("n").cast("int").alias("n")
     )
-    rewritten = swapped.select(F.col("row").alias(row), F.array_join("all.said", "").alias(new), F.size("all").alias(count))
+    rewritten = whole.select(F.col("row").alias(row), F.array_join("all.said", "").alias(new), F.col("n").alias(count))
     joined = held.drop(count).join(rewritten, row)
-    joined = joined.withColumn(text, F.concat(column_of(joined, new), column_of(joined, tail)))
+    joined = joined.withColumn(text, column_of(joined, new))
     columns = [c for c in docs.columns if c.lower() != count.lower()] + [count]
     picked = [joined.select(*[column_of(joined, c) for c in columns]), plain.select(*[column_of(plain, c) for c in columns])]
     return picked[0].union(picked[1])

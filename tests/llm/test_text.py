@@ -266,6 +266,21 @@ def test_surrogates_of_keys_in_any_case(spark):
     assert all(a.isupper() == b.isupper() for a, b in zip(first, mixed) if a.isalpha() and b.isalpha())
 
 
+def test_surrogates_of_whole_names(spark):
+    text = ("Mr John Paul Smith, Mr McDonald, Mr O'Brien's, Mr. J. Smith, Mr J.R. Tolkien, Mrs SMITH, Dr van der Berg-Jones and "
+            "Sr d'Artagnan. Later John Smith, MCDONALD and Smith's Tolkiens met Paul.")
+    found = {r.doc_id: r for r in surrogates.replace_entities(h.documents(spark, [(0, text), (1, "John Smith")]), "k", count="n").collect()}
+    new = found[0].text
+    for gone in ("John", "Paul", "Smith", "SMITH", "Donald", "DONALD", "Brien", "Berg", "Jones", "Artagnan"):
+        assert gone not in new, (gone, new)
+    shape = re.fullmatch(r"Mr (\w+) (\w+) (\w+), Mr (\w+), Mr \w+'s, Mr\. \w\. (\w+), Mr \w\.\w\. \w+, Mrs (\w+), Dr van der \w+ and "
+                         r"Sr \w+\. Later (\w+) (\w+), (\w+) and (\w+)'s Tolkiens met (\w+)\.", new)
+    assert shape, new
+    john, paul, smith, mc, smith2, smith3, john2, smith4, mc2, smith5, paul2 = shape.groups()
+    assert (john, paul, mc.upper()) == (john2, paul2, mc2) and {smith2, smith3.title(), smith4, smith5} == {smith}
+    assert found[1].text == "John Smith" and found[0].n == 18
+
+
 def test_surrogates_stay_distinct(spark):
     # Short entities collide often, so tries must be repeated.
     small = spark.createDataFrame([("ip", f"10.0.0.{i}") for i in range(200)] + [("card", f"{i:02d}") for i in range(40)], "kind string, value string")
