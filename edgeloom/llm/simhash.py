@@ -190,26 +190,26 @@ def simhash_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
              threshold: int = 4, width: int = 4) -> DataFrame:
-    """``docs`` with one row of each group, that of the smallest id.
+    """``docs`` with one row of each group, that of the smallest (id, hash of the text, number of the row).
 
-    Rows of the same id count once, whichever comes first; rows without an id are all kept.
-    The rows are shuffled once, at any size, to meet the list of ids that stay.
+    Rows are numbered in a written table, so the choice is one of rows, also if ids are repeated.
+    Rows without an id are all kept.
+    The rows are shuffled once, at any size, to meet the list of numbers that stay.
     """
-    groups, _ = written(simhash_groups(docs, doc_id, text, threshold, width))
-    name = free_name(docs, "_kept")
-    seen = groups.where("doc_id is not null").groupBy(F.col("doc_id").alias(name)).agg(
-        F.max(F.col("doc_id") == F.col("component_id")).alias("stays"), F.count("*").alias("n")
+    name = free_name(docs, "_row")
+    rows, _ = written(docs.withColumn(name, F.monotonically_increasing_id()))
+    plain = rows.select(
+        column_of(rows, name).alias("row"), column_of(rows, doc_id).alias("doc_id"), column_of(rows, text).cast("string").alias("text")
     )
-    seen, facts = written(seen, repeated=F.count_if(F.col("n") > 1))
-
-    def staying(which: str) -> DataFrame:
-        ids = seen.where(f"stays and {which}").select(name).hint("merge")
-        return docs.join(ids, column_of(docs, doc_id) == F.col(name), "left_semi")
-
-    kept = staying("n = 1").union(docs.where(column_of(docs, doc_id).isNull()))
-    if facts["repeated"]:
-        kept = kept.union(staying("n > 1").dropDuplicates([doc_id]))
-    return kept
+    marked, _ = written(fingerprints(plain, width=width).select("row", "doc_id", F.xxhash64("text").alias("hash"), "fp"))
+    # A group is named by its first row that has an id.
+    place = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "hash", "row"))
+    prints, _ = written(marked.groupBy("fp").agg(F.min(place).alias("least")))
+    edges, _ = written(links(prints.select("fp"), threshold))
+    groups, _ = written(with_component(prints, edges, "fp", "least"))
+    kept, _ = written(groups.where("component_id is not null").select(F.col("component_id.row").alias(name)).distinct())
+    staying = rows.join(kept.hint("merge"), name, "left_semi").select(rows.columns)
+    return staying.union(rows.where(column_of(rows, doc_id).isNull())).drop(name)
 
 
 def op7_simhash_dedup(spark, folder: str) -> DataFrame:

@@ -64,6 +64,15 @@ def test_empty_tables(spark):
     assert embedding_groups(vectors).count() == 0
 
 
+def test_one_row_of_each_group_stays(spark):
+    rng = random.Random(5)
+    one, two, three = (h.sentence(rng, 60) for _ in range(3))
+    # An id with two texts, copies without an id, and a copy with one.
+    rows = [(1, one), (1, two), (None, three), (None, three), (7, one), (None, two), (None, one)]
+    kept = keep_one(h.documents(spark, rows, ("row", "fp", "_row"))).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in kept) == sorted([(1, one), (1, two)] + [(0, t) for d, t in rows if d is None])
+
+
 def _brute(rows, threshold=0.93):
     def unit(v):
         if v is None or any(x is None or not np.isfinite(x) for x in v) or not any(v):
