@@ -2,7 +2,7 @@
 
 An id of 16 bits is coded as four nibbles. For each nibble models foresee a distribution:
 order 0 by the nibbles before it in the id, order 1 and 2 by hashes of those and of the one or two ids
-before; order 2 only for the first two nibbles, as the other two mostly follow. The distributions are mixed by weights that follow how well each model did, and
+before. The distributions are mixed by weights that follow how well each model did, and
 the mix drives a carry-less range coder. All arithmetic is on integers, or single IEEE operations
 followed by rounding down, so every machine decodes alike.
 
@@ -42,7 +42,7 @@ ORDER0, HASHED_BITS = 1 + 16 + 256 + 4096, 10
 HASHED = 1 << HASHED_BITS
 ROWS = ORDER0 + 2 * HASHED  # of each lane's models
 RATE = 4
-MODELS = (3, 3, 2, 2)  # orders that are mixed for each nibble
+MODELS = (3, 3, 3, 3)  # orders that are mixed for each nibble
 START = np.array([0, 1, 17, 273])  # first order-0 row of each nibble
 # The coder's interval lies in 56 bits; the upper 24 of them are the next word.
 WINDOW, WORD = 56, 24

@@ -32,6 +32,17 @@ def test_repetition_is_cheap_and_blocks_are_independent():
     assert 2 * len(both[0]) < 0.2 * 2 * len(ids)
 
 
+def test_late_nibbles_follow_two_ids(monkeypatch):
+    ids = [1, 2]
+    draw = np.random.default_rng(5).integers(0, 2, 8000).tolist()
+    for x in draw:
+        ids.append(ids[-1] if x and len(ids) % 7 == 0 else 1 + (3 * ids[-1] + 5 * ids[-2]) % 61)
+    block = np.array(ids, np.uint16)
+    size = len(tokens.encode_blocks([block])[0])
+    monkeypatch.setattr(tokens, "MODELS", (3, 3, 2, 2))
+    assert size < 0.95 * len(tokens.encode_blocks([block])[0])
+
+
 def test_damage_is_found():
     payload = tokens.pack(tokens.encode_blocks([np.arange(50, dtype=np.uint32)])[0], 50, [50], [3])
     assert tokens.unpack(payload)[1:] == (50, [50], [3])
