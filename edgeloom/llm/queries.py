@@ -11,11 +11,12 @@ from edgeloom.llm.rpforest import op5_embedding_dedup
 from edgeloom.llm.sharding import op9_sharding
 from edgeloom.llm.simhash import op7_simhash_dedup
 from edgeloom.llm.surrogates import op2_surrogates
+from edgeloom.llm.token_counts import op13_token_counts
 from edgeloom.llm.tokens import op6_token_blocks
 
 QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_surrogates, op3_mixing, op4_quality, op5_embedding_dedup, op6_token_blocks, op7_simhash_dedup,
-    op8_decontaminate, op9_sharding, op10_license_scan,
+    op8_decontaminate, op9_sharding, op10_license_scan, op13_token_counts,
 )}
 
 WORDS = r"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
