@@ -6,6 +6,7 @@ from edgeloom.llm.decontaminate import op8_decontaminate
 from edgeloom.llm.langid import op1_language_id
 from edgeloom.llm.licenses import op10_license_scan
 from edgeloom.llm.mixing import op3_mixing
+from edgeloom.llm.periods import op12_periodic_runs
 from edgeloom.llm.quality import op4_quality
 from edgeloom.llm.rpforest import op5_embedding_dedup
 from edgeloom.llm.sharding import op9_sharding
@@ -16,7 +17,7 @@ from edgeloom.llm.tokens import op6_token_blocks
 
 QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_surrogates, op3_mixing, op4_quality, op5_embedding_dedup, op6_token_blocks, op7_simhash_dedup,
-    op8_decontaminate, op9_sharding, op10_license_scan, op13_token_counts,
+    op8_decontaminate, op9_sharding, op10_license_scan, op12_periodic_runs, op13_token_counts,
 )}
 
 WORDS = r"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
