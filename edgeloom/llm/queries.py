@@ -7,6 +7,7 @@ from edgeloom.llm.langid import op1_language_id
 from edgeloom.llm.licenses import op10_license_scan
 from edgeloom.llm.mixing import op3_mixing
 from edgeloom.llm.periods import op12_periodic_runs
+from edgeloom.llm.phrases import op11_collocations
 from edgeloom.llm.quality import op4_quality
 from edgeloom.llm.rpforest import op5_embedding_dedup
 from edgeloom.llm.sharding import op9_sharding
@@ -17,7 +18,7 @@ from edgeloom.llm.tokens import op6_token_blocks
 
 QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_surrogates, op3_mixing, op4_quality, op5_embedding_dedup, op6_token_blocks, op7_simhash_dedup,
-    op8_decontaminate, op9_sharding, op10_license_scan, op12_periodic_runs, op13_token_counts,
+    op8_decontaminate, op9_sharding, op10_license_scan, op11_collocations, op12_periodic_runs, op13_token_counts,
 )}
 
 WORDS = r"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -87,9 +88,35 @@ n AS (SELECT a, count(*) AS links FROM p GROUP BY a)
 SELECT vec_id, coalesce(links, 0)::BIGINT AS n_links, l AS component_id, vec_id = l AS kept
 FROM embeddings LEFT JOIN n ON a = vec_id JOIN cc ON cc.n = vec_id"""
 
+COLLOCATIONS = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+v AS MATERIALIZED (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+t AS (SELECT lang, sum(len(w))::HUGEINT AS n FROM v GROUP BY lang),
+g AS (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM v, (SELECT unnest(range(1, 6)) AS k) WHERE len(w) >= k),
+f AS MATERIALIZED (
+  SELECT lang, array_to_string(w[i:i + k - 1], ' ') AS phrase, k, count(*) AS f FROM g GROUP BY ALL HAVING count(*) >= 100),
+c AS (SELECT lang, phrase, k, f AS a, string_split(phrase, ' ') AS w, unnest(range(1, k)) AS cut FROM f WHERE k > 1),
+s AS (
+  SELECT c.lang, c.phrase, a, cut, l.f AS l, r.f AS r, n, (1000::HUGEINT * a * n) // (l.f::HUGEINT * r.f) AS score
+  FROM c JOIN t USING (lang) JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(w[:cut], ' ')
+    JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(w[cut + 1:], ' ')),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+o AS (
+  SELECT lang, part, max(f) AS most FROM (SELECT lang, f, unnest([array_to_string(w[:k - 1], ' '), array_to_string(w[2:], ' ')]) AS part
+    FROM (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE k > 2)) GROUP BY lang, part),
+q AS (
+  SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, phrase) AS rank
+  FROM b LEFT JOIN o ON o.lang = b.lang AND o.part = b.phrase WHERE most IS NULL OR most < a)
+SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM q WHERE rank <= 2000"""
+
 ORACLES = {
     "op3_mixing": MIXING,
     "op5_embedding_dedup": EMBEDDINGS,
+    "op11_collocations": COLLOCATIONS,
     "op8_decontaminate": f"""
 WITH d AS (SELECT doc_id, coalesce({WORDS}, []) AS w FROM documents),
 b AS (SELECT item_id, {WORDS} AS w FROM benchmark),
