@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import IntegralType
 
 from edgeloom.llm.common import column_of, table
 from edgeloom.plans.rounds import shuffle_partitions, written
@@ -243,77 +244,89 @@ def _level(docs: DataFrame, sizes: range, known_words: int, known, width: int) -
     return docs.select("lang", "text").mapInArrow(run, "fp bigint, n bigint")
 
 
+def different(fp: np.ndarray, lang: np.ndarray, low: np.ndarray, length: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First places and counts of the phrases that differ in language or in their bytes ``data[low:low + length]``."""
+    heads, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    # A turn takes the first phrase of each fingerprint and all that equal it; others with that fingerprint wait.
+    pending = np.argsort(fp, kind="stable")
+    while len(pending):
+        first = np.flatnonzero(np.concatenate([[True], fp[pending[1:]] != fp[pending[:-1]]]))
+        lead = np.repeat(pending[first], np.diff(np.append(first, len(pending))))
+        same = (length[pending] == length[lead]) & (lang[pending] == lang[lead])
+        at = np.flatnonzero(same)
+        same[at] = same_bytes(data, low[pending[at]], low[lead[at]], length[lead[at]])
+        heads.append(pending[first])
+        counts.append(np.add.reduceat(same.astype(np.int64), first))
+        pending = pending[~same]
+    return np.concatenate(heads), np.concatenate(counts)
+
+
+def _known_phrases(chunk: Chunk, bits: np.ndarray, max_words: int, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First word, size and fingerprint of the occurrences of phrases that the filter holds, with all their parts."""
+    firsts, sizes, prints = [], [], []
+    good = np.ones(len(chunk.start) + 1, bool)
+    for size in range(1, max_words + 1):
+        first = chunk.phrases(size)
+        first = first[good[first] & good[first + 1]] if size > 1 else first
+        fp = chunk.fingerprints(first, size, width)
+        there = _known(bits, fp)
+        firsts.append(first[there])
+        prints.append(fp[there])
+        sizes.append(np.full(int(there.sum()), size))
+        good[:] = False
+        good[first[there]] = True
+    return np.concatenate(firsts), np.concatenate(sizes), np.concatenate(prints)
+
+
 def _read_phrases(docs: DataFrame, known, max_words: int, width: int) -> DataFrame:
-    """``lang, phrase, n, doc_id, word``: phrases that the filter holds, per chunk and compared byte by byte.
+    """``lang, phrase, n, doc_id, word``: phrases that the filter holds, compared byte by byte in each chunk.
 
-    A row without a phrase has the number of all words of the chunk in that language.
+    A row without a phrase has the number of words of the chunk in that language.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column("doc_id").to_pylist()
+            ids = batch.column("doc_id")
             for chunk, rows, before, langs in _chunks(batch):
-                yield from _phrase_rows(chunk, rows, before, langs, ids)
-
-    def _phrase_rows(chunk, rows, before, langs, ids):
-        names = sorted(set(langs))
-        lang = np.array([names.index(langs[r]) for r in rows])[chunk.text]
-        firsts, sizes, prints = [], [], []
-        good = np.ones(len(chunk.start) + 1, bool)
-        for size in range(1, max_words + 1):
-            first = chunk.phrases(size)
-            first = first[good[first] & good[first + 1]] if size > 1 else first
-            fp = chunk.fingerprints(first, size, width)
-            there = _known(known.value, fp)
-            firsts.append(first[there])
-            prints.append(fp[there])
-            sizes.append(np.full(int(there.sum()), size))
-            good[:] = False
-            good[first[there]] = True
-        first, size, fp = map(np.concatenate, (firsts, sizes, prints))
-        low = chunk.start[first]
-        length = chunk.end[first + size - 1] - low
-        # A turn takes the first phrase of each fingerprint and all that equal it; others with that fingerprint wait.
-        pending = np.argsort(fp, kind="stable")
-        text_starts = np.searchsorted(chunk.text, np.arange(len(rows)))
-        while len(pending):
-            new = np.concatenate([[True], fp[pending[1:]] != fp[pending[:-1]]])
-            head = pending[new]
-            group = np.cumsum(new) - 1
-            lead = head[group]
-            same = (length[pending] == length[lead]) & (lang[first[pending]] == lang[first[lead]])
-            at = np.flatnonzero(same)
-            same[at] = same_bytes(chunk.data, low[pending[at]], low[lead[at]], length[lead[at]])
-            ends = np.concatenate([[0], np.cumsum(length[head])]).astype(np.int32)
-            byte = np.repeat(low[head] - ends[:-1], length[head]) + np.arange(ends[-1])
-            phrase = pa.StringArray.from_buffers(len(head), pa.py_buffer(ends), pa.py_buffer(chunk.data[byte]))
-            where = chunk.text[first[head]]
-            yield _batch(
-                [names[k] for k in lang[first[head]]], phrase, np.bincount(group[same], minlength=len(head)),
-                [ids[r] for r in rows[where]], first[head] - text_starts[where] + before[where],
-            )
-            pending = pending[~same]
-        totals = np.bincount(lang, minlength=len(names))
-        yield _batch(names, pa.nulls(len(names), pa.string()), totals, [None] * len(names), np.zeros(len(names), np.int64))
-
-    def _batch(lang, phrase, n, doc_id, word):
-        arrays = [pa.array(lang, pa.string()), phrase, pa.array(n, pa.int64()), pa.array(doc_id, pa.string()), pa.array(word, pa.int64())]
+                names = sorted({langs[r] for r in rows})
+                code = {x: k for k, x in enumerate(names)}
+                lang = np.array([code[langs[r]] for r in rows])[chunk.text]
+                first, size, fp = _known_phrases(chunk, known.value, max_words, width)
+                low = chunk.start[first]
+                length = chunk.end[first + size - 1] - low
+                head, n = different(fp, lang[first], low, length, chunk.data)
+                ends = np.concatenate([[0], np.cumsum(length[head])])
+                byte = np.repeat(low[head] - ends[:-1], length[head]) + np.arange(ends[-1])
+                phrase = pa.StringArray.from_buffers(len(head), pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(chunk.data[byte]))
+                first = first[head]
+                text = chunk.text[first]
+                yield _batch(
+                    pa.array(names).take(pa.array(lang[first])), phrase, n, ids.take(pa.array(rows[text])),
+                    first - np.searchsorted(chunk.text, text) + before[text])
+                words = np.bincount(lang, minlength=len(names))
+                yield _batch(pa.array(names), pa.nulls(len(names), pa.string()), words, pa.nulls(len(names), ids.type), words)
+
+    def _batch(lang, phrase, n, doc_id, word) -> pa.RecordBatch:
+        arrays = [lang, phrase, pa.array(n, pa.int64()), doc_id, pa.array(word, pa.int64())]
         return pa.RecordBatch.from_arrays(arrays, ["lang", "phrase", "n", "doc_id", "word"])
 
-    return docs.mapInArrow(run, "lang string, phrase string, n bigint, doc_id string, word bigint")
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    return docs.mapInArrow(run, f"lang string, phrase string, n bigint, doc_id {id_type}, word bigint")
 
 
 def frequent_phrases(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang",
                      max_words: int = MAX_WORDS, least: int = LEAST, width: int = 2 * PRIME_BITS) -> DataFrame:
     """``lang, phrase, f, doc_id, word``: phrases of 1 to ``max_words`` words that occur ``least`` times in a language.
 
-    The last two columns (the id as text) point to one of the occurrences; which one may change from run to run.
+    The last two columns point to one of the occurrences; which one may change from run to run. Ids that aren't
+    whole numbers are given as text.
     A row without a phrase has the number of all words of a language. A null language is ``und``, a null text empty. Rows are
     taken as they are: repeated ones count again. An empty table, or one without words, has no phrases.
     """
     spark = docs.sparkSession
+    whole = isinstance(docs.schema[doc_id].dataType, IntegralType)
     rows = docs.select(
-        column_of(docs, doc_id).cast("string").alias("doc_id"), column_of(docs, text).cast("string").alias("text"),
+        column_of(docs, doc_id).cast("bigint" if whole else "string").alias("doc_id"), column_of(docs, text).cast("string").alias("text"),
         F.coalesce(column_of(docs, lang).cast("string"), F.lit(UNKNOWN)).alias("lang"),
     )
     found, known, known_words = None, None, 0

@@ -88,8 +88,11 @@ def test_small_chunks_and_full_filters(spark, monkeypatch):
 def test_pointers(spark, monkeypatch):
     monkeypatch.setattr(p, "CHARS", 50)
     rows = [(i, t, x) for i, t, x in _rows(3, 60) if i is not None] + [(900, "one two. " * 30, "en")]
-    texts = {str(i): [w for words in _pieces(t) for w in words] for i, t, _ in rows}
-    found = p.frequent_phrases(_docs(spark, rows), least=4).where("phrase is not null").collect()
+    texts = {i: [w for words in _pieces(t) for w in words] for i, t, _ in rows}
+    docs = _docs(spark, rows)
+    named = docs.withColumn("doc_id", docs.doc_id.cast("string"))
+    found = p.frequent_phrases(docs, least=4).where("phrase is not null").collect()
+    assert {(r.lang, r.phrase, r.f) for r in p.frequent_phrases(named, least=4).collect() if r.phrase} == {(r.lang, r.phrase, r.f) for r in found}
     assert len(found) > 20
     for r in found:
         words = r.phrase.split(" ")
@@ -110,7 +113,7 @@ def test_skewed(spark, mode):
 def test_scores_beyond_64_bits(spark):
     big = 3_000_000_007
     rows = [("x", None, 4 * big), ("x", "a", big), ("x", "b", big + 1), ("x", "a b", big - 1)]
-    counted = spark.createDataFrame(rows, "lang string, phrase string, f bigint").selectExpr("*", "'1' AS doc_id", "0L AS word")
+    counted = spark.createDataFrame(rows, "lang string, phrase string, f bigint").selectExpr("*", "1L AS doc_id", "0L AS word")
     original = p.frequent_phrases
     try:
         p.frequent_phrases = lambda *_: counted
