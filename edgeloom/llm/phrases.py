@@ -57,10 +57,14 @@ SMALL, KIND = _byte_table()
 
 
 def _reduced(x: np.ndarray) -> np.ndarray:
-    """Remainders by the prime of numbers below 2 ** 62."""
-    x = (x & PRIME) + (x >> np.uint64(PRIME_BITS))
-    x = (x & PRIME) + (x >> np.uint64(PRIME_BITS))
-    return np.where(x >= PRIME, x - PRIME, x)
+    """Remainders by the prime of numbers below 2 ** 62, in place."""
+    high = x >> np.uint64(PRIME_BITS)
+    x &= PRIME
+    x += high
+    np.right_shift(x, np.uint64(PRIME_BITS), out=high)
+    x &= PRIME
+    x += high
+    return np.subtract(x, PRIME, out=x, where=x >= PRIME)
 
 
 @lru_cache(maxsize=8)
@@ -83,9 +87,12 @@ class Chunk:
         inside = kind == 0
         edge = np.flatnonzero(np.diff(inside, prepend=False))
         start, end = edge[::2], edge[1::2]  # the last byte ends a piece, so every word has an end
-        self.piece = np.searchsorted(np.flatnonzero(kind == 2), start)
+        begins = np.zeros(len(start) + 1, np.int32)  # words that come after the end of a piece
+        begins[np.searchsorted(start, np.flatnonzero(kind == 2))] = 1
+        self.piece = np.cumsum(begins[:-1], dtype=np.int32)
         text_ends = np.cumsum(np.fromiter((len(t) + 1 for t in encoded), np.int64, len(encoded)))
-        self.text = np.searchsorted(text_ends, start, "right")
+        words = np.searchsorted(start, text_ends)
+        self.text = np.repeat(np.arange(len(encoded)), np.diff(words, prepend=0))
         inside[end] = True
         self.data = raw[inside]
         self.end = np.cumsum(end - start + 1) - 1
@@ -94,11 +101,14 @@ class Chunk:
         self.salt = salts[self.text]
         n = len(self.data)
         self.bits = max(10, n.bit_length())
-        digits = self.data.astype(np.uint64) + np.uint64(1)
+        digits = self.data.astype(np.uint64)
+        digits += np.uint64(1)
         self.prefix = []
         for base in BASES:
             terms = digits * _powers(base, self.bits)[:n]
-            terms = (terms & PRIME) + (terms >> np.uint64(PRIME_BITS))  # below 2 ** 32, so sums of 2 ** 32 of them fit
+            high = terms >> np.uint64(PRIME_BITS)
+            terms &= PRIME
+            terms += high  # below 2 ** 32, so sums of 2 ** 32 of them fit
             self.prefix.append(np.concatenate([np.zeros(1, np.uint64), _reduced(np.cumsum(terms))]))
 
     def phrases(self, words: int) -> np.ndarray:
