@@ -346,4 +346,22 @@ SELECT n.id, least(3.0::DOUBLE, coalesce(w, 3.0::DOUBLE)) AS weight FROM ({_NODE
 below AS (SELECT high AS id, count(*)::DOUBLE AS n FROM up GROUP BY high)
 SELECT v.id, CASE WHEN v.id % 5 = 4 THEN 0.0::DOUBLE ELSE coalesce(n, 0.0::DOUBLE) END AS weight
 FROM ({_NODES}) v LEFT JOIN below ON below.id = v.id""",
+    "betweenness_repeated": f"""WITH RECURSIVE {SUCCESSION.replace(', e AS', ', steps AS')},
+e AS MATERIALIZED (SELECT src, dst FROM steps WHERE weight >= 2),
+v AS MATERIALIZED (SELECT src AS id FROM steps UNION SELECT dst FROM steps),
+b(s, n, d) USING KEY (s, n) AS (
+  SELECT id, id, 0 FROM v
+  UNION SELECT b.s, e.dst, min(b.d + 1) FROM b JOIN e ON e.src = b.n LEFT JOIN recurring.b q ON q.s = b.s AND q.n = e.dst
+  WHERE q.s IS NULL GROUP BY b.s, e.dst),
+far AS MATERIALIZED (SELECT * FROM b),
+p(s, n, d, c) AS (
+  SELECT id, id, 0, 1.0::DOUBLE FROM v
+  UNION ALL SELECT p.s, e.dst, p.d + 1, sum(p.c) FROM p JOIN e ON e.src = p.n
+    JOIN far ON far.s = p.s AND far.n = e.dst AND far.d = p.d + 1 GROUP BY p.s, e.dst, p.d),
+paths AS MATERIALIZED (SELECT * FROM p),
+x AS (
+  SELECT a.n AS id, sum(a.c * z.c / t.c) AS w FROM paths a JOIN paths z ON z.s = a.n
+    JOIN paths t ON t.s = a.s AND t.n = z.n AND t.d = a.d + z.d WHERE a.s <> a.n AND z.n <> a.n GROUP BY a.n),
+nn AS (SELECT count(*)::DOUBLE AS c FROM v)
+SELECT v.id, round(coalesce(w, 0.0::DOUBLE) / ((c - 1) * (c - 2)), 12) AS weight FROM v LEFT JOIN x ON x.id = v.id, nn""",
 }

@@ -757,3 +757,10 @@ def betweenness_places(spark, folder):
     regions = g.table(spark, folder, "region").select((F.col("r_regionkey").cast("bigint") * 5 + 4).alias("id"))
     both_ways = Graph(graph.edges, graph.nodes, is_directed=False)
     return betweenness(both_ways, tables.node_set_from_table(regions, "id")).df
+
+
+@query
+def betweenness_repeated(spark, folder):
+    """Of all nodes, by the steps seen more than once, as a share of the pairs that they can lie between."""
+    graph = edge_ops.filter_edges(g.succession_graph(spark, folder), "weight >= 2")
+    return betweenness(graph, normalize=True).df.select("id", F.round("weight", 12).alias("weight"))
