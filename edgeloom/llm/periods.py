@@ -10,7 +10,8 @@ There, suffixes are sampled at the residues of a difference cover: from any two
 words as the cover is long, then by doubling, as a sample that many words on is a sample as well. Neighbours' common prefixes
 lie in a sparse table, so a question costs a few words and one range minimum. The same on the reversed words looks back.
 
-Texts are worked on in chunks of bounded size by numpy; a longer text is a chunk of its own, and its questions come in blocks.
+Texts are worked on in chunks of bounded size by numpy; a longer text is a chunk of its own, and its questions come in blocks
+that are answered and dropped one by one.
 """
 
 from __future__ import annotations
@@ -33,6 +34,7 @@ CHARS = 2_000_000  # of the texts that are handled at once
 COVER_PERIOD, COVER = 21, (0, 1, 4, 14, 16)
 SLIDE = 64  # periods up to this are compared at all places of a chunk, larger ones on the grid alone
 BLOCK = 500_000  # questions asked at once
+WIDE = 256  # words of a stretch from which on its further periods are passed over
 
 
 def _steps_to_samples() -> np.ndarray:
@@ -225,18 +227,15 @@ def find_runs(ids: np.ndarray, bounds: np.ndarray, least: int = LEAST) -> tuple[
     # Shorter texts hold no run and are left out of the work.
     chosen, cut = _part(ids, bounds, long)
     words, first = _fenced(chosen, cut)
-    near, open_questions = [], []
+    near, asking = [], np.zeros(len(long), bool)
     for text, place, q in _questions(words, first, sizes[long]):
-        few = np.full(len(place), COVER_PERIOD)
-        ahead = compare(words, place, place + q, few)
-        back = compare(words, place - 1, place + q - 1, few, -1)
-        answered = (ahead < COVER_PERIOD) & (back < COVER_PERIOD)
+        still = ~asking[text]
+        text, place, q = text[still], place[still], q[still]
+        ahead, back, answered = _few_words(words, place, q)
         near.append(_stretches(first, text, place - first[text], q, ahead, back, answered, least))
-        rest = ~answered
-        if rest.any():
-            open_questions.append((text[rest], (place - first[text])[rest], q[rest]))
-    if open_questions:
-        near += _by_extensions(chosen, cut, open_questions, least)
+        asking[text[~answered]] = True
+    if asking.any():
+        near += _by_extensions(chosen, cut, np.flatnonzero(asking), least)
     text, start, length, period = map(np.concatenate, zip(*near))
     # A stretch that two periods found has the smaller one; the other is a multiple of it.
     order = np.lexsort((period, length, start, text))
@@ -265,9 +264,20 @@ def _stretches(first, text, place, q, ahead, back, known, least) -> tuple[np.nda
     return text[good], (place - back)[good], length[good], q[good]
 
 
-def _by_extensions(ids: np.ndarray, bounds: np.ndarray, blocks: list, least: int) -> list[tuple[np.ndarray, ...]]:
-    """Stretches of the questions that a few words don't answer, over the texts that ask them."""
-    asked = np.unique(np.concatenate([np.unique(b[0]) for b in blocks]))
+def _few_words(words: np.ndarray, place: np.ndarray, q: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Equal words ahead and back as far as a few words tell, and whether these answer the question."""
+    few = np.full(len(place), COVER_PERIOD)
+    ahead = compare(words, place, place + q, few)
+    back = compare(words, place - 1, place + q - 1, few, -1)
+    return ahead, back, (ahead < COVER_PERIOD) & (back < COVER_PERIOD)
+
+
+def _by_extensions(ids: np.ndarray, bounds: np.ndarray, asked: np.ndarray, least: int) -> list[tuple[np.ndarray, ...]]:
+    """Stretches of all questions of the ``asked`` texts, some of which a few words don't answer.
+
+    The questions are drawn up once more and answered block by block, as a long text of few different words has too many to be held.
+    Those that have the answer of a smaller period are passed over: within a stretch, periods are its own one's multiples.
+    """
     chosen, cut = _part(ids, bounds, asked)
     words, first = _fenced(chosen, cut)
     # Numbers as small as can be, so that many fit one key.
@@ -280,13 +290,22 @@ def _by_extensions(ids: np.ndarray, bounds: np.ndarray, blocks: list, least: int
     shifted = np.append(text_of[1:], text_of[-1])
     back_of = Extensions(words[::-1], (len(first) - 1 - shifted)[::-1])
     last, found = len(words) - 1, []
-    for text, place, q in blocks:
-        text = np.searchsorted(asked, text)
-        at = first[text] + place
-        ahead = ahead_of.lce(at, at + q)
-        back = back_of.lce(last - (at + q - 1), last - (at - 1))
-        t, *run = _stretches(first, text, place, q, ahead, back, np.ones(len(q), bool), least)
-        found.append((asked[t], *run))
+    # A long stretch found so far that a place lies in: where it ends, and its period.
+    until, every = np.zeros(len(words), np.int64), np.ones(len(words), np.int64)
+    for text, place, q in _questions(words, first, np.diff(cut)):
+        new = (until[place] <= place + q) | (q % every[place] != 0)
+        text, place, q = text[new], place[new], q[new]
+        ahead, back, _ = _few_words(words, place, q)
+        more = ahead == COVER_PERIOD
+        ahead[more] = ahead_of.lce(place[more], place[more] + q[more])
+        more = back == COVER_PERIOD
+        back[more] = back_of.lce(last - (place[more] + q[more] - 1), last - (place[more] - 1))
+        t, start, length, period = _stretches(first, text, place - first[text], q, ahead, back, np.ones(len(q), bool), least)
+        found.append((asked[t], start, length, period))
+        wide = np.flatnonzero(length >= np.maximum(WIDE, 4 * period))
+        for k in wide[np.argsort(-period[wide])]:  # of equal stretches, the smallest period is the last to be noted
+            low = first[t[k]] + start[k]
+            until[low:low + length[k]], every[low:low + length[k]] = low + length[k], period[k]
     return found
 
 

@@ -76,6 +76,22 @@ def test_runs_equal_brute_force(monkeypatch, slide, block):
     assert _found([]) == [] and _found([[], [1]]) == [[], []]
 
 
+@pytest.mark.parametrize("wide, block", [(1, 7), (8, 100), (30, 500_000)])
+def test_questions_within_long_stretches(monkeypatch, wide, block):
+    monkeypatch.setattr(p, "WIDE", wide)
+    monkeypatch.setattr(p, "BLOCK", block)
+    rng = random.Random(wide)
+    texts = list(_texts(rng, 40))
+    # Powers of powers: long stretches inside each other, broken off and begun anew.
+    for _ in range(20):
+        text = [rng.randrange(2)]
+        while len(text) < 400:
+            text = text * rng.randint(1, 6) + [rng.randrange(3) for _ in range(rng.randrange(3))]
+        texts.append(text[:600])
+    assert _found(texts) == [_runs(t) for t in texts]
+    assert _found(texts, 2) == [_runs(t, 2) for t in texts]
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.lists(st.integers(0, 2), max_size=90), min_size=1, max_size=5))
 def test_short_alphabets(texts):
