@@ -16,7 +16,9 @@ from __future__ import annotations
 
 import re
 import struct
+from array import array
 from collections.abc import Iterator
+from functools import partial
 from heapq import heapify, heappop, heappush
 
 import pyarrow as pa
@@ -103,30 +105,35 @@ def read_model(path: str) -> dict:
 def merged(unit: str, rank: dict[str, int]) -> int:
     """Tokens of one unit: symbols at the start less joins, and more for bytes of unknown characters."""
     n = len(unit)
-    ends = list(range(1, n + 1))  # of the symbol that starts here; 0 once it is joined to the one before
-    before = list(range(-1, n - 1))  # where the symbol before starts
+    listed = list if n <= UNIT_CHARS else partial(array, "q")  # quicker, or smaller
+    ends = listed(range(1, n + 1))  # of the symbol that starts here; 0 once it is joined to the one before
+    before = listed(range(-1, n - 1))  # where the symbol before starts
     get = rank.get
-    heap = [(r, i, 2) for i in range(n - 1) if (r := get(unit[i:i + 2])) is not None]
+    # An entry is one number, so that a long unit's heap stays small: rank, place of the left symbol, length of both.
+    bits = n.bit_length()
+    mask = (1 << bits) - 1
+    heap = [(r << bits | i) << bits | 2 for i in range(n - 1) if (r := get(unit[i:i + 2])) is not None]
     heapify(heap)
     joins = 0
     while heap:
-        _, left, size = heappop(heap)
+        entry = heappop(heap)
+        left = entry >> bits & mask
         right = ends[left]
         if not right or right == n:
             continue
         end = ends[right]
-        if end - left != size:  # a side has grown since
+        if end - left != entry & mask:  # a side has grown since
             continue
         ends[left], ends[right] = end, 0
         joins += 1
         past = before[left]
         if past >= 0 and (r := get(unit[past:end])) is not None:
-            heappush(heap, (r, past, end - past))
+            heappush(heap, (r << bits | past) << bits | end - past)
         if end < n:
             before[end] = left
             after = ends[end]
             if (r := get(unit[left:after])) is not None:
-                heappush(heap, (r, left, after - left))
+                heappush(heap, (r << bits | left) << bits | after - left)
     count = n - joins
     for i, char in enumerate(unit):
         if char not in rank and ends[i] == i + 1:
