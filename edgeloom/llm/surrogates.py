@@ -5,7 +5,9 @@ are found by one pattern, and so are further mentions of these names in the same
 mentions of the same thing stay mentions of the same thing. Names are replaced name by name: the family
 name of "Mr John Miller" and "Mr Miller" becomes the same. A given name's surrogate has the ending of
 its gender, as the form of address tells it, and all names keep their script. A secret is the same
-in capitals and small letters; its surrogate has the case that each mention has.
+in capitals and small letters; its surrogate has the case that each mention has. A card or phone number is the
+same with other separators between its digits; its surrogate stands between those of each mention. Numbers of 16 digits whose check
+digit is wrong are no card numbers and stay; the surrogates of card numbers have a right one.
 
 Surrogates are drawn from a hash of a secret key, the type, the entity and the number of the try.
 Collision checks make them distinct: a try that equals an entity of the corpus, or the surrogate of
@@ -45,10 +47,12 @@ EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]++\.)+[A-Za-z]{
 _BYTE = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 IP = rf"(?<![\d.]){_BYTE}(?:\.{_BYTE}){{3}}(?!\d|\.\d)"
 PHONE = r"(?<![\d+])\+\d{1,3}[ .-]?\(?\d{2,4}\)?[ .-]\d{3,4}[ .-]?\d{3,4}(?!\d)"
+COUNTRY = r"^(\+\d{1,3})[ .(-]"  # of a phone number
 CARD = r"(?<!\d)\d{4}(?:[ -]?\d{4}){3}(?!\d)"
+CARD_DIGITS = 12  # at least
 SECRET = r"(?<![0-9A-Fa-f])(?=\d*[A-Fa-f])(?=[A-Fa-f]*\d)[0-9A-Fa-f]{32,64}(?![0-9A-Fa-f])"
 # Cheap looks at the first character keep most places of a text from trying every alternative.
-ENTITY = rf"(?:{PHONE}|(?=\d)(?:{IP}|{CARD})|{SECRET}|{EMAIL}|(?=[\p{{Lu}}г]|κυρία|κύριος){PERSON})"
+ENTITY = rf"(?:{PHONE}|{SECRET}|(?=\d)(?:{IP}|{CARD})|{EMAIL}|(?=[\p{{Lu}}г]|κυρία|κύριος){PERSON})"
 
 LOWER, UPPER, DIGITS, HEX = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", "0123456789abcdef"
 #: Syllables and endings of made-up names per script.
@@ -72,6 +76,22 @@ def _kind(piece: Column) -> Column:
     )
 
 
+def _digits(piece: Column) -> Column:
+    return F.regexp_replace(piece, "[^0-9]", "")
+
+
+def _check_sum(digits: Column) -> Column:
+    """Sum of the digits, every second one from the right doubled, as that of a card number is; 0 modulo 10 if it's right."""
+    n = F.length(digits)
+
+    def added(total: Column, i: Column) -> Column:
+        digit = F.substr(digits, i + 1, F.lit(1)).try_cast("int")
+        doubled = digit * 2 - F.when(digit > 4, 9).otherwise(0)
+        return total + F.when((n - i) % 2 == 0, doubled).otherwise(digit)
+
+    return F.aggregate(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), F.lit(0), added)
+
+
 def _script(name: Column) -> Column:
     return F.when(name.rlike(r"\p{IsCyrillic}"), "cyrillic").when(name.rlike(r"\p{IsGreek}"), "greek").otherwise("latin")
 
@@ -145,9 +165,15 @@ def parts_of(text: Column) -> Column:
 
     def opened(pair: Column) -> Column:
         piece, gap = pair["piece"], F.coalesce(pair["gap"], F.lit(""))
-        value = F.when(_kind(piece) == "secret", F.lower(piece)).otherwise(piece)
-        plain = F.array(F.struct(gap.alias("prefix"), _kind(piece).alias("kind"), value.alias("value"), piece.alias("form")))
-        return F.when(_kind(piece) == "person", _name_parts(gap, piece)).otherwise(plain)
+        kind, digits = _kind(piece), _digits(piece)
+        wrong = (kind == "card") & (_check_sum(digits) % 10 != 0)
+        country = F.regexp_extract(piece, COUNTRY, 1)
+        number = F.concat_ws(" ", F.nullif(country, F.lit("")), _digits(F.substr(piece, F.length(country) + 1, F.length(piece))))
+        value = (
+            F.when(kind == "secret", F.lower(piece)).when(kind == "card", digits).when(kind == "phone", number).otherwise(piece)
+        )
+        plain = F.array(_part(gap, F.when(~wrong, kind), F.when(~wrong, value), piece))
+        return F.when(kind == "person", _name_parts(gap, piece)).otherwise(plain)
 
     return F.flatten(F.transform(F.filter(pairs, lambda p: p["piece"].isNotNull()), opened))
 
@@ -182,6 +208,14 @@ def _same_format(value: Column, stream: Column, hexadecimal: bool = False) -> Co
     return F.array_join(F.transform(F.split(value, ""), swapped), "")
 
 
+def _card(value: Column, stream: Column) -> Column:
+    """As many digits, the last of which checks the others if they are as many as a card number has."""
+    made = _same_format(value, stream)
+    body = F.substr(made, F.lit(1), F.length(made) - 1)
+    check = (10 - _check_sum(F.concat(body, F.lit("0"))) % 10) % 10
+    return F.when(F.length(value) >= CARD_DIGITS, F.concat(body, check.cast("string"))).otherwise(made)
+
+
 def _name(kind: Column, stream: Column, turn: Column) -> Column:
     """A made-up name of the kind's script and ending; later tries are longer."""
     made = None
@@ -212,12 +246,12 @@ def surrogate(key: str, kind: Column, value: Column, turn: Column) -> Column:
         _same_format(host, _stream(key, F.lit("host"), host, turn)), top,
     )
     octets = F.array_join(F.transform(F.split(value, r"\."), lambda _, i: (_number(stream, i) % 256).cast("string")), ".")
-    country = F.regexp_extract(value, r"^(\+\d{1,3})[ .(-]", 1)
+    country = F.regexp_extract(value, COUNTRY, 1)
     phone = F.concat(country, _same_format(F.substr(value, F.length(country) + 1, F.length(value)), stream))
     return (
         F.when(kind == "email", address).when(kind == "ip", octets).when(kind == "phone", phone)
         .when(kind == "secret", _same_format(value, stream, hexadecimal=True))
-        .when(kind == "card", _same_format(value, stream)).otherwise(_name(kind, stream, turn))
+        .when(kind == "card", _card(value, stream)).otherwise(_name(kind, stream, turn))
     )
 
 
@@ -231,7 +265,17 @@ def _said(kind: Column, form: Column, made: Column) -> Column:
     letter = F.length(F.rtrim(form, F.lit("."))) == 1
     short = F.concat(F.substr(made, F.lit(1), F.lit(1)), F.substr(form, F.lit(2), F.length(form)))
     name = F.when(letter, short).when(form == F.upper(form), F.upper(made)).otherwise(made)
-    return F.when(kind == "secret", secret).when(kind.rlike(r"^(family|given)\."), name).otherwise(made)
+    digits = _digits(made)
+
+    def laid(c: Column, i: Column) -> Column:
+        place = F.length(_digits(F.substr(form, F.lit(1), i + 1)))
+        return F.when(c.between("0", "9"), F.substr(digits, place, F.lit(1))).otherwise(c)
+
+    number = F.array_join(F.transform(F.split(form, ""), laid), "")
+    return (
+        F.when(kind == "secret", secret).when(kind.isin("card", "phone"), number)
+        .when(kind.rlike(r"^(family|given)\."), name).otherwise(made)
+    )
 
 
 def assign(entities: DataFrame, key: str) -> DataFrame:
@@ -269,6 +313,8 @@ def replace_entities(docs: DataFrame, key: str, text: str = "text", count: str =
     row, parts, tail, new = (free_name(docs, n) for n in ("_row", "_parts", "_tail", "_new"))
     gaps = F.split(content, ENTITY)
     found = docs.withColumn(parts, F.when(content.rlike(ENTITY), parts_of(content)))
+    some = F.exists(column_of(found, parts), lambda p: p["kind"].isNotNull())
+    found = found.withColumn(parts, F.when(some, column_of(found, parts)))
     found = found.withColumn(tail, F.when(column_of(found, parts).isNotNull(), F.element_at(gaps, -1)))
     found = found.withColumn(parts, with_repeats(column_of(found, parts), column_of(found, tail))).drop(tail)
     found = found.withColumn(row, F.monotonically_increasing_id())

@@ -266,6 +266,31 @@ def test_surrogates_of_keys_in_any_case(spark):
     assert all(a.isupper() == b.isupper() for a, b in zip(first, mixed) if a.isalpha() and b.isalpha())
 
 
+def _check_sum(digits):
+    return sum(sum(divmod(int(c) * (1 + i % 2), 10)) for i, c in enumerate(reversed(digits)))
+
+
+def test_surrogates_of_numbers(spark):
+    secret = "1234567890123456" + "abc1" * 6  # begins like a card number
+    text = ("4952935900253052 or 4952-9359-0025-3052, 4952 9359 0025 3052; not 9807915762804490, 1111 2222 3333 4445. "
+            f"+1 (017) 555-7713 is +1 017.555.7713, +44 20 7946 0018 another. {secret}")
+    rows = [(1, text), (2, "only 9807915762804490, no card"), (3, "9807915762804490 for Mr Miller, Miller said"), (4, None)]
+    found = {r.doc_id: r for r in surrogates.replace_entities(h.documents(spark, rows), "key").collect()}
+    got = found[1].text
+    shape = re.fullmatch(
+        r"(\d{16}) or (\d{4}-\d{4}-\d{4}-\d{4}), (\d{4} \d{4} \d{4} \d{4}); not 9807915762804490, 1111 2222 3333 4445\. "
+        r"(\+1 \(\d{3}\) \d{3}-\d{4}) is (\+1 \d{3}\.\d{3}\.\d{4}), (\+44 \d\d \d{4} \d{4}) another\. ([0-9a-f]{40})", got)
+    assert shape, got
+    cards = {re.sub(r"\D", "", x) for x in shape.groups()[:3]}
+    assert len(cards) == 1 and "4952935900253052" not in cards and _check_sum(cards.pop()) % 10 == 0
+    phones = [re.sub(r"\D", "", x) for x in shape.groups()[3:6]]
+    assert phones[0] == phones[1] != phones[2] and "10175557713" not in phones
+    assert secret[:16] not in got and found[1].n_entities == 7
+    assert (found[2].text, found[2].n_entities) == (rows[1][1], 0)
+    assert re.fullmatch(r"9807915762804490 for Mr (\w+), \1 said", found[3].text) and "Miller" not in found[3].text
+    assert found[4].text is None
+
+
 def test_surrogates_of_whole_names(spark):
     text = ("Mr John Paul Smith, Mr McDonald, Mr O'Brien's, Mr. J. Smith, Mr J.R. Tolkien, Mrs SMITH, Dr van der Berg-Jones and "
             "Sr d'Artagnan. Later John Smith, MCDONALD and Smith's Tolkiens met Paul.")
