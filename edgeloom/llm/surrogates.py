@@ -76,6 +76,11 @@ def _kind(piece: Column) -> Column:
     )
 
 
+def _once(value: Column, work) -> Column:
+    """``work`` of a value that is computed once, however often ``work`` names it."""
+    return F.transform(F.array(value), work)[0]
+
+
 def _digits(piece: Column) -> Column:
     return F.regexp_replace(piece, "[^0-9]", "")
 
@@ -166,7 +171,7 @@ def parts_of(text: Column) -> Column:
     def opened(pair: Column) -> Column:
         piece, gap = pair["piece"], F.coalesce(pair["gap"], F.lit(""))
         kind, digits = _kind(piece), _digits(piece)
-        wrong = (kind == "card") & (_check_sum(digits) % 10 != 0)
+        wrong = (kind == "card") & _once(digits, lambda d: _check_sum(d) % 10 != 0)
         country = F.regexp_extract(piece, COUNTRY, 1)
         number = F.concat_ws(" ", F.nullif(country, F.lit("")), _digits(F.substr(piece, F.length(country) + 1, F.length(piece))))
         value = (
@@ -210,10 +215,12 @@ def _same_format(value: Column, stream: Column, hexadecimal: bool = False) -> Co
 
 def _card(value: Column, stream: Column) -> Column:
     """As many digits, the last of which checks the others if they are as many as a card number has."""
-    made = _same_format(value, stream)
-    body = F.substr(made, F.lit(1), F.length(made) - 1)
-    check = (10 - _check_sum(F.concat(body, F.lit("0"))) % 10) % 10
-    return F.when(F.length(value) >= CARD_DIGITS, F.concat(body, check.cast("string"))).otherwise(made)
+    def checked(made: Column) -> Column:
+        body = F.substr(made, F.lit(1), F.length(made) - 1)
+        check = _once(F.concat(body, F.lit("0")), lambda d: (10 - _check_sum(d) % 10) % 10)
+        return F.when(F.length(value) >= CARD_DIGITS, F.concat(body, check.cast("string"))).otherwise(made)
+
+    return _once(_same_format(value, stream), checked)
 
 
 def _name(kind: Column, stream: Column, turn: Column) -> Column:
@@ -265,13 +272,14 @@ def _said(kind: Column, form: Column, made: Column) -> Column:
     letter = F.length(F.rtrim(form, F.lit("."))) == 1
     short = F.concat(F.substr(made, F.lit(1), F.lit(1)), F.substr(form, F.lit(2), F.length(form)))
     name = F.when(letter, short).when(form == F.upper(form), F.upper(made)).otherwise(made)
-    digits = _digits(made)
+    def laid(digits: Column) -> Column:
+        def put(c: Column, i: Column) -> Column:
+            place = F.length(_digits(F.substr(form, F.lit(1), i + 1)))
+            return F.when(c.between("0", "9"), F.substr(digits, place, F.lit(1))).otherwise(c)
 
-    def laid(c: Column, i: Column) -> Column:
-        place = F.length(_digits(F.substr(form, F.lit(1), i + 1)))
-        return F.when(c.between("0", "9"), F.substr(digits, place, F.lit(1))).otherwise(c)
+        return F.array_join(F.transform(F.split(form, ""), put), "")
 
-    number = F.array_join(F.transform(F.split(form, ""), laid), "")
+    number = _once(_digits(made), laid)
     return (
         F.when(kind == "secret", secret).when(kind.isin("card", "phone"), number)
         .when(kind.rlike(r"^(family|given)\."), name).otherwise(made)
