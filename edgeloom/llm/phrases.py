@@ -21,7 +21,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -67,13 +66,19 @@ def _reduced(x: np.ndarray) -> np.ndarray:
     return np.subtract(x, PRIME, out=x, where=x >= PRIME)
 
 
-@lru_cache(maxsize=8)
+POWERS: dict[int, np.ndarray] = {}  # of each base, as many as were needed; each task has its own
+
+
 def _powers(base: int, bits: int) -> np.ndarray:
-    """The first 2 ** bits powers of the base."""
-    powers = np.ones(1, np.uint64)
-    for _ in range(bits):
+    """The first 2 ** bits powers of the base, or more.
+
+    Kept in a plain table: what functools wraps for caching travels by name, and executors needn't have this package.
+    """
+    powers = POWERS.get(base, np.ones(1, np.uint64))
+    while len(powers) < 1 << bits:
         step = np.uint64(pow(base, len(powers), int(PRIME)))
         powers = np.concatenate([powers, _reduced(powers * step)])
+    POWERS[base] = powers
     return powers
 
 
