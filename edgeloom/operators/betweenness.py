@@ -3,7 +3,8 @@
 Many sources advance together: a round extends every source's search by one level and adds up the numbers of
 shortest paths. Then the levels are walked back, and every node passes its share on to the
 nodes before it. A round is one job; its state has a row per source and node of the level. Sources are
-taken in batches whose searches reach a bounded number of rows in all.
+taken in batches whose searches reach a bounded number of rows in all: a source without an edge ahead
+reaches nothing, any other at most the nodes of its weak component.
 """
 
 from __future__ import annotations
@@ -15,8 +16,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from edgeloom.functions.edges import symmetrize, whole_edges
 from edgeloom.model import Graph, NodeMap, NodeSet
+from edgeloom.operators.components import connected_components
 from edgeloom.plans.adjacency import Adjacency
 from edgeloom.plans.rounds import Rounds, setting, written
+from edgeloom.plans.skew import hot_keys, lookup
 
 
 def betweenness(graph: Graph, sources: NodeSet | None = None, normalize: bool = False) -> NodeMap:
@@ -39,9 +42,10 @@ def betweenness(graph: Graph, sources: NodeSet | None = None, normalize: bool =
             given = sources.df.select("id").distinct().join(every, "id", "left_semi")
             starts, found = rounds.written(given, rows=F.count("*"))
             k = found["rows"]
-        batches = max(1, math.ceil(k * n / setting(spark, "stateRows")))
+        starts, found = rounds.written(_reaching(links, starts), rows=F.sum("most"))
+        batches = math.ceil((found["rows"] or 0) / setting(spark, "stateRows"))
         total = None
-        for batch in range(batches if k else 0):
+        for batch in range(batches):
             mine = F.pmod(F.xxhash64("id"), F.lit(batches)) == batch
             with Rounds(spark) as inner:
                 shares = _shares(inner, links, starts.where(mine), graph.is_directed)
@@ -58,6 +62,16 @@ def betweenness(graph: Graph, sources: NodeSet | None = None, normalize: bool =
         return NodeMap(written(every.join(total, "id", "left").select("id", weight.alias("weight")))[0])
 
 
+def _reaching(links: Adjacency, starts: DataFrame) -> DataFrame:
+    """``id, most``: the starts with an edge ahead, and how many nodes their weak component holds."""
+    labels = connected_components(Graph(links.edges.select("src", "dst"))).df
+    sizes = labels.groupBy("weight").agg(F.count("*").alias("most"))
+    large = hot_keys(sizes.withColumnRenamed("most", "n"), "weight", links.rows * 2)
+    ahead = starts.join(links.edges.select(F.col("src").alias("id")), "id", "left_semi")
+    sources, table = labels.join(ahead, "id", "left_semi"), sizes.withColumnRenamed("weight", "id")
+    return lookup(sources, "weight", table, large, "id").select("id", "most")
+
+
 def _shares(rounds: Rounds, links: Adjacency, sources: DataFrame, is_directed: bool) -> DataFrame:
     """``id, share``: a row per source and node that it reaches, but the source."""
     start = sources.select(F.col("id").alias("root"), "id", F.lit(1.0).alias("paths"))

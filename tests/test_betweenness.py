@@ -3,6 +3,7 @@
 import pytest
 
 from edgeloom.model import Graph
+from edgeloom.operators import betweenness as operator
 from edgeloom.operators.betweenness import betweenness
 from edgeloom.sources import tables
 from tests import brute
@@ -52,3 +53,21 @@ def test_small_graphs(spark):
     assert pairs(betweenness(graph(spark, [(4, 4)]), normalize=True).df) == {4: 0.0}
     made = graph(spark, [(1, 2)])
     assert pairs(betweenness(Graph(made.edges.where("false"), made.nodes.where("false"))).df) == {}
+
+
+def test_only_what_is_reached_is_batched(spark, monkeypatch):
+    """Many small components and nodes without edges are one batch, though all pairs would be many."""
+    taken = []
+    shares = operator._shares
+    monkeypatch.setattr(operator, "_shares", lambda *given: taken.append(1) or shares(*given))
+    edges = shifted(*[[(0, 1), (1, 2)]] * 4)
+    nodes = range(400)
+    try:
+        spark.conf.set("spark.edgeloom.stateRows", "30")
+        found = pairs(betweenness(graph(spark, edges, nodes)).df)
+        assert len(taken) == 1
+        assert found == {n: float(n % 100 == 1) for n in nodes}
+        assert set(pairs(betweenness(graph(spark, [], range(3))).df).values()) == {0.0}
+        assert len(taken) == 1
+    finally:
+        spark.conf.unset("spark.edgeloom.stateRows")
