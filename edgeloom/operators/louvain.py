@@ -3,8 +3,9 @@
 Each round a random three quarters of the nodes may move, each to the neighbouring community with the
 highest gain; two single nodes never swap, as only the larger label may join the smaller one
 (Lu, Halappanavar, Kalyanaraman, 2015). If the joint moves lower the modularity, they are taken
-back and half as many nodes are asked. A level ends when all nodes were asked and none moved, or when that
-gained no more than ``tolerance``. Communities then become the nodes of the next level.
+back and half as many nodes are asked, until a gain lets twice as many be asked again. A level ends when all nodes were asked and none moved, or when that
+gained no more than ``tolerance``. Communities then become the nodes of the next level. Before the first
+level, nodes with a single neighbour follow it (vertex following, in the same paper), which no move could better.
 """
 
 from __future__ import annotations
@@ -50,6 +51,11 @@ def louvain_community(graph: Graph, tolerance: float = 1e-5) -> tuple[NodeMap, f
     members = level.nodes.select("id", F.col("id").alias("community"))
     total = 2.0 * (facts["weight"] or 0.0)
     score, better = 0.0, total > 0
+    if better:
+        with Rounds(graph.edges.sparkSession) as rounds:
+            links, best = _follow(rounds, level)
+            level = _contract(links, best, level.size)
+            members, _ = written(best.select("id", "community"))
     while better:
         with Rounds(graph.edges.sparkSession) as rounds:
             links, best, score, better = _settle(rounds, level, total, tolerance)
@@ -59,6 +65,25 @@ def louvain_community(graph: Graph, tolerance: float = 1e-5) -> tuple[NodeMap, f
     return NodeMap(_name(members, size["rows"])), score
 
 
+def _follow(rounds: Rounds, level: _Level) -> tuple[Adjacency, DataFrame]:
+    """Nodes without a loop and with one neighbour, by a positive weight, join it; of two such the larger joins."""
+    links = Adjacency(rounds, level.links)
+    ends = links.edges.groupBy(F.col("src").alias("id")).agg(
+        F.count("*").alias("n"), F.max("dst").alias("to"), F.min("weight").alias("least")
+    )
+    single, facts = rounds.written(
+        ends.where("n = 1 and least > 0").join(level.nodes.where("loop = 0"), "id").select("id", "to"), rows=F.count("*")
+    )
+    # Whose neighbour is single as well is one of a pair.
+    popular = measured_hot_keys(single, "to", facts["rows"])
+    other = single.select("id", F.lit(True).alias("paired"))
+    known = lookup(single, "to", other, popular, "id", how="left", rows=facts["rows"])
+    target = known.where("paired is null or id > to").select("id", "to")
+    joined = level.nodes.join(target, "id", "left")
+    best, _ = rounds.written(joined.select("id", "loop", F.coalesce("to", "id").alias("community")))
+    return links, best
+
+
 def _settle(rounds: Rounds, level: _Level, total: float, tolerance: float):
     """Move nodes until the modularity stops rising; returns the best partition and its score."""
     links = Adjacency(rounds, level.links)
@@ -89,13 +114,16 @@ def _settle(rounds: Rounds, level: _Level, total: float, tolerance: float):
                 break  # even one node at a time gains nothing that numbers can show
             continue
         small = best_score is not None and score - best_score <= tolerance
+        if best_score is not None and not small:
+            parts = max(1, parts // 2)
         best, best_score = before, score
         if facts["moved"] == 0 and all_asked or small and was_all:
             break
         # After a round of little gain every node is asked before the level may end.
         was_all = all_asked
         all_asked = facts["moved"] == 0 or small
-    return links, best, best_score, best_score > first + tolerance
+    better = best_score > first + tolerance
+    return links, best, best_score if better else first, better
 
 
 def _move(

@@ -1,6 +1,7 @@
 import pytest
 
 from edgeloom.model import BipartiteGraph, Graph
+from edgeloom.operators import louvain
 from edgeloom.operators.bfs import bfs_iter
 from edgeloom.operators.components import connected_components
 from edgeloom.operators.louvain import louvain_community, modularity_table
@@ -141,3 +142,15 @@ def test_empty_graph(spark):
     assert triangle_count(g) == 0
     labels, score = louvain_community(g)
     assert pairs(labels.df) == {1: 1, 2: 2} and score == 0.0
+
+
+def test_louvain_takes_single_neighbours_along(spark, monkeypatch):
+    """Leaves follow their hub and the larger of a pair the smaller, before any round; loops are no leaves."""
+    moves = []
+    move = louvain._move
+    monkeypatch.setattr(louvain, "_move", lambda *given: moves.append(1) or move(*given))
+    edges = [(0, i) for i in range(1, 40)] + [(101, 100), (201, 200), (200, 202), (201, 201)]
+    labels, score = louvain_community(graph(spark, edges))
+    got = pairs(labels.df)
+    assert {n: c for n, c in got.items() if n < 200} == {n: n // 100 * 100 for n in [*range(40), 100, 101]}
+    assert len(moves) <= 6 and score == pytest.approx(brute.modularity([(s, d, 1.0) for s, d in edges], got))
