@@ -21,7 +21,7 @@ DEFAULTS = {
     "rowsPerPartition": 4_000_000,  # target size of a persisted edge partition
     "hotRows": 1_000_000,  # a key below this many rows is never split
     "pairRows": 10_000,  # rows of one group that meet each other in one task
-    "broadcastRows": 500_000,  # largest table, by measured rows, that a lookup broadcasts
+    "broadcastRows": 50_000,  # largest table, by measured rows, that a lookup broadcasts through the driver in each round
     "topRows": 100_000,  # largest limit answered by a top-k instead of a range sort
     "stateRows": 50_000_000,  # rows of sources and nodes that the searches of one batch may reach
     "unionFrames": 16,  # frames of finished rounds that are read as a union before a rewrite

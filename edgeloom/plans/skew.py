@@ -79,11 +79,13 @@ def lookup(
     """Join ``facts[key]`` to ``table(id, ...)``, whose ids are unique.
 
     A table known to have few ``rows`` goes to the facts. Otherwise both are shuffled: the
-    rows of a hot key are spread over several tasks and its table row is copied to each.
+    rows of a hot key are spread over several tasks and its table row is copied to each. A table known
+    to have more doesn't pass through the driver, even if its files are small.
     """
     renamed = table.withColumnRenamed("id", key)
     if rows is not None and rows <= setting(facts.sparkSession, "broadcastRows"):
         return facts.join(F.broadcast(renamed), key, how)
+    renamed = renamed if rows is None else renamed.hint("merge")
     if hot.frame is None:
         return facts.join(renamed, key, how)
     by = F.struct(*facts.columns) if by is None else F.col(by) if isinstance(by, str) else by

@@ -16,7 +16,7 @@ from edgeloom.operators.pagerank import pagerank
 from edgeloom.operators.strong import strongly_connected_components
 from edgeloom.operators.triangles import triangle_count
 from edgeloom.plans.rounds import release
-from edgeloom.plans.skew import pair_tiles, pairs_within
+from edgeloom.plans.skew import lookup, pair_tiles, pairs_within
 from edgeloom.sources import matrices, tables
 from tests import brute
 from tests.fixtures import edges_df, graph, ids_df, pairs, random_edges
@@ -161,3 +161,11 @@ def test_betweenness(spark, directed):
     wanted = brute.betweenness(edges, directed, sources)
     assert set(found) == set(wanted)
     assert all(abs(found[n] - wanted[n]) < 1e-9 for n in wanted)
+
+
+def test_measured_tables_stay_off_the_driver(spark):
+    """A table of more rows than the limit is shuffled, however small its files are."""
+    facts = spark.range(100).withColumnRenamed("id", "k")
+    for rows, word in ((60_000, "SortMergeJoin"), (50_000, "BroadcastHashJoin")):
+        joined = lookup(facts, "k", spark.range(rows), rows=rows)
+        assert word in joined._jdf.queryExecution().executedPlan().toString()
