@@ -7,15 +7,14 @@ from pyspark.sql import functions as F
 from edgeloom.functions.edges import symmetrize, whole_edges
 from edgeloom.model import BipartiteGraph, Graph
 from edgeloom.plans.rounds import written
-from edgeloom.plans.skew import lookup, measured_hot_keys, pairs_within
+from edgeloom.plans.skew import lookup, measured_hot_keys, partners_within
 
 
 def graph_projection(graph: BipartiteGraph, nodes_retained: int = 0) -> Graph:
     """Undirected graph of the retained nodes, joined where they share a neighbour.
 
     All retained nodes stay, with their weights. The result itself can be quadratic in the
-    neighbours of a popular node; its work is cut into blocks, and pairs that arise from
-    several shared neighbours are folded before they are shuffled.
+    neighbours of a popular node; its work is cut into blocks, and pairs are shuffled as lists of numbers.
     """
     kept = graph.side(nodes_retained)
     both, facts = written(
@@ -23,7 +22,7 @@ def graph_projection(graph: BipartiteGraph, nodes_retained: int = 0) -> Graph:
     )
     hot = measured_hot_keys(both, "src", facts["rows"])
     rows, _ = written(lookup(both, "src", kept.select("id").distinct(), hot, "dst"))
-    pairs = pairs_within(rows.select("dst", "src"), "dst", "src")
-    edges = pairs.select(F.col("first").alias("src"), F.col("second").alias("dst")).distinct()
+    pairs = partners_within(rows.select("dst", "src"), "dst", "src")
+    edges = pairs.select(F.col("first").alias("src"), F.col("second").alias("dst"))
     weighted = graph.has_node1_weights if nodes_retained else graph.has_node0_weights
     return Graph(edges, kept, is_directed=False, has_node_weights=weighted)

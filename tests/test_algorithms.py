@@ -154,3 +154,16 @@ def test_louvain_takes_single_neighbours_along(spark, monkeypatch):
     got = pairs(labels.df)
     assert {n: c for n, c in got.items() if n < 200} == {n: n // 100 * 100 for n in [*range(40), 100, 101]}
     assert len(moves) <= 6 and score == pytest.approx(brute.modularity([(s, d, 1.0) for s, d in edges], got))
+
+
+def test_projection_lists(spark, mode):
+    """Ids too far apart for small numbers, nodes with many neighbours, pairs met several times."""
+    far = 2**40
+    edges = [(i * far // 7, -k) for i in range(12) for k in range(1, 6) if (i * k) % 3 != 1]
+    want = {(a, b) for a, x in edges for b, y in edges if x == y and a < b}
+    projected = graph_projection(BipartiteGraph(edges_df(spark, edges)), 0).edges
+    got = [tuple(r) for r in projected.collect()]
+    assert len(got) == len(want) and set(got) == want and dict(projected.dtypes) == {"src": "bigint", "dst": "bigint"}
+    if mode == "plain":  # No row per pair is shuffled: pairs are made after the last exchange.
+        plan = projected._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.index("Generate explode") < plan.index("Repartition")
