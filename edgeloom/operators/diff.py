@@ -1,6 +1,6 @@
 """Equality as a table of differences: two objects are equal when the table is empty.
 
-Keys without values are counted per side before the sides meet, by partial aggregation. Keys with values
+Keys without values are counted in tasks of a bounded number of rows. Keys with values
 are numbered where they repeat, so a key meets its like once and not all of them.
 """
 
@@ -14,7 +14,7 @@ from edgeloom.functions.edges import canonicalize
 from edgeloom.functions.values import simple_type, values_differ
 from edgeloom.model import BipartiteGraph, EdgeMap, EdgeSet, Graph, NodeMap, NodeSet, Vector
 from edgeloom.plans.positions import dense_positions
-from edgeloom.plans.rounds import setting, written
+from edgeloom.plans.rounds import even, setting, written
 from edgeloom.plans.skew import lookup, measured_hot_keys
 
 REL_TOL, ABS_TOL = 1e-9, 0.0
@@ -81,11 +81,12 @@ def _ranked(df: DataFrame, keys: list[str], value: str, rank: str) -> DataFrame:
 
 def _count_diff(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """Keys that the two sides hold a different number of times."""
-    both = (
+    sides, facts = written(
         left.select(*keys, F.lit(1).alias("_l"), F.lit(0).alias("_r"))
-        .union(right.select(*keys, F.lit(0), F.lit(1)))
-        .groupBy(*keys).agg(F.sum("_l").alias("left_n"), F.sum("_r").alias("right_n"))
+        .union(right.select(*keys, F.lit(0), F.lit(1))),
+        rows=F.count("*"),
     )
+    both = even(sides, facts["rows"], *keys).groupBy(*keys).agg(F.sum("_l").alias("left_n"), F.sum("_r").alias("right_n"))
     issue = (
         F.when(F.col("right_n") == 0, "only_left")
         .when(F.col("left_n") == 0, "only_right")

@@ -24,6 +24,7 @@ DEFAULTS = {
     "broadcastRows": 50_000,  # largest table, by measured rows, that a lookup broadcasts through the driver in each round
     "topRows": 100_000,  # largest limit answered by a top-k instead of a range sort
     "stateRows": 50_000_000,  # rows of sources and nodes that the searches of one batch may reach
+    "taskRows": 1_000_000,  # rows that a task joins or counts in memory
     "unionFrames": 16,  # frames of finished rounds that are read as a union before a rewrite
 }
 
@@ -46,6 +47,13 @@ def partitions_for(spark: SparkSession, rows: int) -> int:
     return max(1, by_size, min(shuffle_partitions(spark), math.ceil(rows / 10_000)))
 
 
+def even(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """Shuffle ``rows`` measured rows by ``keys`` so that a task gets ``taskRows`` of them, however many there are."""
+    spark = df.sparkSession
+    most = setting(spark, "taskRows")
+    return df if rows <= most else df.repartition(max(shuffle_partitions(spark), math.ceil(rows / most)), *keys)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's checkpoint folder; a local run without one gets its own."""
     context = spark.sparkContext

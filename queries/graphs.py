@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from edgeloom.model import BipartiteGraph, EdgeMap, Graph, NodeMap
 from edgeloom.plans.positions import dense_positions
+from edgeloom.plans.rounds import even
 from edgeloom.plans.skew import lookup, measured_hot_keys
 from edgeloom.sources.tables import edges_from_table, node_map_from_table
 
@@ -52,13 +53,16 @@ def purchases(spark: SparkSession, folder: str, lines_where: str = "true") -> Bi
         F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("src")
     )
     lines = table(spark, folder, "lineitem").where(lines_where).select("l_orderkey", "l_partkey")
-    hot = measured_hot_keys(lines, "l_orderkey", lines.count())
+    rows = lines.count()
+    hot = measured_hot_keys(lines, "l_orderkey", rows)
+    if hot.frame is None:
+        lines, orders = even(lines, rows, "l_orderkey"), even(orders, rows, "id")
     bought = lookup(lines, "l_orderkey", orders, hot, "l_partkey").select(
         "src", (-F.col("l_partkey") - 1).alias("dst")
     )
     customers = table(spark, folder, "customer").select(F.col("c_custkey").alias("id"))
     parts = table(spark, folder, "part").select((-F.col("p_partkey") - 1).alias("id"))
-    return BipartiteGraph(bought.distinct(), customers, parts)
+    return BipartiteGraph(even(bought, rows, "src", "dst").distinct(), customers, parts)
 
 
 def places(spark: SparkSession, folder: str) -> Graph:

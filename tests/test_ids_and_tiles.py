@@ -169,3 +169,14 @@ def test_measured_tables_stay_off_the_driver(spark):
     for rows, word in ((60_000, "SortMergeJoin"), (50_000, "BroadcastHashJoin")):
         joined = lookup(facts, "k", spark.range(rows), rows=rows)
         assert word in joined._jdf.queryExecution().executedPlan().toString()
+
+
+def test_counted_keys_are_spread_by_their_rows(spark):
+    """There are more tasks than the session's partitions if these would hold too many rows."""
+    left, right = (tables.node_set_from_table(spark.range(n), "id") for n in (60, 40))
+    try:
+        spark.conf.set("spark.edgeloom.taskRows", "5")
+        found = diff.node_set_diff(left, right)
+        assert found.rdd.getNumPartitions() == 20 and sorted(r["id"] for r in found.collect()) == list(range(40, 60))
+    finally:
+        spark.conf.unset("spark.edgeloom.taskRows")
