@@ -24,12 +24,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def succession(spark: SparkSession, folder: str) -> EdgeMap:
     # Equal lines of an order are counted first, so a repeated line does not multiply rows.
+    # Lines without one of the keys are in no step. Both sides of the join read alike, so that lines are counted once.
     lines = (
         table(spark, folder, "lineitem")
+        .where("l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL AND l_partkey IS NOT NULL")
         .groupBy("l_orderkey", "l_linenumber", "l_partkey").agg(F.count("*").alias("n"))
     )
     after = lines.select(
-        "l_orderkey", (F.col("l_linenumber") - 1).alias("l_linenumber"),
+        "l_orderkey", F.coalesce(F.col("l_linenumber") - 1, F.lit(0)).alias("l_linenumber"),
         F.col("l_partkey").alias("next"), F.col("n").alias("next_n"),
     )
     steps = lines.join(after, ["l_orderkey", "l_linenumber"]).where("l_partkey <> next")

@@ -1,5 +1,6 @@
 """Missing, repeated and fractional ids; equality; user functions; tiles of large groups."""
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import pytest
@@ -12,10 +13,11 @@ from edgeloom.operators.betweenness import betweenness
 from edgeloom.operators.bfs import bfs_iter
 from edgeloom.operators.components import connected_components
 from edgeloom.operators.louvain import louvain_community, modularity_table
-from edgeloom.operators.pagerank import pagerank
+from edgeloom.operators.pagerank import _degrees, pagerank
 from edgeloom.operators.strong import strongly_connected_components
 from edgeloom.operators.triangles import triangle_count
-from edgeloom.plans.rounds import release
+from edgeloom.plans.blocks import Blocks, total
+from edgeloom.plans.rounds import Rounds, release
 from edgeloom.plans.skew import lookup, pair_tiles, pairs_within
 from edgeloom.sources import matrices, tables
 from tests import brute
@@ -65,6 +67,40 @@ def test_repeated_node_ids(spark):
         assert labels.df.count() == 3
 
 
+def test_ends_that_are_not_listed_keep_what_they_receive(spark):
+    # 1 and 2 send all; 7 receives, but passes nothing on; 8 sends nothing, as it isn't listed, so 9 has no rank.
+    partly = Graph(edges_df(spark, [(1, 2), (2, 1), (2, 7), (7, 1), (8, 9)]), ids_df(spark, [1, 2, 3]))
+    got = pairs(pagerank(partly, 1.0, 1, 0.0, include_isolated=True).df)
+    assert got == pytest.approx({1: 1 / 6 + 1 / 9, 2: 1 / 3 + 1 / 9, 3: 1 / 9, 7: 1 / 6 + 1 / 9})
+
+
+def test_a_round_shuffles_no_row_for_each_edge(spark):
+    """PageRank's sums travel as a row for a bin and a group, however many edges there are between them."""
+    edges = sorted(set(random_edges(5, 300, 6000)) | {(0, i) for i in range(1, 300)})
+    rows = edges_df(spark, edges)
+    spark.conf.set("spark.edgeloom.rowsPerPartition", "1500")
+    try:
+        with Rounds(spark) as rounds:
+            blocks = Blocks(rounds, _degrees(rows), 300, rows, len(edges))
+            nodes = {r["pos"]: r["id"] for r in blocks.nodes.collect()}
+            assert blocks.count == -(-len(edges) // 1500) and sorted(nodes.values()) == list(range(300))
+            groups = range(-(-300 // blocks.width))
+            ids = {g: [nodes[p] for p in range(g * blocks.width, min(300, (g + 1) * blocks.width))] for g in groups}
+            packed = [(g, bytearray(np.array(ids[g], "<f8").tobytes())) for g in groups]
+            found = blocks.sums(spark.createDataFrame(packed, "group bigint, value binary")).toArrow()
+            assert found.num_rows <= 2 * blocks.count**2 < len(edges)
+            got = {}
+            for g in groups:
+                sums = total(found.filter(pc.equal(found["group"], g)), len(ids[g]))
+                got |= dict(zip(ids[g], sums.tolist()))
+    finally:
+        spark.conf.unset("spark.edgeloom.rowsPerPartition")
+    want = dict.fromkeys(range(300), 0.0)
+    for s, d in edges:
+        want[d] += s
+    assert got == want
+
+
 def test_a_map_equals_itself(spark, mode):
     rows = [(1, 5), (1, 7), (1, 5), (None, 3), (None, None), (2, None)]
     m = NodeMap(spark.createDataFrame(rows, "id bigint, weight bigint"))
