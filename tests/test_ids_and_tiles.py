@@ -1,5 +1,10 @@
 """Missing, repeated and fractional ids; equality; user functions; tiles of large groups."""
 
+import os
+import subprocess
+import sys
+from pathlib import Path
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -101,6 +106,25 @@ def test_a_round_shuffles_no_row_for_each_edge(spark):
     assert got == want
 
 
+AWAY = """
+import sys
+sys.path.insert(0, sys.argv[1])
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config(map={"spark.sql.shuffle.partitions": "2", "spark.ui.enabled": "false"}).getOrCreate()
+from edgeloom.model import Graph
+from edgeloom.operators.pagerank import pagerank
+print("RANKS", pagerank(Graph(spark.createDataFrame([(1, 2), (2, 1)], "src bigint, dst bigint"))).df.count())
+"""
+
+
+def test_pagerank_on_executors_without_the_package(tmp_path):
+    # Workers start in the folder of the driver's process, so it must be another one than the repository.
+    public = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    command = [sys.executable, "-c", AWAY, str(Path(__file__).resolve().parents[1])]
+    said = subprocess.run(command, cwd=tmp_path, env=public, capture_output=True, text=True, timeout=300)
+    assert "RANKS 2" in said.stdout, said.stderr[-500:]
+
+
 def test_a_map_equals_itself(spark, mode):
     rows = [(1, 5), (1, 7), (1, 5), (None, 3), (None, None), (2, None)]
     m = NodeMap(spark.createDataFrame(rows, "id bigint, weight bigint"))
