@@ -3,20 +3,22 @@
 An id of 16 bits is coded as four nibbles. For each nibble models foresee a distribution:
 order 0 by the nibbles before it in the id, order 1 and 2 by hashes of those and of the one or two ids
 before. The distributions are mixed by weights that follow how well each model did, and
-the mix drives a carry-less range coder. All arithmetic is on integers, or single IEEE operations
+the mix drives a carry-less range coder. Models and weights learn after each id; its nibbles share none, so this
+is the same as learning after each nibble. All arithmetic is on integers, or single IEEE operations
 followed by rounding down, so every machine decodes alike.
 
 A block holds up to :data:`BLOCK` ids and starts afresh: it can be decoded alone, and a checksum
 covers all of it. Many blocks are coded in step, one lane each, by numpy.
 
 File format: a Parquet table of ``part, block, payload``, so that Spark commits, retries and
-reads it on any store. A payload is, in little-endian order: magic ``CMR1``, crc32 of what
+reads it on any store. A payload is, in little-endian order: magic ``CMR2``, crc32 of what
 follows, number of ids, number of document ends ``n``; then ``n`` positions of document ends in the
 block, their ``n`` ids of documents and ``n`` flags (1: the document has an id), and the coder's words of 3 bytes. Parts and blocks are in the order of the documents.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import struct
 import zlib
@@ -31,109 +33,141 @@ from edgeloom.llm.common import column_of, table, text_chunks
 from edgeloom.plans.rounds import written
 
 BLOCK = 8192
-LANES = 512
+LANES = 768
 BATCH_CHARS = 8_000_000  # of texts that are encoded at once
+REMEMBERED = 400_000  # pieces of words whose ids a task keeps
 END_ID = 1
-MAGIC = b"CMR1"
+MAGIC = b"CMR2"
 
 TOTAL_BITS = 15
+TOTAL = np.uint16((1 << TOTAL_BITS) - 1)  # as a mask: counts are modulo 1 << TOTAL_BITS
 SCALE = (1 << TOTAL_BITS) - 16  # what the models' counts add up to; 16 more keep every nibble possible
-ORDER0, HASHED_BITS = 1 + 16 + 256 + 4096, 10
-HASHED = 1 << HASHED_BITS
-ROWS = ORDER0 + 2 * HASHED  # of each lane's models
+ORDER0, HASHED_BITS = 1 + 16 + 256 + 4096, 8
+HASHED = 1 << HASHED_BITS  # of each hashed order and nibble
+ROWS = ORDER0 + 2 * 4 * HASHED  # of each lane's models
 RATE = 4
+ORDERS = 3
 MODELS = (3, 3, 3, 3)  # orders that are mixed for each nibble
-START = np.array([0, 1, 17, 273])  # first order-0 row of each nibble
+START = np.array([[0], [1], [17], [273]], np.uint32)  # first order-0 row of each nibble
+ALL = slice(0, 4)  # nibbles
+PATHS = np.array([[16], [12], [8], [4], [0]], np.uint32)  # by which ids are shifted for what comes before each nibble
+NONE = np.zeros(0, np.int64)
 # The coder's interval lies in 56 bits; the upper 24 of them are the next word.
 WINDOW, WORD = 56, 24
 LEAST = np.uint64(1 << WINDOW - WORD)
-#: Where each symbol moves the cumulative counts to.
-TARGETS = np.where(np.arange(16)[None, :] >= np.arange(16)[:, None], SCALE, 0).astype(np.int16)
-ONES = np.arange(1, 17, dtype=np.uint16)
+#: Where each symbol moves the cumulative counts, of the symbols before each, to.
+TARGETS = np.where(np.arange(16)[None, :] > np.arange(16)[:, None], SCALE, 0).astype(np.int16)
+#: Rows of sixteen equal numbers, by which rows of counts are multiplied without a loop over rows.
+SHARES = np.repeat(np.arange(17, dtype=np.int16), 16).reshape(17, 16)
+ROW = np.dtype("V32")  # sixteen counts as one item: numpy takes and puts items faster than rows
 
 
 class _Lanes:
-    """Models and range coders of many blocks, for the nibble that all of them are at."""
+    """Models and range coders of many blocks, for the id that all of them are at.
+
+    The nibbles of an id have rows of their own, so the models learn all four at once, after the id.
+    """
 
     def __init__(self, lanes: int):
-        even = ((np.arange(16) + 1) * (SCALE // 16)).astype(np.int16)
-        self.tables = np.tile(even, (lanes * ROWS, 1))
-        self.weights = [np.full((models, lanes), 16384 // models, np.float32) for models in MODELS]
-        self.base = np.arange(lanes) * ROWS
-        self.place = np.arange(3 * lanes).reshape(3, lanes) * 16  # of each lane's counts
+        even = (np.arange(16) * (SCALE // 16)).astype(np.int16)
+        self.tables = np.tile(even, (lanes * ROWS, 1)).view(ROW).ravel()
+        mixed = (np.arange(ORDERS) < np.array(MODELS)[:, None])[:, :, None]
+        self.least = (256 * mixed).astype(np.float32)
+        self.weights = (16384 // np.array(MODELS)[:, None, None] * mixed * np.ones(lanes)).astype(np.float32)
         self.low = np.zeros(lanes, np.uint64)
         self.range = np.full(lanes, (1 << WINDOW) - 1, np.uint64)
+        self.shrink(lanes)
 
     def shrink(self, n: int) -> None:
         """Go on with the first ``n`` lanes."""
-        self.weights = [np.ascontiguousarray(w[:, :n]) for w in self.weights]
-        self.base, self.place = self.base[:n], np.arange(3 * n).reshape(3, n) * 16
+        self.weights = np.ascontiguousarray(self.weights[:, :, :n])
         self.low, self.range = self.low[:n], self.range[:n]
+        self.base = np.arange(n) * ROWS
+        self.hashed = self.base + (ORDER0 + HASHED * np.arange(8)).reshape(4, 2, 1)
+        self.place = np.arange(4 * ORDERS * n).reshape(4, ORDERS, n) * 16
+        self.index = np.empty((4, ORDERS, n), np.int64)
+        self.counts, self.spare, self.factors = (np.empty((4, ORDERS, n, 16), np.int16) for _ in range(3))
+        self.one_each = np.tile(np.arange(16, dtype=np.int16), (n, 1))
+        self.share()
+
+    def share(self) -> None:
+        """Sixteenths that the models have in the mix."""
+        share = (self.weights * np.float32(1 / 1024)).astype(np.int16)
+        share[:, 0] = 16 - share[:, 1] - share[:, 2]
+        SHARES.take(share.ravel(), axis=0, mode="clip", out=self.factors.reshape(-1, 16))
 
     def context(self, one: np.ndarray, two: np.ndarray) -> None:
         """The ids one and two places back."""
-        self.hash1 = one * np.uint32(0x9E3779B1) + np.uint32(1)
-        self.hash2 = (self.hash1 ^ two) * np.uint32(0x85EBCA6B) + np.uint32(2)
-
-    def foresee(self, level: int, path: np.ndarray) -> np.ndarray:
-        """Cumulative counts of the mix, for the nibble ``level`` after ``path``."""
-        salt = (path + np.uint32(START[level])) * np.uint32(0xC2B2AE35)
-        one = ((self.hash1 ^ salt) * np.uint32(0x27D4EB2F)) >> np.uint32(32 - HASHED_BITS)
-        n, models = len(path), MODELS[level]
-        index = np.empty((models, n), np.int64)
-        np.add(self.base, path, out=index[0])
-        index[0] += START[level]
-        np.add(self.base, one, out=index[1])
-        index[1] += ORDER0
-        if models > 2:
-            two = ((self.hash2 ^ salt) * np.uint32(0x27D4EB2F)) >> np.uint32(32 - HASHED_BITS)
-            np.add(self.base, two, out=index[2])
-            index[2] += ORDER0 + HASHED
-        self.index, self.level = index.ravel(), level
-        self.counts = self.tables.take(self.index, axis=0, mode="clip").reshape(models, n, 16)
-        share = (self.weights[level] * np.float32(1 / 1024)).astype(np.int16)  # sixteenths
-        share[0] = 16 - share[1:].sum(axis=0)
-        mix = (self.counts >> 4) * share[:, :, None]
-        for k in range(1, models):
-            mix[0] += mix[k]
-        self.mix = mix[0].view(np.uint16) + ONES
-        return self.mix
-
-    def narrow(self, symbol: np.ndarray) -> None:
-        """Take the symbol: narrow the coders' intervals, teach the models and the weights."""
-        at = self.place[0] + symbol
-        some = symbol != 0
-        mix = self.mix.ravel()
-        high = mix.take(at, mode="clip").astype(np.uint64)
-        low = (mix.take(at - 1, mode="wrap") * some).astype(np.uint64)
-        step = self.range >> np.uint64(TOTAL_BITS)
-        self.low = self.low + step * low
-        self.range = step * (high - low)
+        one = one * np.uint32(0x9E3779B1) + np.uint32(1)
+        self.hash = np.stack([one, (one ^ two) * np.uint32(0x85EBCA6B) + np.uint32(2)])
+
+    def foresee(self, nibbles: slice, path: np.ndarray) -> np.ndarray:
+        """Cumulative counts of the mix, for each of the nibbles after its ``path``."""
+        path = path + START[nibbles]
+        rows = self.hash ^ (path * np.uint32(0xC2B2AE35))[:, None]
+        rows *= np.uint32(0x27D4EB2F)
+        rows >>= np.uint32(32 - HASHED_BITS)
+        index, counts, terms = self.index[nibbles], self.counts[nibbles], self.spare[nibbles]
+        np.add(self.base, path, out=index[:, 0])
+        np.add(self.hashed[nibbles], rows, out=index[:, 1:])
+        self.tables.take(index.ravel(), mode="clip", out=counts.reshape(-1).view(ROW))
+        np.right_shift(counts, 4, out=terms)
+        terms *= self.factors[nibbles]
+        mix = terms[:, 0] + terms[:, 1]
+        mix += terms[:, 2]
+        mix += self.one_each
+        return mix.view(np.uint16)
+
+    def spans(self, mix: np.ndarray, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Start and width of the symbols among the counts of the mix."""
+        at = self.place.ravel()[:symbols.size] + symbols.ravel()
+        flat = mix.ravel()
+        low = flat.take(at, mode="clip")
+        at += 1
+        width = flat.take(at, mode="wrap")  # after the last symbol comes a row's first 0
+        width -= low
+        width &= TOTAL
+        return low.reshape(symbols.shape), width.reshape(symbols.shape)
+
+    def narrow(self, step: np.ndarray, low: np.ndarray, width: np.ndarray) -> None:
+        self.low += step * low
+        np.multiply(step, width, out=self.range)
+
+    def learn(self, symbols: np.ndarray) -> None:
+        """Teach the models and the weights the four nibbles of an id."""
+        counts, moved, w = self.counts, self.spare, self.weights
         # Each model's share of the symbol, and the weights that these would have earned.
-        w = self.weights[self.level]
-        at = self.place[:len(w)] + symbol
-        counts = self.counts.ravel()
-        took = counts.take(at, mode="clip") - counts.take(at - 1, mode="wrap") * some
-        gain = w * (took + np.float32(64))
-        total = gain[0] + gain[1]
-        if len(w) > 2:
-            total += gain[2]
-        gain *= np.float32(16384) / total
-        w += (np.floor(gain) - w) * np.float32(0.0625)
+        at = self.place + symbols[:, None]
+        flat = counts.ravel()
+        took = flat.take(at, mode="clip")
+        at += 1
+        took = flat.take(at, mode="wrap") - took
+        took &= np.int16(TOTAL)
+        gain = took + np.float32(64)
+        gain *= w
+        total = gain[:, 0] + gain[:, 1]
+        total += gain[:, 2]
+        gain *= (np.float32(16384) / total)[:, None]
+        np.floor(gain, out=gain)
+        gain -= w
+        gain *= np.float32(0.0625)
+        w += gain
         np.floor(w, out=w)
-        np.maximum(w, 256, out=w)
-        moved = TARGETS.take(symbol, axis=0, mode="clip") - self.counts
+        np.maximum(w, self.least, out=w)
+        self.share()
+        np.subtract(TARGETS.take(symbols, axis=0, mode="clip")[:, None], counts, out=moved)
         moved >>= RATE
-        self.counts += moved
-        self.tables[self.index] = self.counts.reshape(-1, 16)
+        counts += moved
+        self.tables.put(self.index.ravel(), counts.reshape(-1).view(ROW), mode="clip")
 
-    def due(self) -> np.ndarray:
+    def due(self, among: np.ndarray | None = None) -> np.ndarray:
         """Lanes whose interval has become too small, so that they move on by a word.
 
         An interval that lies across a step of the next word is cut to its larger part, which
-        costs less than a bit and spares carries. One word makes the interval large enough.
+        costs less than a bit and spares carries. After two nibbles one word nearly always makes the interval
+        large enough, and a second one always does.
         """
-        due = np.flatnonzero(self.range < LEAST)
+        due = (self.range < LEAST).nonzero()[0] if among is None else among[self.range[among] < LEAST]
         if len(due):
             low, width = self.low[due], self.range[due]
             below = LEAST - (low & (LEAST - np.uint64(1)))
@@ -173,14 +207,18 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[np.ndarray]:
             lanes.shrink(n)
         now = ids[step, :n]
         lanes.context(ids[step - 1, :n] if step else now * 0, ids[step - 2, :n] if step > 1 else now * 0)
-        for level in range(4):
-            lanes.foresee(level, now >> np.uint32(16 - 4 * level))
-            lanes.narrow((now >> np.uint32(12 - 4 * level) & np.uint32(15)).astype(np.int64))
-            due = lanes.due()
-            if len(due):
+        paths = now >> PATHS
+        symbols = (paths[1:] & np.uint32(15)).astype(np.int64)
+        low, width = lanes.spans(lanes.foresee(ALL, paths[:4]), symbols)
+        for nibble in range(4):
+            lanes.narrow(lanes.range >> np.uint64(TOTAL_BITS), low[nibble], width[nibble])
+            due = lanes.due() if nibble % 2 else NONE
+            while len(due):
                 words[due, used[due]] = lanes.low[due] >> np.uint64(WINDOW - WORD)
                 used[due] += 1
                 lanes.shift(due)
+                due = lanes.due(due)
+        lanes.learn(symbols)
         if step % 64 == 0 and used.max(initial=0) + 300 > words.shape[1]:
             words = np.pad(words, ((0, 0), (0, words.shape[1] + 300)))
     last.update({i: (lanes.low[i], lanes.range[i]) for i in range(len(lanes.low))})
@@ -205,29 +243,33 @@ def decode_blocks(words: list[np.ndarray], lengths: np.ndarray) -> list[np.ndarr
     code = first[:, 0] << np.uint64(32) | first[:, 1] << np.uint64(8) | first[:, 2] >> np.uint64(16)
     used = np.full(len(words), 3, np.int64)
     ids = np.zeros((max(1, len(active)), len(words)), np.uint32)
-    most = np.uint64((1 << TOTAL_BITS) - 1)
     for step, n in enumerate(active.tolist()):
         if n < len(lanes.low):
             lanes.shrink(n)
             code, used = code[:n], used[:n]
         path = np.zeros(n, np.uint32)
         lanes.context(ids[step - 1, :n] if step else path, ids[step - 2, :n] if step > 1 else path)
-        for level in range(4):
-            mix = lanes.foresee(level, path)
-            value = (code - lanes.low) // (lanes.range >> np.uint64(TOTAL_BITS))
-            value = np.minimum(value, most).astype(np.uint16)
+        symbols = np.empty((4, n), np.int64)
+        for nibble in range(4):
+            mix = lanes.foresee(slice(nibble, nibble + 1), path[None])[0]
+            width = lanes.range >> np.uint64(TOTAL_BITS)
+            value = np.minimum((code - lanes.low) // width, TOTAL).astype(np.uint16)
             below = np.bitwise_count((mix <= value[:, None]).view(np.uint64))
-            symbol = below[:, 0].astype(np.int64) + below[:, 1]
-            lanes.narrow(symbol)
-            due = lanes.due()
-            if len(due):
+            symbol = symbols[nibble]
+            np.add(below[:, 0], below[:, 1], out=symbol)
+            symbol -= 1
+            lanes.narrow(width, *lanes.spans(mix, symbol))
+            due = lanes.due() if nibble % 2 else NONE
+            while len(due):
                 at = np.minimum(used[due], longest - 1)
                 fresh = (stream[due, at - 1] & np.uint32(0xFFFF)).astype(np.uint64) << np.uint64(8)
                 fresh |= stream[due, at] >> np.uint32(16)
                 code[due] = (code[due] & (LEAST - np.uint64(1))) << np.uint64(WORD) | fresh
                 used[due] += 1
                 lanes.shift(due)
+                due = lanes.due(due)
             path = path << np.uint32(4) | symbol.astype(np.uint32)
+        lanes.learn(symbols)
         ids[step, :n] = path
     out: list[np.ndarray] = [np.zeros(0, np.uint32)] * len(words)
     for lane, block in enumerate(order):
@@ -257,16 +299,24 @@ def unpack(payload: bytes) -> tuple[np.ndarray, int, list[int], list[int | None]
     return words, n_ids, ends.tolist(), [d if f else None for d, f in zip(docs.tolist(), flags.tolist())]
 
 
+def _spread(first: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """The numbers ``first, first + 1, ...`` of each row, as many as it has."""
+    return np.repeat(first - (np.cumsum(many) - many), many) + np.arange(many.sum())
+
+
 class WordEncoder:
-    """Ids of texts; words between spaces, tabs and line feeds are encoded once a batch.
+    """Ids of texts; words between spaces, tabs and line feeds are encoded once, and remembered.
 
     The tokenizer must not join characters across white space, and drop it. Words of letters
     are encoded many at a time: each is one piece, and a token at the end of a piece says so. Should
-    the ends not be as many as the words, each word is encoded alone.
+    the ends not be as many as the words, each word is encoded alone. If the tokenizer makes letters small and cuts
+    texts by :data:`PIECES`, Latin letters and the signs after them are encoded apart, without regard to capitals.
     """
 
     AT_ONCE = 2000
     END = "</w>"
+    PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+    LATIN = r"^(?P<stem>[A-Za-zÀ-ÖØ-öø-ɏ]+)(?P<signs>[!-/:-@\[-`{-~]*)$"
 
     def __init__(self, path: str):
         # A task has one core: threads of the library's own would only add memory.
@@ -277,11 +327,19 @@ class WordEncoder:
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith(self.END)]] = True
+        normal, cut = (json.loads(x.__getstate__()) if x else {} for x in (self.tokenizer.normalizer, self.tokenizer.pre_tokenizer))
+        self.apart = (normal.get("normalizers") or [normal])[-1] == {"type": "Lowercase"} and (cut.get("pretokenizers") or [cut])[0] == {
+            "type": "Split", "pattern": {"Regex": self.PIECES}, "behavior": "Removed", "invert": True}
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.ids, self.size = np.zeros(0, np.uint32), np.zeros(0, np.int64)
 
     def words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the words, and the number of each word's."""
-        joined = self.tokenizer.encode(" ".join(words), add_special_tokens=False) if all(map(str.isalpha, words)) else None
-        if joined is not None:
+        if all(map(str.isalpha, words)):
+            joined = self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0]
             ids = np.array(joined.ids, np.uint32)
             ends = np.flatnonzero(self.ends[ids])
             if len(ends) == len(words) and ends[-1] == len(ids) - 1:
@@ -290,6 +348,23 @@ class WordEncoder:
         size = np.fromiter((len(e) for e in encoded), np.int64, len(encoded))
         return np.fromiter((i for e in encoded for i in e.ids), np.uint32, int(size.sum())), size
 
+    def numbers(self, words: pa.Array) -> np.ndarray:
+        """Where different words are among the remembered ones."""
+        listed = words.to_pylist()
+        new = [w for w in listed if w not in self.known]
+        if len(self.known) + len(new) > REMEMBERED:
+            self.forget()
+            new = listed
+        # Words of letters first, so that most runs hold nothing else.
+        new.sort(key=str.isalpha, reverse=True)
+        split = sum(map(str.isalpha, new))
+        cuts = [*range(0, split, self.AT_ONCE), *range(split, len(new), self.AT_ONCE), len(new)]
+        parts = [self.words(new[a:b]) for a, b in zip(cuts, cuts[1:])]
+        self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
+        self.ids = np.concatenate([self.ids, *(p[0] for p in parts)])
+        self.size = np.concatenate([self.size, *(p[1] for p in parts)])
+        return np.fromiter(map(self.known.__getitem__, listed), np.int64, len(listed))
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, and the number of each text's."""
         plain = pc.fill_null(texts.cast(pa.large_string()), "")
@@ -297,23 +372,22 @@ class WordEncoder:
             plain = pc.replace_substring(plain, white, " ")
         words = pc.split_pattern(plain, " ")
         coded = words.flatten().dictionary_encode()
-        # Words of letters first, so that most runs hold nothing else.
-        letters = pc.utf8_is_alpha(coded.dictionary).to_numpy(zero_copy_only=False)
-        order = np.argsort(~letters, kind="stable")
-        listed = coded.dictionary.take(pa.array(order))
-        split = int(letters.sum())
-        cuts = [*range(0, split, self.AT_ONCE), *range(split, len(listed), self.AT_ONCE)]
-        parts = [self.words(listed[a:min(b, a + self.AT_ONCE)].to_pylist()) for a, b in zip(cuts, [*cuts[1:], len(listed)])]
-        ids = np.concatenate([p[0] for p in parts]) if parts else np.zeros(0, np.uint32)
-        size = np.concatenate([p[1] for p in parts]) if parts else np.zeros(0, np.int64)
-        first = np.cumsum(size) - size
-        rank = np.empty(len(order), np.int64)
-        rank[order] = np.arange(len(order))
-        word = rank[coded.indices.to_numpy()]
+        # Of each different word the pieces, at most two; the second may be empty.
+        pieces = coded.dictionary
+        if self.apart:
+            latin = pc.extract_regex(pieces, self.LATIN)
+            stem, signs = pc.struct_field(latin, "stem"), pc.struct_field(latin, "signs")
+            pieces = pa.concat_arrays([pc.coalesce(pc.ascii_lower(stem), pieces), pc.fill_null(signs, "")])
+        pieces = pieces.dictionary_encode()
+        most = 1 + self.apart
+        numbers = self.numbers(pieces.dictionary)[pieces.indices.to_numpy()].reshape(most, -1).T.ravel()
+        many = self.size[numbers]
+        ids = self.ids[_spread((np.cumsum(self.size) - self.size)[numbers], many)]
+        size = many.reshape(-1, most).sum(axis=1)
+        word = coded.indices.to_numpy()
         many = size[word]
-        place = np.repeat(first[word] - (np.cumsum(many) - many), many) + np.arange(many.sum())
         text = np.repeat(np.arange(len(texts)), pc.list_value_length(words).to_numpy())
-        return ids[place], np.bincount(text, many, minlength=len(texts)).astype(np.int64)
+        return ids[_spread((np.cumsum(size) - size)[word], many)], np.bincount(text, many, minlength=len(texts)).astype(np.int64)
 
 
 def write_ids(docs: DataFrame, path: str, tokenizer: str, doc_id: str = "doc_id", text: str = "text",

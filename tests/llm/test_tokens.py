@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from hypothesis import given, settings, strategies as st
@@ -43,6 +44,52 @@ def test_late_nibbles_follow_two_ids(monkeypatch):
     assert size < 0.95 * len(tokens.encode_blocks([block])[0])
 
 
+def test_unlikely_ids_after_likely_ones_come_back():
+    rng = np.random.default_rng(6)
+    turns = [np.concatenate([np.full(k, 7), rng.integers(0, 65536, 1 + k % 3), [65535, 0, 65535]]) for k in range(0, 700, 25)]
+    block = np.concatenate(turns).astype(np.uint32)
+    blocks = [block, block[:1], block[::-1].copy(), block[:0]]
+    back = tokens.decode_blocks(tokens.encode_blocks(blocks), np.array([len(b) for b in blocks]))
+    assert all(np.array_equal(a, b) for a, b in zip(blocks, back))
+
+
+def test_words_are_encoded_once_in_all_batches(monkeypatch):
+    asked = []
+    plain = tokens.WordEncoder.words
+    monkeypatch.setattr(tokens.WordEncoder, "words", lambda self, words: asked.extend(words) or plain(self, words))
+    encoder = tokens.WordEncoder(PATH)
+    texts = ["The cat, the CAT. l'été cat!", "the Cat; été l'été, 42", "the cat"]
+    for text in texts:
+        ids, many = encoder.encode(pa.array([text]))
+        assert ids.tolist() == Tokenizer.from_file(PATH).encode(text, add_special_tokens=False).ids and many.tolist() == [len(ids)]
+    assert len(asked) == len(set(asked)) and {"the", "cat", "l'été"} < set(asked)
+    assert not {"The", "cat,", "CAT.", "Cat;"} & set(asked)
+
+
+def test_words_may_be_forgotten(monkeypatch):
+    monkeypatch.setattr(tokens, "REMEMBERED", 5)
+    encoder = tokens.WordEncoder(PATH)
+    for text in ("one two three", "four five six", "one two three four five six seven", "", "six"):
+        ids, _ = encoder.encode(pa.array([text]))
+        assert ids.tolist() == Tokenizer.from_file(PATH).encode(text, add_special_tokens=False).ids
+    assert len(encoder.known) <= 7
+
+
+ENCODER = tokens.WordEncoder(PATH)
+LETTERS = "aAzZéÉßſİΣσςÀà\u0300\u0338Kªµǆǅ中가1²½'’s.,;!?<>|=`^~-_\"*%\u00a0\u200b\u3000 \t\n"
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.one_of(
+    st.text(LETTERS, max_size=12), st.text(max_size=6),
+    st.sampled_from(["don't", "I'LL", "l'été,", "<|startoftext|>", "<|ENDOFTEXT|>", "A.", "é!!", "x'", "Ça»"]),
+), max_size=12))
+def test_ids_are_the_library_s(words):
+    texts = [" ".join(words), *words]
+    ids, many = ENCODER.encode(pa.array(texts, pa.string()))
+    assert [x.tolist() for x in np.split(ids, np.cumsum(many)[:-1])] == [ENCODER.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_damage_is_found():
     payload = tokens.pack(tokens.encode_blocks([np.arange(50, dtype=np.uint32)])[0], 50, [50], [3])
     assert tokens.unpack(payload)[1:] == (50, [50], [3])
