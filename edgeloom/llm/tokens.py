@@ -35,7 +35,7 @@ from edgeloom.plans.rounds import written
 BLOCK = 8192
 LANES = 768
 BATCH_CHARS = 8_000_000  # of texts that are encoded at once
-REMEMBERED = 400_000  # pieces of words whose ids a task keeps
+REMEMBERED = 6_000_000  # characters of the words whose ids a task keeps, and ten for each word
 END_ID = 1
 MAGIC = b"CMR2"
 
@@ -334,6 +334,7 @@ class WordEncoder:
 
     def forget(self) -> None:
         self.known: dict[str, int] = {}
+        self.held = 0
         self.ids, self.size = np.zeros(0, np.uint32), np.zeros(0, np.int64)
 
     def words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -352,9 +353,10 @@ class WordEncoder:
         """Where different words are among the remembered ones."""
         listed = words.to_pylist()
         new = [w for w in listed if w not in self.known]
-        if len(self.known) + len(new) > REMEMBERED:
+        if self.held + sum(map(len, new)) + 10 * len(new) > REMEMBERED:
             self.forget()
-            new = listed
+            new = listed.copy()
+        self.held += sum(map(len, new)) + 10 * len(new)
         # Words of letters first, so that most runs hold nothing else.
         new.sort(key=str.isalpha, reverse=True)
         split = sum(map(str.isalpha, new))

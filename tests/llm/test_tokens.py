@@ -67,12 +67,12 @@ def test_words_are_encoded_once_in_all_batches(monkeypatch):
 
 
 def test_words_may_be_forgotten(monkeypatch):
-    monkeypatch.setattr(tokens, "REMEMBERED", 5)
+    monkeypatch.setattr(tokens, "REMEMBERED", 70)
     encoder = tokens.WordEncoder(PATH)
-    for text in ("one two three", "four five six", "one two three four five six seven", "", "six"):
+    for text in ("one two three", "four five six", "one two three four five six seven", "", "six 7", "42 eight 9 nine", "一" * 50):
         ids, _ = encoder.encode(pa.array([text]))
         assert ids.tolist() == Tokenizer.from_file(PATH).encode(text, add_special_tokens=False).ids
-    assert len(encoder.known) <= 7
+    assert set(encoder.known) <= {"一" * 50, ""}
 
 
 ENCODER = tokens.WordEncoder(PATH)
