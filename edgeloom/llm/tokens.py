@@ -310,13 +310,14 @@ class WordEncoder:
     The tokenizer must not join characters across white space, and drop it. Words of letters
     are encoded many at a time: each is one piece, and a token at the end of a piece says so. Should
     the ends not be as many as the words, each word is encoded alone. If the tokenizer makes letters small and cuts
-    texts by :data:`PIECES`, Latin letters and the signs after them are encoded apart, without regard to capitals.
+    texts by :data:`PIECES`, Latin letters and the signs after them are encoded apart, without regard to capitals;
+    but not with U+0130, whose small form ends with a mark that isn't a letter.
     """
 
     AT_ONCE = 2000
     END = "</w>"
     PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-    LATIN = r"^(?P<stem>[A-Za-zÀ-ÖØ-öø-ɏ]+)(?P<signs>[!-/:-@\[-`{-~]*)$"
+    LATIN = r"^(?P<stem>[A-Za-zÀ-ÖØ-öø-įı-ɏ]+)(?P<signs>[!-/:-@\[-`{-~]*)$"
 
     def __init__(self, path: str):
         # A task has one core: threads of the library's own would only add memory.

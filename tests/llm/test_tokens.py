@@ -79,6 +79,14 @@ ENCODER = tokens.WordEncoder(PATH)
 LETTERS = "aAzZéÉßſİΣσςÀà\u0300\u0338Kªµǆǅ中가1²½'’s.,;!?<>|=`^~-_\"*%\u00a0\u200b\u3000 \t\n"
 
 
+def test_latin_letters_before_signs():
+    letters = [chr(i) for i in [*range(65, 91), *range(97, 123), *range(0xAA, 0x260)]]
+    texts = [a + c + signs for c in letters for a in ("", "tH") for signs in (",", "'!", "^", "-")]
+    ids, many = ENCODER.encode(pa.array(texts))
+    wanted = ENCODER.tokenizer.encode_batch(texts, add_special_tokens=False)
+    assert [x.tolist() for x in np.split(ids, np.cumsum(many)[:-1])] == [e.ids for e in wanted]
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.one_of(
     st.text(LETTERS, max_size=12), st.text(max_size=6),
