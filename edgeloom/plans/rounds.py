@@ -9,6 +9,7 @@ edges, are persisted on top of such a table.
 
 from __future__ import annotations
 
+import gc
 import math
 import tempfile
 import uuid
@@ -89,6 +90,12 @@ def release(spark: SparkSession, keep: DataFrame | None = None) -> int:
     return len(gone)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Have Spark remove the shuffle files of finished jobs now: it does so when the driver's garbage is collected."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def _remove(spark: SparkSession, folder: str) -> None:
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)

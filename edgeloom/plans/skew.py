@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from edgeloom.plans.rounds import setting, shuffle_partitions, written
+from edgeloom.plans.rounds import setting, shuffle_partitions
 
 
 @dataclass(frozen=True)
@@ -67,6 +67,20 @@ def measured_hot_keys(df: DataFrame, key: str, rows: int) -> HotKeys:
     return hot_keys(df.groupBy(key).agg(F.count("*").alias("n")), key, rows)
 
 
+def sampled_hot_keys(df: DataFrame, key: str, rows: int) -> HotKeys:
+    """As :func:`measured_hot_keys`, from as many rows as hold about a hundred of a hot key: no row for each key is shuffled.
+
+    A key near the limit may be taken for hot or not; that only decides where its rows go.
+    """
+    spark = df.sparkSession
+    floor = setting(spark, "hotRows")
+    if rows <= floor:
+        return HotKeys()
+    share = min(1.0, 100 / max(floor, math.ceil(rows / shuffle_partitions(spark))))
+    drawn = df.select(key).sample(share, seed=17).groupBy(key)
+    return hot_keys(drawn.agg(F.round(F.count("*") / F.lit(share)).cast("bigint").alias("n")), key, rows)
+
+
 def lookup(
     facts: DataFrame,
     key: str,
@@ -126,43 +140,3 @@ def pair_tiles(rows: DataFrame, key: str, value: str) -> tuple[DataFrame, DataFr
     first = F.lit(0).cast("bigint")
     right = cut.select(key, value, F.explode(F.sequence(first, F.col("_block"))).alias("_i"), F.col("_block").alias("_j"))
     return left, right
-
-
-def partners_within(rows: DataFrame, key: str, value: str) -> DataFrame:
-    """``first, second``: the distinct pairs ``first < second`` of ``value`` that share a key.
-
-    ``rows(key, value)`` is a written table without duplicates. Each value is sent the larger ones of its keys as one
-    list per key, and drops repeats where the lists meet: a pair travels as one number instead of a row. The lists of
-    large groups are cut into blocks as in :func:`pairs_within`. A value that would be sent more than
-    ``hotRows`` numbers has its pairs shuffled one by one.
-    """
-    most, spark = setting(rows.sparkSession, "pairRows"), rows.sparkSession
-    size = rows.agg(F.count("*").alias("n"), F.min(value).alias("lo"), F.max(value).alias("hi")).first()
-    low, wide = size["lo"] or 0, (size["hi"] or 0) - (size["lo"] or 0) >= 2**31 - 1
-    counts = rows.groupBy(key).agg(F.count("*").alias("_n"))
-    by_key, by_value = (measured_hot_keys(rows, name, size["n"]) for name in (key, value))
-    sized = lookup(rows, key, counts.withColumnRenamed(key, "id"), by_key, value).select(key, value, "_n")
-    loads = sized.groupBy(value).agg(F.sum("_n").alias("_load"))
-    known = lookup(sized, value, loads.withColumnRenamed(value, "id"), by_value, key)
-    heavy = F.col("_load") > setting(spark, "hotRows")
-    number = (F.col(value) - F.lit(low)).cast("bigint" if wide else "int")
-    known = known.select(key, value, number.alias("_v"), heavy.alias("_heavy"), F.ceil(F.col("_n") / most).alias("_blocks"))
-    known, facts = written(known, blocks=F.max("_blocks"), heavy=F.max("_heavy"))
-    if (facts["blocks"] or 0) <= 1:
-        left, on = known.drop("_blocks"), [key]
-        right = known.groupBy(key).agg(F.collect_list("_v").alias("_list"))
-    else:
-        block, on = F.pmod(F.xxhash64(value), F.col("_blocks")), [key, "_i", "_j"]
-        every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_blocks") - 1))
-        left = known.select(key, value, "_v", "_heavy", block.alias("_i"), every.alias("_j"))
-        right = known.select(key, "_v", every.alias("_i"), block.alias("_j")).groupBy(*on).agg(F.collect_list("_v").alias("_list"))
-    later = F.filter("_list", lambda other: other > F.col("_v")).alias("_list")
-    sent = left.join(right, on).select(F.col("_v").alias("_first"), "_heavy", later).where(F.size("_list") > 0)
-    lists = sent.where(~F.col("_heavy")).select("_first", "_list").repartition("_first").groupBy("_first")
-    met = lists.agg(F.array_distinct(F.flatten(F.collect_list("_list"))).alias("_list"))
-    pairs = met.select("_first", F.explode("_list").alias("_second"))
-    if facts["heavy"]:
-        single = sent.where("_heavy").select("_first", F.explode("_list").alias("_second"))
-        pairs = pairs.union(single.distinct())
-    ends = (("_first", "first"), ("_second", "second"))
-    return pairs.select(*[(F.col(end).cast("bigint") + F.lit(low).cast("bigint")).alias(name) for end, name in ends])

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from edgeloom.model import BipartiteGraph, EdgeMap, Graph, NodeMap
 from edgeloom.plans.positions import dense_positions
 from edgeloom.plans.rounds import even
-from edgeloom.plans.skew import lookup, measured_hot_keys
+from edgeloom.plans.skew import lookup, sampled_hot_keys
 from edgeloom.sources.tables import edges_from_table, node_map_from_table
 
 
@@ -56,7 +56,7 @@ def purchases(spark: SparkSession, folder: str, lines_where: str = "true") -> Bi
     )
     lines = table(spark, folder, "lineitem").where(lines_where).select("l_orderkey", "l_partkey")
     rows = lines.count()
-    hot = measured_hot_keys(lines, "l_orderkey", rows)
+    hot = sampled_hot_keys(lines, "l_orderkey", rows)
     if hot.frame is None:
         lines, orders = even(lines, rows, "l_orderkey"), even(orders, rows, "id")
     bought = lookup(lines, "l_orderkey", orders, hot, "l_partkey").select(
