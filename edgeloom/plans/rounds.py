@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 # Session settings (``spark.edgeloom.<name>``) and what they default to.
 DEFAULTS = {
     "rowsPerPartition": 4_000_000,  # target size of a persisted edge partition
-    "hotRows": 1_000_000,  # a key below this many rows is never split
+    "hotRows": 1_000_000,  # a key below this many rows is never split; pairs of a projection made at a time
     "pairRows": 10_000,  # rows of one group that meet each other in one task
     "broadcastRows": 50_000,  # largest table, by measured rows, that a lookup broadcasts through the driver in each round
     "topRows": 100_000,  # largest limit answered by a top-k instead of a range sort
